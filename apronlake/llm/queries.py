@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, token_files
+from . import decontaminate, mixing, near_dedup, token_files
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_mixing": mixing.op7_mixing,
     "op10_token_ids": token_files.op10_token_ids,
 }
