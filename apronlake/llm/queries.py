@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, near_dedup, token_files
+from . import decontaminate, mixing, near_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_mixing": mixing.op7_mixing,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_token_ids": token_files.op10_token_ids,
 }
 
