@@ -219,6 +219,11 @@ def read_token_files(manifest: DataFrame, folder: str, dtype: str = "<u4") -> Da
     return manifest.repartition(n, "part").mapInArrow(_reader(folder, dtype), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def id_type(tokenizer: str) -> str:
+    """The narrowest unsigned type that holds every id of the vocabulary."""
+    return "<u2" if _encoder(tokenizer).tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
 def token_table(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Write ``docs`` as token files in the shared folder and read them back."""
     if tokenizer is None:
@@ -226,7 +231,8 @@ def token_table(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     folder = shared_dir(docs.sparkSession, "token-files")
-    return read_token_files(write_token_files(docs, folder, tokenizer), folder)
+    dtype = id_type(tokenizer)
+    return read_token_files(write_token_files(docs, folder, tokenizer, dtype=dtype), folder, dtype)
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
