@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import table
 from .wordhash import Words, find_words, mix, slices
@@ -309,6 +310,13 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", F.col("text").alias("_text")).mapInArrow(_scorer(model), "doc_id long, score double, predicted int, spans string")
 
 
+def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of ``docs`` that are not predicted toxic, with their columns; no row moves."""
+    whole = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text"))
+    schema = T.StructType([whole.schema["row"], *T.StructType.fromDDL("score double, predicted int, spans string")])
+    return whole.mapInArrow(_scorer(model), schema).where("predicted = 0").select("row.*")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of the whole of ``documents``."""
     docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long"))
