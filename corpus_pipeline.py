@@ -1,11 +1,73 @@
-"""The corpus pipeline: stages applied to ``documents`` in order."""
+"""The corpus pipeline: toxicity, near-dedup, decontamination, mixing, token files.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the
+last return the columns of ``docs``. Rows of null or empty text pass the filters; the
+mix takes no row without words.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from apronlake.llm import decontaminate, mixing, near_dedup, token_files, toxicity
+from apronlake.llm.shared import settle, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, fitted on labelled rows of ``docs``, does not reject."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.reject_toxic(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one of smallest doc_id."""
+    kept = settle(near_dedup.near_classes(docs).where("kept").select("doc_id"), "kept-ids")
+    out = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which the benchmark's windows cover less than a twentieth."""
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = settle(found.where("contaminated").select(F.col("doc_id").alias("_bad")), "contaminated-ids")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents, as often as the mix takes them.
+
+    A shard's quota ends within one document at most; that one is taken if half of it is.
+    """
+    taken = mixing.mix(docs).where("taken > 0")
+    copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
+    times = taken.select(F.col("doc_id").alias("_id"), copies.alias("_copies")).where("_copies > 0")
+    out = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix; a row a document as read back from them."""
+    return token_files.token_table(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token_files", write_tokens),
+]
+
+#: A CRF, signatures and a tokenizer are beyond SQL: tests/llm holds stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = settle(docs, f"stage-{name}")
     return docs
