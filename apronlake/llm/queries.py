@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, mixing, near_dedup, token_files, toxicity
+from . import decontaminate, exact_dedup, mixing, near_dedup, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_mixing": mixing.op7_mixing,
+    "op6_secrets": secrets.op6_secrets,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_token_ids": token_files.op10_token_ids,
