@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, mixing, near_dedup, secrets, token_files, toxicity
+from . import decontaminate, exact_dedup, html_text, mixing, near_dedup, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op4_html_text": html_text.op4_html_text,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_mixing": mixing.op7_mixing,
     "op6_secrets": secrets.op6_secrets,
