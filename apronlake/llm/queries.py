@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, mixing, near_dedup, secrets, token_files, toxicity
+from . import decontaminate, exact_dedup, html_text, licenses, mixing, near_dedup, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
+    "op2_licenses": licenses.op2_licenses,
     "op4_html_text": html_text.op4_html_text,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_mixing": mixing.op7_mixing,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_licenses": licenses.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
 }
