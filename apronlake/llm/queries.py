@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, licenses, mixing, near_dedup, secrets, token_files, toxicity
+from . import decontaminate, exact_dedup, html_text, licenses, mixing, near_dedup, secrets, substring_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_licenses": licenses.op2_licenses,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_html_text": html_text.op4_html_text,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op7_mixing": mixing.op7_mixing,
