@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .catalog import QUERIES
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
