@@ -43,6 +43,7 @@ from .shared import settle, table
 from .wordhash import Words, find_words, grams, slices
 
 ANCHOR = 6
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _U = np.uint64
 
 
@@ -142,15 +143,13 @@ def _anchors(window: int):
     return anchors
 
 
-def _words_of(text: str) -> list[str]:
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
-    w = find_words(data, np.array([0, len(data)]))
-    raw = w.data.tobytes()
-    return [raw[x:y].decode() for x, y in zip(w.start.tolist(), w.end.tolist())]
+def _words_of(text: str) -> list[bytes]:
+    """Words of a text; the white space of bytes.split() is ``[\\x20\\x09-\\x0D]``."""
+    return text.encode().split()
 
 
-def _digest(words: list[str]) -> str:
-    return hashlib.sha256(" ".join(words).encode()).hexdigest()
+def _digest(words: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
 def _begin(window: int):
@@ -222,12 +221,11 @@ def _spans(window: int, shards: int):
                 # -1: no repeat; otherwise twice the owner's shard, and one more in a query.
                 kind = np.where(known, (_shard(owner, shards) << 1) | (owner != doc), -1)
                 cut = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]))
-                raw = data.tobytes()
+                words = _words_of(text)
                 for x, y in zip(cut.tolist(), np.append(cut[1:], len(kind)).tolist()):
                     if kind[x] >= 0:
                         end = y + window - 1
-                        words = " ".join(raw[p:q].decode() for p, q in zip(w.start[x:end].tolist(), w.end[x:end].tolist()))
-                        rows.append((int(kind[x]) >> 1, bool(kind[x] & 1), doc, x, end - x, words))
+                        rows.append((int(kind[x]) >> 1, bool(kind[x] & 1), doc, x, end - x, b" ".join(words[x:end]).decode()))
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -265,52 +263,63 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def drop_repeats(docs: DataFrame, window: int = 13, shard_words: int = 20_000, query_words: int = 200_000) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs``."""
-    result = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    nameless, named = docs.where("doc_id IS NULL"), docs.where("doc_id IS NOT NULL")
-
-    # 1. Anchors in two different texts, and the first document of each text.
+def _begin_state(named: DataFrame, window: int) -> DataFrame:
+    """Finished rows, and the texts and shared anchors of the others. Texts move once."""
     marked = named.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     anchors = marked.mapInArrow(_anchors(window), "anchor long, doc_id long, mark long")
     shared = anchors.groupBy("anchor").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi").select("anchor")
     lists = anchors.select("anchor", "doc_id").join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     ids = named.select("doc_id", F.md5("text").alias("digest"))
-    firsts = ids.join(ids.groupBy("digest").agg(F.min("doc_id").alias("first")), "digest").where("first < doc_id").select("doc_id", "digest", "first")
-    whole = named.withColumn("digest", F.md5("text")).join(firsts.distinct(), ["doc_id", "digest"], "left").join(lists, "doc_id", "left")
-    state = settle(
-        whole.select("doc_id", "text", "first", "anchors").mapInArrow(_begin(window), f"{result}, text string, anchors array<long>"),
-        "substring-state",
-    )
-    done, open_ = state.where("text IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256"), state.where("text IS NOT NULL")
-
-    # 2. Owners of repeated windows.
+    firsts = ids.join(ids.groupBy("digest").agg(F.min("doc_id").alias("first")), "digest").where("first < doc_id")
+    firsts = firsts.groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "first"))).alias("firsts"))
+    known = firsts.join(lists, "doc_id", "full")
+    first = F.col("firsts")[F.md5("text")]
+    whole = named.join(known, "doc_id", "left").select("doc_id", "text", first.alias("first"), "anchors")
+    return settle(whole.mapInArrow(_begin(window), f"{RESULT}, text string, anchors array<long>"), "substring-state")
+
+
+def _owned_windows(open_: DataFrame, window: int) -> DataFrame:
+    """(doc_id, of: list of (w, owner)) of documents with repeated windows."""
     windows = open_.select("doc_id", "text", "anchors").mapInArrow(_windows(window), "w long, doc_id long")
     owners = windows.groupBy("w").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("w", "owner")
-    owned = windows.join(owners, "w").groupBy("doc_id").agg(F.collect_set(F.struct("w", "owner")).alias("of"))
+    return settle(windows.join(owners, "w").groupBy("doc_id").agg(F.collect_list(F.struct("w", "owner")).alias("of")), "owned-windows")
+
+
+def _span_table(open_: DataFrame, owned: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """Reference and query spans with their shard."""
+    size = owned.agg(F.sum(F.size(F.filter("of", lambda x: x["owner"] == F.col("doc_id"))))).first()[0] or 0
     texts = open_.select("doc_id", "text").dropDuplicates(["doc_id", "text"])
-    joined = settle(owned.join(texts, "doc_id").select("doc_id", "text", F.col("of.w").alias("w"), F.col("of.owner").alias("owner")), "owned-windows")
+    joined = owned.join(texts, "doc_id").select("doc_id", "text", F.col("of.w").alias("w"), F.col("of.owner").alias("owner"))
+    kinds = "shard long, query boolean, doc_id long, start long, n_words long, words string"
+    return settle(joined.mapInArrow(_spans(window, int(1 + size // shard_words)), kinds), "spans")
 
-    # 3. Shards of bounded reference words, salted by query words.
-    size = joined.agg(F.sum(F.size(F.filter("owner", lambda x: x == F.col("doc_id"))))).first()[0] or 0
-    shards = 1 + size // shard_words
-    spans = settle(joined.mapInArrow(_spans(window, int(shards)), "shard long, query boolean, doc_id long, start long, n_words long, words string"), "spans")
+
+def _removed_spans(spans: DataFrame, window: int, query_words: int) -> DataFrame:
+    """(doc_id, gone: list of (a, b)) from the shards' automata."""
     salts = spans.where("query").groupBy("shard").agg((F.floor(F.sum("n_words") / query_words) + 1).cast("int").alias("salts"))
     salted = spans.join(salts, "shard")
     reference = salted.where("NOT query").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     queries = salted.where("query").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts")).cast("int"))
-
-    # 4. Automata and matching statistics.
     left = reference.select(F.col("shard").alias("of"), F.col("salt").alias("copy"), F.col("words").alias("words"))
     right = queries.select("shard", "salt", "doc_id", "start", F.col("words").alias("words"))
     cogroup = left.groupBy("of", "copy").cogroup(right.groupBy("shard", "salt"))
-    gone = cogroup.applyInPandas(_stream(window), "doc_id long, a long, b long").groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
+    gone = cogroup.applyInPandas(_stream(window), "doc_id long, a long, b long")
+    return settle(gone.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("gone")), "removed-spans")
+
+
+def drop_repeats(docs: DataFrame, window: int = 13, shard_words: int = 20_000, query_words: int = 200_000) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    nameless, named = docs.where("doc_id IS NULL"), docs.where("doc_id IS NOT NULL")
+    state = _begin_state(named, window)
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    done, open_ = state.where("text IS NULL").select(columns), state.where("text IS NOT NULL")
+    spans = _span_table(open_, _owned_windows(open_, window), window, shard_words)
+    gone = _removed_spans(spans, window, query_words)
     last = open_.select("doc_id", "n_words", "text").join(gone, "doc_id", "left").select("doc_id", "n_words", "text", F.col("gone.a").alias("a"), F.col("gone.b").alias("b"))
-    out = done.unionByName(last.mapInArrow(_finish, result))
+    out = done.unionByName(last.mapInArrow(_finish, RESULT))
     alone = nameless.select("doc_id", "text", F.lit(None).cast("long").alias("first"), F.lit(None).cast("array<long>").alias("anchors"))
-    alone = alone.mapInArrow(_begin(window), f"{result}, text string, anchors array<long>")
-    return out.unionByName(alone.select("doc_id", "n_words", "n_removed", "kept_sha256"))
+    return out.unionByName(alone.mapInArrow(_begin(window), f"{RESULT}, text string, anchors array<long>").select(columns))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
