@@ -12,6 +12,7 @@ from apronlake.functions import cleaning as C
 from apronlake.functions.measures import rates
 from apronlake.operators import evaluation as E
 from apronlake.operators import joins as J
+from apronlake.operators import model as Mo
 from apronlake.operators import quality as Q
 from apronlake.operators import rates as R
 from apronlake.operators import sampling as S
@@ -717,3 +718,30 @@ def replay_rows(spark, d):
     """Held-out rows of an airport, a deterministic sample."""
     x = _scored(spark, d).where((F.col("leg_date") >= F.lit(X.CUTOFF).cast("date")) & (F.col("origin") == "S0"))
     return S.det_sample(x, ["leg_id"], 50).select("leg_id", "leg_date", "score")
+
+
+# Models (rows only: a fit is no SQL) --------------------------------------------------------
+
+NUMERIC = ["density", "temp_f", "slack_capped", "distance", "elapsed_min", "dep_hour", *(f"{p}_rate" for p in M.FEATURE_RATES)]
+
+
+def _training_frame(spark, d) -> DataFrame:
+    return Mo.prepare(_features(spark, d).withColumn("y", F.col("arr_del15").cast("double")), NUMERIC)
+
+
+@query
+def model_report(spark, d):
+    """Held-out metrics of a logistic baseline and boosted trees, fitted on training rows."""
+    x = _training_frame(spark, d).select("leg_id", "carrier", "y", "is_training_row", *NUMERIC, *(f"{c}_missing" for c in NUMERIC)).persist()
+    train, test = x.where("is_training_row").drop("is_training_row"), x.where("NOT is_training_row").drop("is_training_row")
+    scored = Mo.probability(Mo.fit_gbt_classifier(train, NUMERIC, "carrier", "y", maxIter=5, maxDepth=3), test, "p_gbt")
+    scored = Mo.probability(Mo.fit_logistic(train, NUMERIC, "carrier", "y"), scored, "p_lr")
+    return Mo.confirm(scored.persist(), "y", "p_gbt", "p_lr")
+
+
+@query
+def platt_scores(spark, d):
+    """Each held-out leg's pseudo-score mapped by a calibration fitted before the cutoff."""
+    x = _scored(spark, d).withColumn("y", F.col("arr_del15").cast("int"))
+    a, b = Mo.fit_platt(x.where(F.col("leg_date") < F.lit(X.CUTOFF).cast("date")), "score", "y")
+    return x.where(F.col("leg_date") >= F.lit(X.CUTOFF).cast("date")).select("leg_id", "score", F.round(Mo.apply_platt(F.col("score"), a, b), 6).alias("p"))
