@@ -65,7 +65,9 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            pre = json.load(f).get("pre_tokenizer") or {}
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        self.added = [x["content"].encode() for x in spec.get("added_tokens") or []]
         self.by_piece = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self._clear()
 
@@ -100,6 +102,13 @@ class PieceEncoder:
             cut[1:-1] = _ALNUM[last] & _PUNCT[here]
             cut[1:-2] |= (here[:-1] == 0x20) & _BEFORE[last[:-1]] & _AFTER[here[1:]]
         cut[offsets] = True
+        raw = data.tobytes()
+        for token in self.added:  # a text with such a token in it is one piece
+            at = raw.find(token)
+            while at >= 0:
+                d = int(np.searchsorted(offsets, at, side="right"))
+                cut[offsets[d - 1] + 1 : offsets[d]] = False
+                at = raw.find(token, int(offsets[d]))
         border = np.flatnonzero(cut)
         start, end = border[:-1], border[1:]
         h = Words(data, offsets, start, end, border, border).hashes()
@@ -112,7 +121,6 @@ class PieceEncoder:
         known[ok] = self.keys[spot[ok]] == u[ok]
         new = np.flatnonzero(~known)
         if len(new):
-            raw = data.tobytes()
             self._learn(u[new], [raw[start[i] : end[i]].decode() for i in first[new]])
             spot = np.searchsorted(self.keys, u)
         at = self.at[spot][inverse]
