@@ -7,6 +7,11 @@ the same form. Units that are looked up: the whole document, each of its paragra
 (between empty lines) and each of its lines. A match is always of an entire unit with an
 entire known text, never of a part.
 
+Before any form is made, texts and units are asked for a stem: a few stems are chosen so
+that each known text has one of them in some word, however that word may be spelled
+(``licen`` stands for both license and licence). A unit without any of them cannot have a
+known form, so leaving it out loses nothing.
+
 The table of known digests has a row a license; it is broadcast up to ``broadcast_rows``
 rows and joined by shuffle beyond. Units are exploded in the scan and only matches move.
 
@@ -19,6 +24,10 @@ ignored.
 
 from __future__ import annotations
 
+import os
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +97,51 @@ def canonical(text: Column) -> Column:
     return x
 
 
+def canonical_text(text: str) -> str:
+    """The same form in Python, for the few known texts."""
+    x = re.sub(COPYRIGHT_LINE.replace("(?m)", ""), "", text.lower(), flags=re.M)
+    x = re.sub("[^a-z0-9]+", " ", x).strip()
+    for old, new in SPELLINGS:
+        x = x.replace(old, new)
+    return x
+
+
+def stems(known: tuple[tuple[str, str], ...]) -> list[str]:
+    """Stems of which every known form has one: greedily the one that most forms have, longer ones first.
+
+    The stem of a word is what it shares from the start with each other spelling of it; a
+    word that a change of spelling over several words could make or break is left out.
+    """
+    forms = [canonical_text(t) for _, t in known]
+    loose = {w for pair in SPELLINGS if " " in pair[0] + pair[1] for side in pair for w in side.split()}
+    of = []
+    for form in forms:
+        found = set()
+        for word in form.split():
+            variants = {word} | {word.replace(new, old) for old, new in SPELLINGS if new in word}
+            stem = os.path.commonprefix(sorted(variants))
+            if len(stem) >= 5 and not any(x in word for x in loose):
+                found.add(stem)
+        of.append((form, found))
+    chosen: list[str] = []
+    left = [x for x in of if x[0]]
+    while left:
+        counts = Counter(s for s in {s for _, f in left for s in f} for form, _ in left if s in form)
+        if not counts:
+            return [""]  # a known text without a sure stem: every unit is asked
+        best = max(counts, key=lambda s: (counts[s], len(s), s))
+        chosen.append(best)
+        left = [x for x in left if best not in x[0]]
+    return chosen
+
+
+def has_stem(text: Column, stems_: list[str]) -> Column:
+    out = F.lit(False)
+    for s in stems_:
+        out = out | F.contains(text, F.lit(s))
+    return out
+
+
 def digest(text: Column) -> Column:
     """sha256 of the canonical form; null if it is empty."""
     c = canonical(text)
@@ -99,25 +153,28 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOW
     return rows.select("license", digest(F.col("text")).alias("digest")).where("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan_licenses(docs: DataFrame, known: DataFrame | None = None, broadcast_rows: int = 100_000) -> DataFrame:
+def scan_licenses(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, broadcast_rows: int = 100_000) -> DataFrame:
     """(doc_id, whole, n_notices, licenses) of every row of ``docs``.
 
     ``whole`` is the license that the entire text is; ``n_notices`` counts lines that are
     a known text; ``licenses`` are all names found, sorted, comma-joined, or empty.
     """
-    known = known_digests(docs.sparkSession) if known is None else known
+    known = known_digests(docs.sparkSession, texts)
+    asked = stems(texts)
     if known.limit(broadcast_rows + 1).count() <= broadcast_rows:
         known = F.broadcast(known)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text")).where(has_stem(F.col("text"), asked))
     unit = lambda kind, parts: F.transform(parts, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("part")))
     units = F.concat(unit("text", F.array("text")), unit("paragraph", F.split("text", r"\n\s*\n")), unit("line", F.split("text", "\n")))
-    found = docs.select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.kind", digest(F.col("u.part")).alias("digest")).join(known, "digest")
+    found = docs.select("doc_id", F.explode(units).alias("u")).where(has_stem(F.col("u.part"), asked))
+    found = found.select("doc_id", "u.kind", digest(F.col("u.part")).alias("digest")).join(known, "digest")
     of = found.groupBy("doc_id").agg(
         F.max(F.when(F.col("kind") == "text", F.col("license"))).alias("whole"),
         F.sum((F.col("kind") == "line").cast("long")).alias("n_notices"),
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
     )
-    rows = docs.select("doc_id").withColumnRenamed("doc_id", "_id")
+    rows = ids.withColumnRenamed("doc_id", "_id")
     return rows.join(of, F.col("_id").eqNullSafe(of["doc_id"]), "left").select(
         F.col("_id").alias("doc_id"), "whole", F.coalesce("n_notices", F.lit(0)).alias("n_notices"), F.coalesce("licenses", F.lit("")).alias("licenses")
     )
