@@ -21,6 +21,7 @@ none: every score is the smoothed share of toxic labels. Empty table: no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -186,10 +187,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, rounds: int = 50)
 
 
 def summaries(p: np.ndarray, ptr: np.ndarray) -> np.ndarray:
-    """Per document: log sum, maximum, log of confident words, density."""
+    """Per document: log sum, maximum, log of confident words, density.
+
+    Marginals under 0.2 are left out of the sum, or a long clean text would add up to a toxic one.
+    """
     n = len(ptr) - 1
     doc = np.repeat(np.arange(n), np.diff(ptr))
-    total = np.bincount(doc, weights=p, minlength=n)
+    total = np.bincount(doc, weights=np.where(p >= 0.2, p, 0.0), minlength=n)
     sure = np.bincount(doc, weights=p > 0.5, minlength=n)
     most = np.zeros(n)
     np.maximum.at(most, doc, p)
@@ -197,50 +201,61 @@ def summaries(p: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return np.column_stack([np.log1p(total), most, np.log1p(sure), np.sqrt(total / size)])
 
 
-def _lexicon(words: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Word hashes that mark toxic documents."""
-    pair = np.unique(np.stack([words, doc.astype(np.uint64)], axis=1), axis=0)
-    u, at = np.unique(pair[:, 0], return_inverse=True)
-    of = toxic[pair[:, 1].astype(int)]
-    n1 = np.bincount(at, weights=of, minlength=len(u))
-    n0 = np.bincount(at, weights=1 - of, minlength=len(u))
+def _lexicon(parts: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> np.ndarray:
+    """Word hashes that mark toxic documents; ``parts`` are (word hashes, their documents), documents in order."""
+    words, of = [], []
+    for h, doc in parts:
+        order = np.lexsort((h, doc))
+        h, doc = h[order], doc[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        words.append(h[new])
+        of.append(toxic[doc[new]] == 1)
+    every, of = np.concatenate(words), np.concatenate(of)
+    u, n = np.unique(every, return_counts=True)
+    bad, k = np.unique(every[of], return_counts=True)
+    n1 = np.zeros(len(u), dtype=np.int64)
+    n1[np.searchsorted(u, bad)] = k
+    n0 = n - n1
     odds = np.log((n1 + 0.5) / (n0 + 0.5)) - np.log((toxic.sum() + 1) / ((1 - toxic).sum() + 1))
     low = odds - 1.64 * np.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5))
     return u[(n1 >= 5) & (low >= 1.5)]
 
 
-def fit(texts: list[str], toxic: np.ndarray, part_bytes: int = 1 << 20) -> Model:
+def fit(texts: pa.Array, toxic: np.ndarray, part_bytes: int = 1 << 20) -> Model:
     """The CRF on two thirds of the rows, the document regression on the rest."""
     base = (toxic.sum() + 0.5) / (len(toxic) + 1.0)
     plain = Model(None, np.zeros(5), np.zeros(4), np.ones(4), float(base))
     if len(texts) < 30 or toxic.sum() < 5 or (1 - toxic).sum() < 5:
         return plain
     for_crf = np.arange(len(texts)) % 3 != 2
-    known, parts, rest = [], [], []
-    for a, b, data, offsets in slices(pa.array(texts, pa.large_string()), part_bytes):
-        w = find_words(data, offsets, LETTERS, lower=True)
-        known.append((a, b, w.hashes(1), features(w), w.ptr, w.doc))
-    words = np.concatenate([h[for_crf[a:b][d]] for a, b, h, _, _, d in known])
-    docs = np.concatenate([(d + a)[for_crf[a:b][d]] for a, b, _, _, _, d in known])
-    marks = _lexicon(words, docs, toxic)
+
+    def pieces() -> Iterator[tuple[int, int, Words]]:
+        for a, b, data, offsets in slices(texts, part_bytes):
+            yield a, b, find_words(data, offsets, LETTERS, lower=True)
+
+    hashed = []
+    for a, b, w in pieces():
+        mine = for_crf[a:b][w.doc]
+        hashed.append((w.hashes(1)[mine], w.doc[mine] + a))
+    marks = _lexicon(hashed, toxic)
+    del hashed
     if not len(marks):
         return plain
-    for a, b, h, f, ptr, d in known:
-        mine = for_crf[a:b][d]
-        y = (np.isin(h, marks) & (toxic[a:b][d] == 1)).astype(float)
-        dd = d[mine]
-        if len(dd):
-            parts.append((f[mine], y[mine], np.flatnonzero(np.append(True, dd[1:] != dd[:-1]))))
+    parts = []
+    for a, b, w in pieces():
+        mine = for_crf[a:b][w.doc]
+        d = w.doc[mine]
+        if len(d):
+            y = (np.isin(w.hashes(1)[mine], marks) & (toxic[a:b][d] == 1)).astype(np.int8)
+            parts.append((features(w)[mine], y, np.flatnonzero(np.append(True, d[1:] != d[:-1]))))
     crf = fit_crf(parts)
+    del parts
     xs, ys = [], []
-    for a, b, _, f, ptr, d in known:
+    for a, b, w in pieces():
+        p = marginals(crf, _scores(crf, features(w)), w.ptr[:-1][np.diff(w.ptr) > 0])[0] if len(w.start) else np.zeros(0)
         keep = ~for_crf[a:b]
-        if len(f):
-            begins = ptr[:-1][np.diff(ptr) > 0]
-            p, _ = marginals(crf, _scores(crf, f), begins)
-        else:
-            p = np.zeros(0)
-        xs.append(summaries(p, ptr)[keep])
+        xs.append(summaries(p, w.ptr)[keep])
         ys.append(toxic[a:b][keep])
     x, y = np.concatenate(xs), np.concatenate(ys)
     if y.sum() < 2:
@@ -293,16 +308,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 8000) -> Model
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("text", "toxic").toArrow()
-    order = np.argsort([hash_text(t) for t in rows["text"].to_pylist()], kind="stable") if len(rows) else []
+    # A fixed order of the sample, whatever order its rows arrive in.
+    order = np.argsort([zlib.crc32(t.as_buffer()) for t in rows["text"]], kind="stable") if len(rows) else []
     rows = rows.take(pa.array(order, pa.int64()))
-    return fit(rows["text"].to_pylist(), rows["toxic"].to_numpy().astype(float))
-
-
-def hash_text(text: str) -> int:
-    """A stable order of the sample, whatever order rows arrive in."""
-    import zlib
-
-    return zlib.crc32(text.encode())
+    return fit(rows["text"].combine_chunks(), rows["toxic"].to_numpy().astype(float))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
