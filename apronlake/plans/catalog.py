@@ -20,6 +20,7 @@ from apronlake.operators import windows as Wn
 
 from . import fixtures as X
 from . import marts as M
+from . import staging as Sg
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -745,3 +746,69 @@ def platt_scores(spark, d):
     x = _scored(spark, d).withColumn("y", F.col("arr_del15").cast("int"))
     a, b = Mo.fit_platt(x.where(F.col("leg_date") < F.lit(X.CUTOFF).cast("date")), "score", "y")
     return x.where(F.col("leg_date") >= F.lit(X.CUTOFF).cast("date")).select("leg_id", "score", F.round(Mo.apply_platt(F.col("score"), a, b), 6).alias("p"))
+
+
+# Staging and display --------------------------------------------------------------------------
+
+
+@query
+def weather_daily(spark, d):
+    """Daily summaries as raw texts of every event, typed."""
+    i = F.col("event_id")
+    raw = X.read(spark, d, "events").select(
+        F.lpad((i % 50).cast("string"), 6, "0").alias("stn"),
+        F.lit("99999").alias("wban"),
+        F.lit("2024").alias("year"),
+        (i % 13).cast("string").alias("mo"),
+        (i % 32).cast("string").alias("da"),
+        F.when(i % 6 == 0, F.lit("9999.9")).otherwise((i % 90).cast("string")).alias("temp"),
+        F.lit("9999.9").alias("dewp"),
+        F.when(i % 2 == 0, (i % 100).cast("string")).otherwise(F.lit("999.9")).alias("slp"),
+        *(F.when(i % 4 == 0, F.lit("999.9")).otherwise((i % 20).cast("string")).alias(c) for c in ("visib", "wdsp", "gust", "sndp")),
+        F.when(i % 8 == 0, F.lit("99.99")).otherwise((i % 3).cast("string")).alias("prcp"),
+        (i % 2).cast("string").alias("fog"),
+    )
+    return Sg.daily_weather(raw).select("station_key", "day", "temp", "dewp", "slp", "wdsp", "prcp", "fog")
+
+
+@query
+def stations_deduped(spark, d):
+    """Suppliers as raw station rows, each key several times."""
+    s = F.col("s_suppkey")
+    raw = X.read(spark, d, "supplier").select(
+        (s % 37).cast("string").alias("usaf"),
+        F.lit("1").alias("wban"),
+        F.col("s_name").alias("name"),
+        F.when(s % 9 == 0, F.lit("")).otherwise((s % 90).cast("string")).alias("lat"),
+        (s % 180).cast("string").alias("lon"),
+        F.lit("12").alias("elev"),
+        F.lit("19900101").alias("begin"),
+        F.concat(F.lit("2024010"), s % 9 + 1).alias("end"),
+    )
+    return Sg.stations(raw).select("station_key", "name", "lat", "lon", "last_day")
+
+
+@query
+def forecast_layers(spark, d):
+    i = F.col("event_id")
+    raw = X.read(spark, d, "events").select(
+        "event_id",
+        (i % 40).cast("double").alias("temp"),
+        F.when(i % 10 == 0, F.lit("degF")).otherwise(F.lit("degC")).alias("temp_unit"),
+        (i % 60).cast("double").alias("wind"),
+        F.lit("km_h-1").alias("wind_unit"),
+        F.when(i % 3 == 0, (i % 90).cast("double")).alias("gust"),
+        F.lit("km_h-1").alias("gust_unit"),
+        F.when(i % 4 != 0, (i % 20000).cast("double")).alias("visibility"),
+        F.lit("m").alias("visibility_unit"),
+        F.when(i % 5 == 0, (i % 30).cast("double")).alias("rain"),
+        F.lit("mm").alias("rain_unit"),
+        Sg.iso_minutes(F.when(i % 2 == 0, F.lit("PT6H")).otherwise(F.lit("PT30M"))).alias("rain_minutes"),
+    )
+    return Sg.forecast_features(raw).select("event_id", "temp_f", "wind_kn", "gust_kn", F.col("gust_reported").cast("long").alias("gust_reported"), "visibility_mi", "precip_in")
+
+
+@query
+def display_texts(spark, d):
+    r = M.basis(X.requests(spark, d), "2024-02-05T12:00:00")
+    return r.select("request_id", Sg.basis_notes(F.col("flight_in_past"), F.col("weather_horizon"), F.col("context")).alias("notes"))

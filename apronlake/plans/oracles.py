@@ -275,4 +275,15 @@ ORACLES: dict[str, str] = {
     "proxy_board": f"WITH {_LEGS}, m AS (SELECT max(leg_date) AS d FROM legs WHERE origin = 'S0' AND leg_date < DATE '2024-02-14' AND isodow(leg_date) = isodow(DATE '2024-02-14')) SELECT leg_id, leg_date, carrier, dest, dep_min, score FROM legs, m WHERE origin = 'S0' AND leg_date = d",
     "filter_board": f"WITH {_LEGS} SELECT leg_id, flight_number, dep_min FROM legs WHERE origin = 'S1' AND carrier = 'view' AND flight_number::VARCHAR LIKE '19%' AND dep_min BETWEEN 360 AND 1200",
     "replay_rows": f"WITH {_SCORED} SELECT leg_id, leg_date, score FROM sc WHERE leg_date >= DATE '2024-01-24' AND origin = 'S0' ORDER BY md5(leg_id::VARCHAR), leg_id LIMIT 50",
+    "weather_daily": "SELECT lpad((event_id % 50)::VARCHAR, 6, '0') || '-99999' AS station_key, TRY_CAST('2024-' || lpad((event_id % 13)::VARCHAR, 2, '0') || '-' || lpad((event_id % 32)::VARCHAR, 2, '0') AS DATE) AS day, "
+    "CASE WHEN event_id % 6 <> 0 THEN (event_id % 90)::DOUBLE END AS temp, NULL::DOUBLE AS dewp, CASE WHEN event_id % 2 = 0 THEN (event_id % 100 + 1000)::DOUBLE END AS slp, CASE WHEN event_id % 4 <> 0 THEN (event_id % 20)::DOUBLE END AS wdsp, "
+    "CASE WHEN event_id % 8 <> 0 THEN (event_id % 3)::DOUBLE END AS prcp, event_id % 2 = 1 AS fog FROM events",
+    "stations_deduped": "WITH s AS (SELECT (s_suppkey % 37) || '-1' AS station_key, s_name AS name, (s_suppkey % 90)::DOUBLE AS lat, (s_suppkey % 180)::DOUBLE AS lon, DATE '2024-01-01' + (s_suppkey % 9)::INT AS last_day FROM supplier WHERE s_suppkey % 9 <> 0) "
+    "SELECT * FROM s WHERE NOT (lat = 0 AND lon = 0) QUALIFY row_number() OVER (PARTITION BY station_key ORDER BY last_day DESC, name) = 1",
+    "forecast_layers": "SELECT event_id, CASE WHEN c THEN round((event_id % 40)::DOUBLE * 9 / 5 + 32, 6) END AS temp_f, CASE WHEN c THEN round((event_id % 60)::DOUBLE / 1.852::DOUBLE, 6) END AS wind_kn, "
+    "CASE WHEN c THEN CASE WHEN event_id % 3 = 0 THEN round((event_id % 90)::DOUBLE / 1.852::DOUBLE, 6) ELSE 0.0 END END AS gust_kn, CASE WHEN c THEN (event_id % 3 = 0)::BIGINT END AS gust_reported, "
+    "CASE WHEN c THEN CASE WHEN event_id % 4 = 0 THEN 10.0 ELSE round(least((event_id % 20000)::DOUBLE / 1609.344::DOUBLE, 10.0), 6) END END AS visibility_mi, "
+    "CASE WHEN c THEN CASE WHEN event_id % 5 = 0 THEN round((event_id % 30)::DOUBLE / CASE WHEN event_id % 2 = 0 THEN 6.0 ELSE 1.0 END::DOUBLE / 25.4::DOUBLE, 6) ELSE 0.0 END END AS precip_in FROM (SELECT event_id, event_id % 10 <> 0 AS c FROM events)",
+    "display_texts": f"WITH {_REQ}, x AS (SELECT *, date_sub('minute', TIMESTAMP '2024-02-05 12:00:00', leg_date::TIMESTAMP + to_minutes(dep_min)) AS ahead FROM req) SELECT request_id, concat_ws('; ', CASE WHEN ahead < 0 THEN 'the departure is in the past' END, CASE WHEN ahead >= 10080 THEN 'no forecast reaches this day' END, "
+    "CASE WHEN ahead >= 2880 AND ahead < 10080 THEN 'the forecast is long-range' END, CASE WHEN position IS NULL THEN 'a typical rotation is assumed' END) AS notes FROM x",
 }
