@@ -236,3 +236,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of the whole ``benchmark`` in the whole of ``documents``."""
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+       FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ns AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns)),
+m AS (SELECT doc_id, dw.n, i, item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.g = dw.g),
+h AS (SELECT doc_id, count(DISTINCT p) AS hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS k, string_agg(s, ',' ORDER BY s) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(hit, 0)::BIGINT AS n_hit, coalesce(k, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(hit, 0) > 0 AND 20 * coalesce(hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op5_decontaminate": decontaminate.ORACLE_SQL,
     "op2_licenses": licenses.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,

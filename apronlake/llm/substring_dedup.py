@@ -325,3 +325,14 @@ def drop_repeats(docs: DataFrame, window: int = 13, shard_words: int = 20_000, q
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeats of 13 words in the whole of ``documents``."""
     return drop_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+own AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) < doc_id AS again FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM own WHERE again),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT word.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY word.p) AS t FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY word.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
