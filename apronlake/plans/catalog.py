@@ -24,7 +24,7 @@ from . import staging as Sg
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-#: Marts of line items use days up to this one as training days.
+#: The airport-month of the drill-down.
 MONTH, AIRPORT = "1998-06-01", "NATION_3"
 
 
@@ -93,7 +93,7 @@ def mart_route(spark, d):
 @query
 def drilldown_ranking(spark, d):
     """Carriers of one airport and month by delay rate: a pruned read of the spine."""
-    legs = X.legs_big(spark, d).where((F.col("origin") == AIRPORT) & (F.trunc("leg_date", "month") == F.lit(MONTH).cast("date")))
+    legs = X.legs_big(spark, d).where((F.col("origin") == AIRPORT) & F.col("leg_date").between(F.lit(MONTH).cast("date"), F.last_day(F.lit(MONTH).cast("date"))))
     return R.rollup(M.additive_mart(legs, {"carrier": F.col("carrier")}), ["carrier"]).select("carrier", "n_flights", "delay_rate", "avg_delay")
 
 
