@@ -19,13 +19,13 @@ of each goes on. Within a band's bucket pairs are not listed. First every member
 compared with the bucket's pivot, the member that meets most others over all its buckets;
 among near copies that is the text the others stem from. Then components are named, and
 only buckets that hold several are looked at again: in those of up to ``small`` members
-every pair of different components is compared, in larger ones two more pivots from
-outside the main component (other ones for each band, so a text meets many). This is done
-``rounds_most`` times (1), or until it brings no link. So work is linear in the members of buckets, however large a
-group of copies is. The one inexact place is a bucket of more than ``small`` members with
-several components left after the rounds: a member of it could have its only link to one
-that was never a pivot in any of their shared bands (about eight of 24). README has the
-measured share.
+every pair of different components is compared; the members of larger ones go with their
+texts to a task, cut into blocks of bounded size, a task for each pair of blocks, where
+runs are made once and each text outside the main component is held against all others of
+another component and of a fitting length. So after it any two texts of different classes
+that share a bucket have been compared (or are too unlike in length): what can be missed is
+only a pair that shares no band. Among links to the pivot work is linear in the members of
+buckets; it is quadratic only in the texts of a bucket that are no near copies of the others.
 
 Cases. Null, empty and white-space texts have no runs: each is a class of its own.
 Repeated rows (same doc_id) share a class and both come back. Ties: smallest doc_id.
@@ -220,26 +220,92 @@ def connected(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _again(members: DataFrame, label: DataFrame | None, small: int, seed: int) -> DataFrame:
-    """Pairs (doc, pivot) to compare in buckets of several components."""
-    comp = F.col("id") if label is None else F.coalesce("label", F.col("id"))
-    rows = members if label is None else members.join(label, "id", "left")
-    rows = rows.select("bucket", "id", "n", comp.alias("comp"))
+def _open_rows(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(bucket, id, n, comp) of buckets of several components."""
+    rows = members.join(label, "id", "left").select("bucket", "id", "n", F.coalesce("label", F.col("id")).alias("comp"))
     open_ = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    rows = settle(rows.join(open_, "bucket"), "open-buckets")
+    return settle(rows.join(open_, "bucket"), "open-buckets")
+
+
+def _few_pairs(rows: DataFrame, small: int) -> DataFrame:
+    """Pairs (doc, pivot) of different components in open buckets of up to ``small`` members."""
     few = rows.where(F.col("n") <= small)
     other = few.select("bucket", F.col("id").alias("pivot"), F.col("comp").alias("of"))
-    pairs = few.join(other, "bucket").where("comp <> of AND pivot < id").select(F.col("id").alias("doc"), "pivot")
-    many = rows.where(F.col("n") > small)
-    main = many.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(F.max_by("comp", F.struct("k", -F.col("comp"))).alias("main"))
-    mark = [F.min_by(F.struct("id", "comp"), F.xxhash64("bucket", "id", F.lit(seed + i))).alias(f"p{i}") for i in range(2)]
-    outside = many.join(main, "bucket").where("comp <> main").groupBy("bucket").agg(*mark)
-    picked = outside.select("bucket", F.explode(F.array("p0", "p1")).alias("p")).select("bucket", F.col("p.id").alias("pivot"), F.col("p.comp").alias("of")).distinct()
-    more = many.join(picked, "bucket").where("comp <> of").select(F.greatest("id", "pivot").alias("doc"), F.least("id", "pivot").alias("pivot"))
-    return pairs.unionByName(more)
+    return few.join(other, "bucket").where("comp <> of AND pivot < id").select(F.col("id").alias("doc"), "pivot")
+
+
+def cross_links(ids: np.ndarray, comp: np.ndarray, block: np.ndarray, texts: pa.Array, near: float) -> list[tuple[int, int]]:
+    """Links that join components: of texts of two blocks, or all if there is one block.
+
+    Two texts that end in different components have been compared or differ too much in length.
+    """
+    names, comp = np.unique(comp, return_inverse=True)
+    if len(names) < 2:
+        return []
+    parts = []
+    for a, b, data, offsets in slices(texts, SLICE):
+        d, r, c = weighted_runs(data, offsets)
+        parts.append((d + a, r, c))
+    doc, run, count = (np.concatenate(x) for x in zip(*parts))
+    n = len(ids)
+    total = np.bincount(doc, weights=count, minlength=n)
+    order = np.argsort(total, kind="stable")
+    place = np.empty(n, dtype=np.int64)
+    place[order] = np.arange(n)
+    doc = place[doc]
+    o = np.argsort(doc, kind="stable")
+    doc, run, count = doc[o], np.unique(run, return_inverse=True)[1][o].astype(np.int32), count[o].astype(np.int32)
+    ids, comp, block, total = ids[order], comp[order], block[order], total[order]
+    at = np.searchsorted(doc, np.arange(n + 1))
+    cross = block.min() != block.max()
+    sizes = np.bincount(comp)
+    main = int(sizes.argmax())
+    mine = np.zeros(int(run.max()) + 1, dtype=np.int32)
+    least = (1.0 - near) * (1 - 1e-9)
+    out = []
+    for x in range(n):
+        if comp[x] == main:
+            continue
+        lo, hi = np.searchsorted(total, total[x] * least), np.searchsorted(total, total[x] / least, side="right")
+        other = comp[lo:hi] != comp[x]
+        if cross:
+            other &= block[lo:hi] != block[x]
+        if not other.any():
+            continue
+        s, e = at[lo], at[hi]
+        own = slice(at[x], at[x + 1])
+        mine[run[own]] = count[own]
+        low = np.add.reduceat(np.minimum(count[s:e], mine[run[s:e]]), at[lo:hi] - s)
+        mine[run[own]] = 0
+        every = total[lo:hi] + total[x]
+        for y in lo + np.flatnonzero(other & (1.0 - low / (every - low) <= near)):
+            if comp[y] != comp[x]:
+                out.append((int(ids[x]), int(ids[y])))
+                old, new = (comp[x], comp[y]) if comp[y] == main else (comp[y], comp[x])
+                comp[comp == old] = new
+    return out
+
+
+def _many_links(rows: DataFrame, texts: DataFrame, small: int, near: float, block_rows: int, block_bytes: int) -> DataFrame:
+    """Links (a, b) between components of open buckets of more than ``small`` members."""
+    many = rows.where(F.col("n") > small).join(texts.select("id", "text"), "id")
+    sizes = rows.where(F.col("n") > small).join(texts.select("id", F.octet_length("text").alias("size")), "id").groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size"))
+    cuts = sizes.select("bucket", F.greatest(F.ceil(F.col("rows") / block_rows), F.ceil(F.col("size") / block_bytes)).cast("int").alias("cuts"))
+    many = many.join(cuts, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    many = many.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "comp", "block", "text")
+
+    def link(group: pa.Table) -> pa.Table:
+        ids, comp, block = (group.column(c).to_numpy() for c in ("id", "comp", "block"))
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        found = cross_links(ids, comp, block, group.column("text").combine_chunks(), near) if i == j or len(np.unique(block)) == 2 else []
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return many.groupBy("bucket", "i", "j").applyInArrow(link, "a long, b long")
 
 
-def near_classes(docs: DataFrame, bands: int = 24, rows: int = 5, threshold: float = 0.8, small: int = 16, rounds_most: int = 1) -> DataFrame:
+def near_classes(docs: DataFrame, bands: int = 24, rows: int = 5, threshold: float = 0.8, small: int = 16, block_rows: int = 2000, block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, class_id, class_size, kept) of every row of ``docs``."""
     near = 1.0 - threshold
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
@@ -258,15 +324,12 @@ def near_classes(docs: DataFrame, bands: int = 24, rows: int = 5, threshold: flo
     tested = settle(verified(pairs.distinct(), texts), "distances")
     links = tested.where(F.col("distance") <= near).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
     label = connected(links)
-    for k in range(rounds_most):
-        pairs = _again(members, label, small, 2 * k).distinct().join(tested.select("doc", "pivot"), ["doc", "pivot"], "left_anti")
-        fresh = settle(verified(pairs, texts), "distances")
-        tested = tested.unionByName(fresh)
-        new = fresh.where(F.col("distance") <= near).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
-        if not new.limit(1).count():
-            break
-        links = links.unionByName(new)
-        label = connected(links)
+    rows_open = _open_rows(members, label)
+    pairs = _few_pairs(rows_open, small).distinct().join(tested.select("doc", "pivot"), ["doc", "pivot"], "left_anti")
+    fresh = verified(pairs, texts).where(F.col("distance") <= near).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
+    new = settle(fresh.unionByName(_many_links(rows_open, texts, small, near, block_rows, block_bytes)), "more-links")
+    if new.limit(1).count():
+        label = connected(links.unionByName(new))
     named = alike.join(label, "id", "left").select("digest", F.coalesce("label", "id").alias("class_id"))
     # Empty texts have no bands and meet no row of ``named``: each stays alone.
     full = sketches.select("doc_id", F.when(F.size("bands") > 0, F.col("digest")).alias("digest"))
