@@ -13,9 +13,9 @@
    repeat over pages, without nested parts of a boilerplate role.
 
 Only skeletons and counts move between tasks, keyed by host with partial aggregation.
-Pages are read again for step 4 where they lie: the distinct wrapper paths go to all
-tasks if they are at most ``broadcast_paths``; pages that match several of them, and all
-pages if there are more, are joined with their host's wrapper.
+Pages are read again for step 4 and joined with their own host's wrapper: where they lie
+if at most ``broadcast_paths`` hosts have one, as Spark chooses if more do. No page is
+tried against another host's wrapper, so the result does not depend on the input's size.
 
 Cases. Null and empty html: empty text. No element matches the wrapper: article, else
 main, else body, else the whole page. Null url: a host of its own. Broken markup: missing
@@ -31,10 +31,9 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -236,18 +235,14 @@ def align(pivot: list, page: list) -> list[tuple[str, str, int, int, int]]:
     return out
 
 
-def host_of(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").netloc or "").lower()
-    except ValueError:
-        return ""
+def host_of(url: Column) -> Column:
+    return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
 
 
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        urls, pages = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        trees = [json.dumps(skeleton(parse(p or "")), separators=(",", ":")) for p in pages]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(host_of, urls), pa.string()), pa.array(trees, pa.string())], names=["page_id", "host", "tree"])
+        trees = [json.dumps(skeleton(parse(p or "")), separators=(",", ":")) for p in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(trees, pa.string())], names=["page_id", "host", "tree"])
 
 
 def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +261,7 @@ def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn_wrappers(pages: DataFrame, least_pages: int = 3) -> tuple[DataFrame, str]:
     """((host, wrapper) of hosts that can tell, wrapper of all other hosts)."""
+    pages = pages.select("page_id", host_of(F.col("url")).alias("host"), "html")
     trees = settle(pages.mapInArrow(_skeletons, "page_id long, host string, tree string"), "skeletons")
     pivots = trees.groupBy("host").agg(F.min_by("tree", "page_id").alias("pivot"), F.count(F.lit(1)).alias("pages")).where("pivot IS NOT NULL")
     aligned = trees.join(pivots.select("host", "pivot"), "host").select("host", "tree", "pivot")
@@ -309,53 +305,28 @@ def _first(root: Node, tag: str) -> list[Node]:
     return out
 
 
-def main_text(page: str | None, paths: list[str]) -> tuple[str, int]:
-    """(main text, number of the wrappers' paths that are in the page)."""
+def main_text(page: str | None, path: str) -> str:
+    """What lies below the wrapper's ``path``, else the article, main or body."""
     root = parse(page or "")
-    found = [x for x in (_below(root, p) for p in paths) if x]
-    nodes = found[0] if found else _first(root, "article") or _first(root, "main") or _first(root, "body") or [root]
-    return "\n".join(b for x in nodes for b in blocks(x)), len(found)
+    nodes = _below(root, path) or _first(root, "article") or _first(root, "main") or _first(root, "body") or [root]
+    return "\n".join(b for x in nodes for b in blocks(x))
 
 
-def _extractor(paths: list[str] | None):
-    """``paths`` for all pages, or (None) the path in the fourth column."""
-
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pages = batch.column(2).to_pylist()
-            own = [paths] * len(pages) if paths is not None else [[p] for p in batch.column(3).to_pylist()]
-            got = [main_text(*x) for x in zip(pages, own)]
-            sure = [k < 2 for _, k in got]
-            texts = [t if s else None for (t, _), s in zip(got, sure)]
-            hosts = [None if s else host_of(u) for u, s in zip(batch.column(1).to_pylist(), sure)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([None if t is None else len(t) for t in texts], pa.int64()), pa.array(hosts, pa.string())],
-                names=["page_id", "url", "text", "n_chars", "unsure"],
-            )
-
-    return extract
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [main_text(*x) for x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def extract_pages(pages: DataFrame, broadcast_paths: int = 1000) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     wrappers, usual = learn_wrappers(pages)
-    schema = "page_id long, url string, text string, n_chars long, unsure string"
-    paths = [r.wrapper for r in wrappers.select("wrapper").distinct().orderBy("wrapper").limit(broadcast_paths + 1).collect()]
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
-    if len(paths) <= broadcast_paths:
-        paths = sorted({*paths, usual})
-        done = settle(pages.mapInArrow(_extractor(paths), schema), "page-texts")
-        if len(paths) == 1:
-            return done.drop("unsure")
-        several = done.where("unsure IS NOT NULL").select("page_id", F.col("unsure").alias("host")).distinct()
-        rest = pages.join(several, "page_id")
-        done = done.where("unsure IS NULL")
-    else:
-        rest, done = pages.withColumn("host", host), None
-    chosen = rest.join(wrappers, "host", "left").select("page_id", "url", "html", F.coalesce("wrapper", F.lit(usual)).alias("wrapper"))
-    late = chosen.mapInArrow(_extractor(None), schema)
-    return (late if done is None else done.unionByName(late)).drop("unsure")
+    if wrappers.limit(broadcast_paths + 1).count() <= broadcast_paths:
+        wrappers = F.broadcast(wrappers)
+    own = pages.withColumn("host", host_of(F.col("url"))).join(wrappers, "host", "left")
+    chosen = own.select("page_id", "url", "html", F.coalesce("wrapper", F.lit(usual)).alias("wrapper"))
+    return chosen.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

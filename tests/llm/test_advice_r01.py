@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from apronlake.llm import licenses, near_dedup
+from apronlake.llm import html_text, licenses, near_dedup
 from apronlake.llm.wordhash import slices
 
 
@@ -68,3 +68,13 @@ def test_licenses_in_wrapped_layouts(spark):
     own = ["copyright notice and this", "copyright holders be liable", "copyright owner that is", "(c) you must retain all", "copyright"]
     assert all(licenses.canonical_text(x) for x in own)
     assert licenses.canonical_text("\n".join(heads)) == ""
+
+
+def test_html_text_takes_no_other_hosts_wrapper(spark):
+    page = "<html><body><div class='content'><h1>Head {n}</h1><p>Words of page {n}</p></div></body></html>"
+    other = "<html><body><article><p>Story {n} of the other host</p></article></body></html>"
+    odd = "<html><body><div class='content'><p>Small box</p></div><main><article><p>The story itself</p></article></main></body></html>"
+    rows = [(i, f"http://a.example/{i}", page.format(n=i)) for i in range(4)] + [(10 + i, f"http://b.example/{i}", other.format(n=i)) for i in range(40)]
+    df = spark.createDataFrame([*rows, (99, "http://b.example/odd", odd)], "page_id long, url string, html string")
+    small, large = ({r.page_id: r.text for r in html_text.extract_pages(df, broadcast_paths=n).collect()} for n in (1000, 0))
+    assert small == large and small[99] == "The story itself" and small[2] == "Head 2\nWords of page 2"
