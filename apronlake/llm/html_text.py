@@ -50,8 +50,9 @@ BLOCK = set(
 ENDS = {**dict.fromkeys(BLOCK - {"html", "body"}, {"p"}), "li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "tr": {"p", "tr", "td", "th"}, "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "option": {"option"}}
 SCOPE = set("ul ol dl table article section div body html main aside nav form blockquote td th".split())
 CONTAINERS = "html body main article section div center table tbody tr td".split()
-#: Roles that are never main text: by element, and by word of class, id or role.
+#: Roles that are never main text: by element, and by whole class, id or role of the elements of ASIDE_ON.
 ASIDE_TAGS = set("head nav header footer aside form script style noscript template iframe svg canvas object button select textarea title dialog menu".split())
+ASIDE_ON = set("div section ul ol table".split())
 ASIDE_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert newsletter subscribe "
     "subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist reply replies disqus social share sharing "
@@ -74,14 +75,14 @@ class Node:
             for name, *values in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), next((v for v in values if v), "").lower()
                 if name in ("class", "id", "role"):
-                    words |= set(re.split(r"[^a-z0-9]+", value))
+                    words |= set(value.split())
                     if name == "class":
                         classes = sorted(value.split())
                 elif name == "hidden":
                     self.aside = True
             if classes:
                 self.label = tag + "." + ".".join(classes).replace("/", "_")
-            self.aside = self.aside or (bool(words & ASIDE_WORDS) and tag not in ("html", "body", "article", "main"))
+            self.aside = self.aside or (tag in ASIDE_ON and bool(words & ASIDE_WORDS))
 
 
 def parse(page: str) -> Node:

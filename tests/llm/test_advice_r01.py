@@ -78,3 +78,9 @@ def test_html_text_takes_no_other_hosts_wrapper(spark):
     df = spark.createDataFrame([*rows, (99, "http://b.example/odd", odd)], "page_id long, url string, html string")
     small, large = ({r.page_id: r.text for r in html_text.extract_pages(df, broadcast_paths=n).collect()} for n in (1000, 0))
     assert small == large and small[99] == "The story itself" and small[2] == "Head 2\nWords of page 2"
+
+
+def test_html_text_keeps_text_whose_names_hold_a_role_word():
+    own = "<h2 id='search-results'>A</h2><h2 id='search'>B</h2><p id='notice-1'>C</p><section id='related-work'><p>D</p></section><figure class='banner'><figcaption>E</figcaption></figure><div class='alert-box'>F</div><p class='notice'>G</p>"
+    aside = "<div class='wide ad'>x</div><ul id=menu><li>x</ul><section class='comments'>x</section><div role=dialog>x</div><nav>x</nav><form>x</form>"
+    assert html_text.main_text(f"<body><article>{own}{aside}</article>", "#/html/body/article") == "\n".join("ABCDEFG")
