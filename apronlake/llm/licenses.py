@@ -50,8 +50,8 @@ SPELLINGS = (
 )
 #: Words after "copyright" that tell of a licence's own wrapped line, not of a holder.
 _NO_HOLDER = r"(?:notices?|holders?|owners?|owned|licen[cs]es?|laws?|statements?|interests?|protections?|treaty|treaties|rights?|acts?|disclaimers?|permissions?|terms|conditions|status|information|and|or|in|on|to|of|is|are|as|for|with|that|this|which|from|under|at|may|shall|must|if|not)\b"
-#: Statements: "copyright" with a year, a sign or a holder; "©"; "(c)" with a year, "by" or "copyright", as it also numbers clauses.
-_STATEMENT = r"(?:copyright[^a-z0-9\n]*(?:\(c\)|©|[0-9]{4})|copyright[^a-z0-9\n]+(?!" + _NO_HOLDER + r")[a-z]|©|\(c\)[^a-z0-9\n]*(?:[0-9]{4}|by\b|copyright\b))"
+#: Statements: "copyright" with a year, a sign or a holder; "©"; "(c)".
+_STATEMENT = r"(?:copyright[^a-z0-9\n]*(?:\(c\)|©|[0-9]{4})|copyright[^a-z0-9\n]+(?!" + _NO_HOLDER + r")[a-z]|©|\(c\))"
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*" + _STATEMENT + r"[^\n]*$|(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
