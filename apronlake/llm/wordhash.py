@@ -17,7 +17,6 @@ SLICE_BYTES = 4 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
-_BASE_INV = _U(pow(int(_BASE), -1, 1 << 64))
 
 ASCII_SPACE = np.ones(256, dtype=bool)
 ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = False
@@ -37,24 +36,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class _Powers:
-    """Powers of the base and of its inverse, grown on demand."""
+def chunks_of(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Spans cut into pieces of eight bytes: (first byte, bytes, place in the span) of each, and each span's first piece."""
+    n = (end - start + 7) >> 3
+    first = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - np.repeat(first, n)
+    at = np.repeat(start, n) + 8 * place
+    return at, np.minimum(np.repeat(end, n) - at, 8), place, first
 
-    def __init__(self) -> None:
-        self.up = np.ones(1, dtype=np.uint64)
-        self.down = np.ones(1, dtype=np.uint64)
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, SLICE_BYTES + (1 << 16))
-            for name, base in (("up", _BASE), ("down", _BASE_INV)):
-                x = np.full(size, base, dtype=np.uint64)
-                x[0] = 1
-                setattr(self, name, np.multiply.accumulate(x))
-        return self.up, self.down
-
-
-_POWERS = _Powers()
+def eight_bytes(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The ``size`` (1 to 8) bytes from each place of ``data``, as one number."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    every = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    return every[at] & (_U(0xFFFFFFFFFFFFFFFF) >> (_U(64) - _U(8) * size.astype(np.uint64)))
 
 
 @dataclass
@@ -73,16 +68,13 @@ class Words:
     doc: np.ndarray
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """64-bit hash of each word's bytes."""
-        n = len(self.data)
-        up, down = _POWERS.get(n + 1)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        values = self.data.astype(np.uint64)
-        values += _U(1 + (seed & 0xFF))
-        values *= up[:n]
-        np.cumsum(values, out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * down[self.start]
-        h += (self.end - self.start).astype(np.uint64) * _U(0xD6E8FEB86659FD93) + _U(seed)
+        """64-bit hash of each word's bytes: a sum of mixed pieces of eight bytes."""
+        at, size, place, first = chunks_of(self.start, self.end)
+        h = (self.end - self.start).astype(np.uint64) * _U(0xD6E8FEB86659FD93) + _U(seed)
+        if len(at):
+            piece = mix(eight_bytes(self.data, at, size) ^ ((place.astype(np.uint64) + _U(1 + (seed & 0xFF))) * _BASE))
+            has = self.end > self.start
+            h[has] += np.add.reduceat(piece, first[has])
         return mix(h)
 
 
