@@ -16,7 +16,9 @@ hit runs (doc_id, block, from, to) do, and only where there are several blocks.
 
 Cases. Null and empty texts have no words: never hit, not contaminated. Very long texts
 are read whole. Equal windows of several items count for each item. Repeated rows are
-judged each by itself. Empty tables: no hits, or no rows. Other columns are ignored.
+judged each by itself. Null doc_id: a row like any other; null item_id: an item without a
+name, which adds hits but no item. Empty tables: no hits, or no rows. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,14 +26,16 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import settle, table
+from .shared import NO_ID, distil, table, with_key
 from .wordhash import ALNUM, LOWER, Words, find_words, grams, slices
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -46,7 +50,7 @@ class WindowIndex:
         self.windows: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
         for (item, _), ws in zip(items, words):
             for i in range(max(len(ws) - window, 0) + 1 if ws else 0):
-                self.windows[tuple(ws[i : i + window])].add(str(item))
+                self.windows[tuple(ws[i : i + window])] |= set() if item is None else {str(item)}
         self.order = list(self.windows)
 
     def shingles(self) -> list[tuple[int, int, int]]:
@@ -93,10 +97,11 @@ def _lengths(index: WindowIndex) -> list[int]:
     return sorted({min(index.shingle, len(ws)) for ws in index.order})
 
 
-def _counter(wanted: dict[int, np.ndarray]):
+def _counter(sent: Broadcast):
     """Counts of the wanted shingles in the documents of a task, one row each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted: dict[int, np.ndarray] = sent.value
         totals = {n: np.zeros(len(hs), dtype=np.int64) for n, hs in wanted.items()}
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
@@ -149,10 +154,11 @@ def _judge(n_words: int, runs: list[tuple[int, int]], items: set[str]) -> tuple:
     return n_words, hit, len(items), names, hit > 0 and 20 * hit >= n_words
 
 
-def _matcher(index: WindowIndex, whole: bool, block: int):
+def _matcher(sent: Broadcast, whole: bool, block: int):
     """Rows of the result if this block is the whole benchmark, else runs and items of this block."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: WindowIndex = sent.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for a, b, data, offsets in slices(batch.column(1)):
@@ -168,7 +174,7 @@ def _matcher(index: WindowIndex, whole: bool, block: int):
                         rows.append((ids[a + d], *_judge(n, runs, items)))
                     else:
                         flat = [v for r in runs for v in r]
-                        rows.append((ids[a + d], block, hashlib.sha256(data[offsets[d] : offsets[d + 1]].tobytes()).hexdigest(), n, flat, sorted(items)))
+                        rows.append((ids[a + d], block, hashlib.md5(data[offsets[d] : offsets[d + 1]].tobytes()).hexdigest(), n, flat, sorted(items)))
                 if whole:
                     names = [x.split()[0] for x in RESULT.split(", ")]
                     types = [pa.int64()] * 4 + [pa.string(), pa.bool_()]
@@ -181,56 +187,99 @@ def _matcher(index: WindowIndex, whole: bool, block: int):
     return match
 
 
+def _clean(sent: Broadcast):
+    """Rows (row, text) of clean documents, where one block is the whole benchmark."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: WindowIndex = sent.value
+        for batch in batches:
+            keep = np.ones(len(batch), dtype=bool)
+            for a, _, data, offsets in slices(batch.column(1)):
+                w = find_words(data, offsets, ALNUM, lower=True)
+                for d, of in (_hits(index, w, w.hashes()) if index.order else {}).items():
+                    keep[a + d] = not _judge(int(w.ptr[d + 1] - w.ptr[d]), [(x, y) for x, y, _ in of], set())[-1]
+            yield batch.filter(pa.array(keep))
+
+    return clean
+
+
 def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     runs = [tuple(r[i : i + 2]) for r in pdf["runs"] for i in range(0, len(r), 2)]
     items = {x for xs in pdf["items"] for x in xs}
     doc = pdf["doc_id"].iloc[0]
-    row = (None if pd.isna(doc) else int(doc), *_judge(int(pdf["n_words"].iloc[0]), runs, items))
+    row = (None if pd.isna(doc) else int(doc), *_judge(int(pdf["n_words"].iloc[0]), runs, items), pdf["digest"].iloc[0])
     rows = [row] * int((pdf["block"] == 0).sum())  # repeated rows stay
-    return pd.DataFrame(rows, columns=[x.split()[0] for x in RESULT.split(", ")]).astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=[*(x.split()[0] for x in RESULT.split(", ")), "digest"]).astype({"doc_id": "Int64"})
 
 
 def _blocks(benchmark: DataFrame, window: int, block_windows: int) -> Iterator[list[tuple]]:
-    """Items in blocks of at most ``block_windows`` windows (a larger item makes a block)."""
+    """Items in blocks of at most ``block_windows`` windows; a larger item is cut, its pieces overlapping by a window."""
     block, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL").orderBy("item", "text").toLocalIterator():
-        n = max(1, len(_words(r.text)) + 1 - window)
-        if block and size + n > block_windows:
-            yield block
-            block, size = [], 0
-        block.append((r.item, r.text))
-        size += n
+        words = _words(r.text)
+        for at in range(0, max(1, len(words) + 1 - window), block_windows):
+            piece = words[at : at + block_windows + window - 1]
+            n = max(1, len(piece) + 1 - window)
+            if block and size + n > block_windows:
+                yield block
+                block, size = [], 0
+            block.append((r.item, b" ".join(piece).decode()))
+            size += n
     yield block
 
 
+def _ready(docs: DataFrame, block: list[tuple], window: int, shingle: int) -> Broadcast:
+    """The block's windows, indexed by the shingle that is rarest in all documents."""
+    spark = docs.sparkSession
+    index = WindowIndex(block, window, shingle)
+    wanted = {n: np.unique(np.array([h for k, _, h in index.shingles() if min(shingle, len(index.order[k])) == n], dtype=np.uint64)) for n in _lengths(index)}
+    counts = {}
+    if wanted:
+        seen = docs.select("text").mapInArrow(_counter(spark.sparkContext.broadcast(wanted)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        # At most one row for each shingle of this block.
+        counts = {r.h & (1 << 64) - 1: r.n for r in seen.collect()}
+    index.choose(counts)
+    index.windows = None
+    return spark.sparkContext.broadcast(index)
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int = 5, block_windows: int = 50_000) -> DataFrame:
     """One row per document: words, hit words, items, their digest, and the verdict."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = _found(docs, benchmark, window, shingle, block_windows)
+    if len(parts) == 1:
+        return parts[0]
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "digest").applyInPandas(_merge, RESULT + ", digest string").drop("digest")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_windows: int) -> list[DataFrame]:
+    """The result if the benchmark is one block, else what each block finds."""
     parts = []
     blocks = _blocks(benchmark, window, block_windows)
     block = next(blocks)
     while block is not None:
         following = next(blocks, None)
-        index = WindowIndex(block, window, shingle)
-        wanted = {n: np.unique(np.array([h for k, _, h in index.shingles() if min(shingle, len(index.order[k])) == n], dtype=np.uint64)) for n in _lengths(index)}
-        counts = {}
-        if wanted:
-            seen = docs.select("text").mapInArrow(_counter(wanted), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-            # At most one row for each shingle of this block.
-            counts = {r.h & (1 << 64) - 1: r.n for r in seen.collect()}
-        index.choose(counts)
         whole = following is None and not parts
         schema = RESULT if whole else "doc_id long, block long, digest string, n_words long, runs array<long>, items array<string>"
-        index.windows = None
-        parts.append(docs.mapInArrow(_matcher(index, whole, len(parts)), schema))
+        parts.append(docs.mapInArrow(_matcher(_ready(docs, block, window, shingle), whole, len(parts)), schema))
         block = following
-    if len(parts) == 1 and whole:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    return every.groupBy("doc_id", "digest").applyInPandas(_merge, RESULT)
+    return parts
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int = 5, block_windows: int = 50_000) -> DataFrame:
+    """Rows of ``docs`` that are not contaminated; where the benchmark is one block no row moves."""
+    blocks = _blocks(benchmark, window, block_windows)
+    block, more = next(blocks), next(blocks, None)
+    if more is None:
+        pairs = docs.select(F.struct("*").alias("row"), F.col("text").alias("_text"))
+        return pairs.mapInArrow(_clean(_ready(docs, block, window, shingle)), pairs.schema).select("row.*")
+    def contaminated() -> DataFrame:
+        parts = _found(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, window, shingle, block_windows)
+        rows = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "digest").applyInPandas(_merge, RESULT + ", digest string")
+        return rows.where("contaminated").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_at"), F.col("digest").alias("_digest")).distinct()
+
+    bad = distil(contaminated, docs.sparkSession, "contaminated")
+    return with_key(docs).join(bad.hint("merge"), ["_at", "_digest"], "left_anti").select(*docs.columns)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

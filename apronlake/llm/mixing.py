@@ -9,7 +9,7 @@ tape runs round it again, three times at most. The order on the tape comes from
 md5(seed, doc_id), so the taken blocks are a seeded random choice and reruns agree.
 
 Cases. Null text: size 0, nothing taken. Null source: a source of its own, last in
-order. Repeated rows: each is a row of its own. Ties of quotients: smaller source,
+order. Very long texts are counted whole. Repeated rows: each is a row of its own. Ties of quotients: smaller source,
 then smaller shard. No words at all: every target and every take is 0. Empty table:
 no rows. Other columns of the input are ignored; clashing names do not matter.
 """
@@ -82,10 +82,10 @@ def sainte_lague(votes: DataFrame, group: list[str], key: str, vote: str, seats:
     return x.join(won, [*group, key], "left").select(*votes.columns, got)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, block_words: int = 64, docs_per_shard: int = 4096, seed: int = 7) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken) of every document."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, block_words: int = 64, docs_per_shard: int = 4096, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, size, source, source_size, target, taken) of every document, and the columns to ``carry``."""
     mark = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = settle(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark")), "mix-sizes")
+    sized = settle(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark"), *carry), "mix-sizes")
     known = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     rows = sized.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     known = known.join(rows, known["source"].eqNullSafe(rows["source"])).select(
@@ -97,7 +97,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bloc
     of = known.select(F.col("source").alias("of"), "at", "source_size", "target", "shards", "quota")
     shard = F.pmod(F.conv(F.substring("mark", 1, 8), 16, 10).cast("long"), F.col("shards"))
     placed = sized.join(of, sized["source"].eqNullSafe(of["of"])).select(
-        "doc_id", "source", "size", "mark", "at", "source_size", "target", "quota", shard.alias("shard")
+        "doc_id", "source", "size", "mark", "at", "source_size", "target", "quota", shard.alias("shard"), *carry
     )
     tapes = placed.groupBy("at", "shard").agg(F.sum("size").alias("tape"), F.max("quota").alias("quota"))
     quotas = sainte_lague(tapes, ["at"], "shard", "tape", "quota", "dealt").select("at", "shard", "tape", (F.col("dealt") * block_words).alias("words"))
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bloc
     passes = F.when(F.col("tape") > 0, F.floor(F.col("words") / F.col("tape"))).otherwise(0).cast("long")
     rest = F.least(F.greatest(F.col("words") - passes * F.col("tape") - F.col("start"), F.lit(0)), F.col("size"))
     taken = F.least(passes * F.col("size") + rest, F.col("size") * most).cast("long")
-    return laid.select("doc_id", "size", "source", "source_size", "target", taken.alias("taken"))
+    return laid.select("doc_id", "size", "source", "source_size", "target", taken.alias("taken"), *carry)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

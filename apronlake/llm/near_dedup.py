@@ -27,10 +27,16 @@ that share a bucket have been compared (or are too unlike in length): what can b
 only a pair that shares no band. Among links to the pivot work is linear in the members of
 buckets; it is quadratic only in the texts of a bucket that are no near copies of the others.
 
+Texts are known by their digest throughout, so that rows of a null or repeated doc_id are
+compared by what they hold; numbers given to distinct texts once they are written stand for
+them in buckets and links.
+
 Cases. Null, empty and white-space texts have no runs: each is a class of its own.
-Repeated rows (same doc_id) share a class and both come back. Ties: smallest doc_id.
-Null doc_id: compared like any, sorted first only as null; a class of null ids only has
-a null name. Empty table: no rows. Other columns are ignored.
+Repeated rows (same doc_id and text) share a class and are both kept or both not. Rows of
+one doc_id and different texts are compared like any two. Ties: smallest doc_id, then
+smallest digest. Null doc_id: compared like any, last in order; a class of null ids only
+has a null name. Very long texts are read whole. Empty table: no rows. Other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -43,7 +49,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import settle, table
+from .shared import NO_ID, distil, settle, table, with_key
 from .wordhash import find_words, grams, mix, slices
 
 SHINGLE = 5
@@ -150,7 +156,7 @@ def _sketcher(bands: int, rows: int):
                 h = band_hashes(sig, bands).view(np.int64)
                 starts = np.concatenate([[0], np.cumsum(np.where(full, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(h[full].reshape(-1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), batch.column(2).slice(a, n), lists], names=["doc_id", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), batch.column(2).slice(a, n), lists], names=["at", "digest", "bands"])
 
     return sketch
 
@@ -197,7 +203,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     a = texts.select(F.col("id").alias("doc"), F.col("text").alias("a"))
     b = texts.select(F.col("id").alias("pivot"), F.col("text").alias("b"))
-    return pairs.join(a, "doc").join(b, "pivot").select("doc", "pivot", "a", "b").mapInArrow(_verify, "doc long, pivot long, distance double")
+    # Never broadcast: the size of a table of texts is that of its compressed file to Spark.
+    return pairs.join(a.hint("merge"), "doc").join(b.hint("merge"), "pivot").select("doc", "pivot", "a", "b").mapInArrow(_verify, "doc long, pivot long, distance double")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -305,19 +312,20 @@ def _many_links(rows: DataFrame, texts: DataFrame, small: int, near: float, bloc
     return many.groupBy("bucket", "i", "j").applyInArrow(link, "a long, b long")
 
 
-def near_classes(docs: DataFrame, bands: int = 24, rows: int = 5, threshold: float = 0.8, small: int = 16, block_rows: int = 2000, block_bytes: int = 16 << 20) -> DataFrame:
-    """(doc_id, class_id, class_size, kept) of every row of ``docs``."""
+def classify(docs: DataFrame, bands: int = 24, rows: int = 5, threshold: float = 0.8, small: int = 16, block_rows: int = 2000, block_bytes: int = 16 << 20) -> DataFrame:
+    """(at, digest, alone, class_id, class_size, kept) of every row of ``docs``."""
     near = 1.0 - threshold
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("digest", F.md5(F.coalesce("text", F.lit(""))))
-    sketches = settle(docs.select("doc_id", "text", "digest").mapInArrow(_sketcher(bands, rows), "doc_id long, digest string, bands array<long>"), "sketches")
+    docs = with_key(docs.select("doc_id", "text")).select(F.col("_at").alias("at"), F.col("_digest").alias("digest"), "text")
+    sketches = settle(docs.select("at", "text", "digest").mapInArrow(_sketcher(bands, rows), "at long, digest string, bands array<long>"), "sketches")
     # One of each set of equal texts goes on; equal texts have equal bands.
-    alike = sketches.where(F.size("bands") > 0).groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
-    alike = settle(alike, "distinct-texts")
+    alike = sketches.where(F.size("bands") > 0).groupBy("digest").agg(F.min("at").alias("at"), F.first("bands").alias("bands"))
+    alike = settle(alike.withColumn("id", F.monotonically_increasing_id()), "distinct-texts")
     entries = alike.select("id", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = settle(entries.join(crowded, "bucket").select("bucket", "id", "n"), "buckets")
     met = members.groupBy("id").agg(F.sum("n").alias("met"))
-    texts = settle(docs.select(F.col("doc_id").alias("id"), "text").join(met.select("id"), "id", "left_semi").dropDuplicates(["id"]), "candidates")
+    asked = alike.select("id", "digest", "at").join(met.select("id"), "id", "left_semi")
+    texts = settle(docs.join(asked.hint("merge"), ["at", "digest"]).dropDuplicates(["at", "digest"]).select("id", "text"), "candidates")
 
     pivots = members.join(met, "id").groupBy("bucket").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("pivot"))
     pairs = members.join(pivots, "bucket").where("id <> pivot").select(F.greatest("id", "pivot").alias("doc"), F.least("id", "pivot").alias("pivot"))
@@ -330,19 +338,38 @@ def near_classes(docs: DataFrame, bands: int = 24, rows: int = 5, threshold: flo
     new = settle(fresh.unionByName(_many_links(rows_open, texts, small, near, block_rows, block_bytes)), "more-links")
     if new.limit(1).count():
         label = connected(links.unionByName(new))
-    named = alike.join(label, "id", "left").select("digest", F.coalesce("label", "id").alias("class_id"))
+    named = alike.join(label, "id", "left").select("digest", F.coalesce("label", "id").alias("class"))
     # Empty texts have no bands and meet no row of ``named``: each stays alone.
-    full = sketches.select("doc_id", F.when(F.size("bands") > 0, F.col("digest")).alias("digest"))
-    classed = full.join(named, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.col("digest").isNull().alias("alone"))
-    sizes = classed.where("NOT alone").groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    return classed.join(sizes, "class_id", "left").select(
-        "doc_id",
-        "class_id",
-        F.when(F.col("alone"), F.lit(1)).otherwise(F.coalesce("class_size", F.lit(1))).cast("long").alias("class_size"),
-        (F.col("alone") | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
+    rows_ = sketches.select("at", "digest", (F.size("bands") == 0).alias("alone")).join(named, "digest", "left")
+    first = F.min(F.struct((F.col("at") == NO_ID).alias("last"), "at", "digest")).alias("first")
+    classes = rows_.where("NOT alone").groupBy("class").agg(first, F.count(F.lit(1)).alias("n"))
+    return rows_.join(classes, "class", "left").select(
+        "at",
+        "digest",
+        "alone",
+        F.nullif(F.coalesce("first.at", "at"), F.lit(NO_ID)).alias("class_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("class_size"),
+        (F.col("alone") | ((F.col("at") == F.col("first.at")) & (F.col("digest") == F.col("first.digest")))).alias("kept"),
     )
 
 
+def near_classes(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, class_id, class_size, kept) of every row of ``docs``; ``how`` as in classify()."""
+    return classify(docs, **how).select(F.nullif("at", F.lit(NO_ID)).alias("doc_id"), "class_id", "class_size", "kept")
+
+
+def drop_copies(docs: DataFrame, **how) -> DataFrame:
+    """One row of each class, with the columns of ``docs``; texts move once more for it."""
+    spark = docs.sparkSession
+    kept = distil(lambda: classify(docs, **how).where("kept").select(F.col("at").alias("_at"), F.col("digest").alias("_digest"), "alone"), spark, "kept")
+    out = with_key(docs).join(kept.hint("merge"), ["_at", "_digest"], "left_semi")
+    repeated = kept.where("NOT alone").groupBy("_at", "_digest").count().where("count > 1")
+    if repeated.limit(1).count():  # repeated rows of one text: one stays
+        empty = ~F.col("text").rlike(r"[^\x20\x09-\x0D]") | F.col("text").isNull()
+        out = out.where(~empty).dropDuplicates(["_at", "_digest"]).unionByName(out.where(empty))
+    return out.select(*docs.columns)
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every row of ``documents``."""
     return near_classes(table(spark, sf_dir, "documents"))
