@@ -1,17 +1,25 @@
 """The corpus pipeline: toxicity, near-dedup, decontamination, mixing, token files.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the
-last return the columns of ``docs``. Rows of null or empty text pass the filters; the
-mix takes no row without words.
+last return the columns of ``docs``. A stage decides on hashes, ids and counts; texts move
+once in near-dedup's verification and once in each stage that drops or repeats rows by
+what other rows hold (near-dedup, mixing) and in the token files' sort, nowhere else.
+
+Cases. Rows of null or empty text pass the filters; the mix takes no row without words.
+Null and repeated doc_ids: rows are named by id and digest of the text. Repeated rows of
+one text are near copies, one stays. Very long texts are read whole. Ties: smallest
+doc_id. Empty tables: no rows. Further columns of ``docs`` come back as they are,
+whatever their names (but those that begin with an underscore).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from apronlake.llm import decontaminate, mixing, near_dedup, token_files, toxicity
-from apronlake.llm.shared import settle, table
+from apronlake.llm.shared import distil, settle, table, with_key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,18 +29,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one of smallest doc_id."""
-    kept = settle(near_dedup.near_classes(docs).where("kept").select("doc_id"), "kept-ids")
-    out = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = kept.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    """One document of each near-duplicate class, the one of smallest doc_id (then digest)."""
+    return near_dedup.drop_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which the benchmark's windows cover less than a twentieth."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = settle(found.where("contaminated").select(F.col("doc_id").alias("_bad")), "contaminated-ids")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +43,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A shard's quota ends within one document at most; that one is taken if half of it is.
     """
-    taken = mixing.mix(docs).where("taken > 0")
-    copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
-    times = taken.select(F.col("doc_id").alias("_id"), copies.alias("_copies")).where("_copies > 0")
-    out = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    key = ["_at", "_digest"]
+    copies = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int").alias("_copies")
+    times = distil(lambda: mixing.mix(with_key(docs), carry=tuple(key)).where("taken > 0").select(*key, copies).where("_copies > 0"), spark, "copies")
+    named = with_key(docs)
+    if times.groupBy(*key).count().where("count > 1").limit(1).count():  # repeated rows: the n-th takes the n-th's copies
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))).alias("_nth")
+        named, times, key = named.select("*", nth), times.select("*", nth), [*key, "_nth"]
+    out = named.join(times.hint("merge"), key)
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
