@@ -12,11 +12,16 @@ Encoding. Byte-level BPE with the usual split pattern puts a token border before
 single space between non-spaces and between a letter or digit and ASCII punctuation,
 whatever stands around it. A text is therefore cut there, each distinct piece of a
 slice is encoded once by the tokenizers library (with a bounded cache across slices),
-and ids are gathered per document. Tokenizers of another kind encode whole texts.
+and ids are gathered per document. Pieces are looked up by hash, but each one's bytes are
+compared with those that were encoded; pieces that only collide are encoded by
+themselves. Tokenizers of another kind encode whole texts.
+
+Files hold about ``file_bytes`` of text each, whatever the corpus, and are read back by
+ranges of documents: mapped where the file system is local, by ranged reads elsewhere.
 
 Cases. Null or empty text: only the end id. Repeated document ids: kept, ordered by
-text. Null document id: first, read back as null. Empty table: no files, no rows. Other
-columns of the input are ignored.
+text. Null document id: first, read back as null. Very long texts are one range. Empty
+table: no files, no rows. Other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import settle, shared_dir, table
-from .wordhash import Words, slices
+from .wordhash import Words, chunks_of, eight_bytes, slices
 
 NO_ID = np.iinfo(np.int64).min
 CACHE_PIECES = 1_500_000
@@ -57,7 +62,7 @@ _AFTER = _BEFORE & ~_flags((0xC2, 0xC2), (0xE1, 0xE3))
 
 
 class PieceEncoder:
-    """Encodes many texts; caches pieces of byte-level BPE by 64-bit hash and length."""
+    """Encodes many texts; caches pieces of byte-level BPE by 64-bit hash, and compares their bytes."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -76,18 +81,39 @@ class PieceEncoder:
         self.at = np.zeros(0, dtype=np.int64)
         self.starts = np.zeros(1, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
+        self.bytes = np.zeros(0, dtype=np.uint8)
+        self.begins = np.zeros(1, dtype=np.int64)
+        self.odd: dict[bytes, int] = {}
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        """Places of newly encoded pieces."""
+        got = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
         sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
         flat = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(sizes.sum()))
-        at = len(self.starts) - 1 + np.arange(len(keys))
+        at = len(self.starts) - 1 + np.arange(len(pieces))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, flat])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum([len(p) for p in pieces], dtype=np.int64)])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), dtype=np.uint8)])
+        return at
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        at = self._add(pieces)
         every = np.concatenate([self.keys, keys])
         order = np.argsort(every, kind="stable")
         self.keys, self.at = every[order], np.concatenate([self.at, at])[order]
 
+    def _unlike(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Pieces whose bytes are not those of the known piece at their place."""
+        b, e = self.begins[at], self.begins[at + 1]
+        bad = end - start != e - b
+        fit = np.flatnonzero(~bad)
+        if len(fit):
+            x, size, _, first = chunks_of(start[fit], end[fit])
+            y = chunks_of(b[fit], e[fit])[0]
+            bad[fit] = np.add.reduceat(eight_bytes(data, x, size) != eight_bytes(self.bytes, y, size), first) > 0
+        return np.flatnonzero(bad)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, number of ids of each)."""
         n = len(offsets) - 1
@@ -121,9 +147,16 @@ class PieceEncoder:
         known[ok] = self.keys[spot[ok]] == u[ok]
         new = np.flatnonzero(~known)
         if len(new):
-            self._learn(u[new], [raw[start[i] : end[i]].decode() for i in first[new]])
+            self._learn(u[new], [raw[start[i] : end[i]] for i in first[new]])
             spot = np.searchsorted(self.keys, u)
         at = self.at[spot][inverse]
+        unlike = self._unlike(data, start, end, at)
+        if len(unlike):
+            odd = [raw[start[i] : end[i]] for i in unlike]
+            fresh = list(dict.fromkeys(p for p in odd if p not in self.odd))
+            if fresh:
+                self.odd.update(zip(fresh, self._add(fresh).tolist()))
+            at[unlike] = [self.odd[p] for p in odd]
         sizes = self.starts[at + 1] - self.starts[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -143,9 +176,17 @@ def _encoder(path: str) -> PieceEncoder:
 
 
 def _open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    if urlparse(uri).scheme:
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), uri
+    """The file system of a full URI, and the path there."""
+    parts = urlparse(uri)
+    if parts.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), parts.path
+    return pafs.FileSystem.from_uri(uri)
+
+
+def full_uri(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark would read it by."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, dtype: str):
@@ -178,10 +219,12 @@ def _writer(folder: str, tokenizer: str, end_id: int, dtype: str):
     return write
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, dtype: str = "<u4", partitions: int | None = None) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, dtype: str = "<u4", file_bytes: int = 32 << 20) -> DataFrame:
     """Write the files; the manifest has (part, file, docs, tokens, base_doc, base_token)."""
     spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = full_uri(spark, folder)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // file_bytes))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     rows = settle(ordered.mapInArrow(_writer(folder, tokenizer, end_id, dtype), "part long, file string, docs long, tokens long"), "token-parts")
     base_doc = base_token = 0
@@ -192,23 +235,33 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     return spark.createDataFrame(manifest, "part long, file string, docs long, tokens long, base_doc long, base_token long")
 
 
-def _reader(folder: str, dtype: str, rows: int = 8192):
-    def view(fs: pafs.FileSystem, path: str, kind: str) -> np.ndarray:
-        if isinstance(fs, pafs.LocalFileSystem):
-            return np.memmap(path, dtype=kind, mode="r") if os.path.getsize(path) else np.zeros(0, dtype=kind)
-        with fs.open_input_file(path) as f:  # a store that cannot be mapped
-            return np.frombuffer(f.read(), dtype=kind)
+class _Ranged:
+    """An array in a file, read by ranges; mapped where the file is local."""
+
+    def __init__(self, fs: pafs.FileSystem, path: str, kind: str):
+        self.kind = np.dtype(kind)
+        local = isinstance(fs, pafs.LocalFileSystem)
+        self.mapped = np.memmap(path, dtype=kind, mode="r") if local and os.path.getsize(path) else None
+        self.file = None if local else fs.open_input_file(path)
+
+    def get(self, a: int, b: int) -> np.ndarray:
+        if self.file is not None:
+            return np.frombuffer(self.file.read_at((b - a) * self.kind.itemsize, a * self.kind.itemsize), dtype=self.kind)
+        return self.mapped[a:b] if self.mapped is not None else np.zeros(0, dtype=self.kind)
+
 
+def _reader(folder: str, dtype: str, rows: int = 1024):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open_fs(folder)
         for batch in batches:
             for r in batch.to_pylist():
-                ids, off, doc = (view(fs, f"{root}/{r['file']}.{x}", k) for x, k in (("ids", dtype), ("off", "<u8"), ("doc", "<i8")))
+                ids, off, doc = (_Ranged(fs, f"{root}/{r['file']}.{x}", k) for x, k in (("ids", dtype), ("off", "<u8"), ("doc", "<i8")))
                 for a in range(0, r["docs"], rows):
                     b = min(a + rows, r["docs"])
-                    at = off[a : b + 1].astype(np.int64)
-                    crc = [zlib.crc32(np.ascontiguousarray(ids[x:y], dtype="<u4")) for x, y in zip(at[:-1], at[1:])]
-                    d = np.array(doc[a:b])
+                    at = off.get(a, b + 1).astype(np.int64)
+                    own = ids.get(int(at[0]), int(at[-1]))
+                    crc = [zlib.crc32(np.ascontiguousarray(own[x:y], dtype="<u4")) for x, y in zip(at[:-1] - at[0], at[1:] - at[0])]
+                    d = np.array(doc.get(a, b))
                     yield pa.RecordBatch.from_pydict(
                         {
                             "doc_id": pa.array(d, pa.int64(), mask=d == NO_ID),
@@ -223,8 +276,9 @@ def _reader(folder: str, dtype: str, rows: int = 8192):
 
 def read_token_files(manifest: DataFrame, folder: str, dtype: str = "<u4") -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the mapped files."""
-    n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.repartition(n, "part").mapInArrow(_reader(folder, dtype), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    spark = manifest.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(n, "part").mapInArrow(_reader(full_uri(spark, folder), dtype), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def id_type(tokenizer: str) -> str:
