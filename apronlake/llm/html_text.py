@@ -1,26 +1,34 @@
 """Main text of web pages by wrapper induction.
 
 1. Every page becomes a skeleton: its DOM tree without text, runs of like leaf siblings
-   folded to one node, each node with a hash and the length of its own text.
-2. The page of smallest page_id of a host is the host's pivot. Each page's skeleton is
-   aligned with it by simple tree matching (order-preserving, same labels, most nodes).
-3. Texts of aligned nodes are counted per host and pivot node over all pages. A node of
-   one text on at least half of its pages is template; others are slots. The wrapper is
-   the path of the deepest container that holds nine tenths of the slots' text outside
-   menus, adverts, forms and the like, or of the article (else main) around it. Hosts of
-   too few pages to tell take the wrapper that holds the most slot text over all hosts.
-4. A page's text is what lies below the wrapper's path: all blocks, also those that
-   repeat over pages, without nested parts of a boilerplate role.
+   folded to one node, each node with hashes and lengths of its own texts. Nodes more than
+   ``DEEP`` levels down belong to their ancestor there.
+2. A host's pivot is a page of its most common outline (labels of the upper levels), the
+   smallest one. Each distinct skeleton of the host is aligned with it by simple tree
+   matching (order-preserving, same labels, most nodes).
+3. Texts of aligned nodes are counted per host and pivot node. A text on half of the host's
+   distinct pages at one node is constant, others fill slots. The wrapper is the path of the
+   deepest container that holds nine tenths of the slots' text outside menus, adverts, forms
+   and the like, or of the article (else main) around it, and its template: the texts below
+   that path which nine tenths of at least ``template_pages`` distinct pages have at one
+   node. A host whose template would be over a third of its content holds copies of one
+   page; it gets none. Hosts of too few pages to tell take the wrapper that holds the most
+   slot text over all hosts that can tell.
+4. A page's text is what lies below the wrapper's path, without the template's texts and
+   without nested parts of a boilerplate role. No page is tried against another host's
+   wrapper, so the result does not depend on the input's size.
 
 Only skeletons and counts move between tasks, keyed by host with partial aggregation.
 Pages are read again for step 4 and joined with their own host's wrapper: where they lie
-if at most ``broadcast_paths`` hosts have one, as Spark chooses if more do. No page is
-tried against another host's wrapper, so the result does not depend on the input's size.
+if at most ``broadcast_paths`` hosts have one, as Spark chooses if more do. All walks over
+trees keep their own stack, so the depth of a page has no bound.
 
 Cases. Null and empty html: empty text. No element matches the wrapper: article, else
-main, else body, else the whole page. Null url: a host of its own. Broken markup: missing
-end tags are closed by what follows, stray ones ignored, an unfinished page ends where it
-ends. Repeated rows: each by itself. Empty table: no rows. Other columns are ignored.
+main, else body, else the whole page. Null url: a host of its own. Null or repeated
+page_id: each row by itself; a page that another repeats counts once in step 3. Very long
+pages are read whole. Ties: smaller page, longer path. Broken markup: missing end tags are
+closed by what follows, stray ones ignored, an unfinished page ends where it ends. Empty
+table: no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,12 +37,11 @@ import html as entities
 import json
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .shared import settle, table
@@ -58,6 +65,8 @@ ASIDE_WORDS = set(
     "subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist reply replies disqus social share sharing "
     "related popup modal widget login signup search toolbar pagination pager contentinfo complementary dialog".split()
 )
+#: Levels of a page that wrappers tell apart.
+DEEP = 40
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -125,8 +134,27 @@ def parse(page: str) -> Node:
     return root
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks below ``node`` in page order, without parts of a boilerplate role."""
+def own_text(node: Node) -> tuple[str, list[Node]]:
+    """Text of ``node`` outside nested blocks, and those blocks (and parts of a boilerplate role)."""
+    out, kids, todo = [], [], list(reversed(node.parts))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x.tag in BLOCK or x.tag in RAW or x.aside:
+            kids.append(x)
+        elif x.tag == "br":
+            out.append(" ")
+        else:
+            todo += reversed(x.parts)
+    return " ".join("".join(out).split()), kids
+
+
+def blocks(node: Node, dropped: set[int] = frozenset()) -> list[str]:
+    """Texts of the blocks below ``node`` in page order, without parts of a boilerplate role.
+
+    ``dropped`` has the id() of blocks whose own text goes.
+    """
     out: list[str] = []
     line: list[str] = []
 
@@ -136,104 +164,134 @@ def blocks(node: Node) -> list[str]:
             out.append(text)
         line.clear()
 
-    todo: list = [(node, False)]
+    todo: list = [(node, False, node)]
     while todo:
-        x, leaving = todo.pop()
+        x, leaving, block = todo.pop()
         if leaving:
             flush()
         elif isinstance(x, str):
-            line.append(x)
+            if id(block) not in dropped:
+                line.append(x)
         elif not x.aside:
             if x.tag == "br":
                 line.append(" ")
             if x.tag in BLOCK:
                 flush()
-                todo.append((x, True))
-            todo += [(p, False) for p in reversed(x.parts)]
+                todo.append((x, True, block))
+                block = x
+            todo += [(p, False, block) for p in reversed(x.parts)]
         elif x.tag in BLOCK:
             flush()
     flush()
     return out
 
 
-def skeleton(node: Node) -> list:
-    """[label, aside, hash, length, children]; like neighbours without children are one node."""
-    children: list = []
-    own: list[str] = []
-    for p in node.parts:
-        if isinstance(p, str):
-            own.append(p)
-        elif p.tag in BLOCK or p.tag in RAW:
-            c = skeleton(p)
-            if children and children[-1][0] == c[0] and not children[-1][4] and not c[4]:
-                last = children[-1]
-                last[2], last[3] = zlib.crc32(str((last[2], c[2])).encode()), last[3] + c[3]
-            else:
-                children.append(c)
-        else:
-            own.append(_inline(p))
-    text = " ".join("".join(own).split())
-    return [node.label, int(node.aside), zlib.crc32(text.encode()), len(text), children]
+def text_hash(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) << 16 | len(text) & 0xFFFF
 
 
-def _inline(node: Node) -> str:
-    out, todo = [], [node]
+def skeleton(root: Node) -> list[list]:
+    """Nodes in page order: [label, aside, [[hash, length] of own texts], places of children]."""
+    nodes: list[list] = []
+    todo = [(root, -1, 0)]
     while todo:
-        x = todo.pop()
-        if isinstance(x, str):
-            out.append(x)
+        x, parent, depth = todo.pop()
+        text, kids = ("", []) if x.aside else own_text(x)
+        own = [[text_hash(text), len(text)]] if text else []
+        if depth > DEEP:
+            nodes[parent][2] += own
         else:
-            todo += reversed(x.parts)
-    return "".join(out)
+            if parent >= 0:
+                nodes[parent][3].append(len(nodes))
+            parent = len(nodes)
+            nodes.append([x.label, int(x.aside), own, []])
+        todo += [(k, parent, depth + 1) for k in reversed(kids)]
+    for node in nodes:  # like leaf siblings in a row are one node
+        kids: list[int] = []
+        for k in node[3]:
+            last = nodes[kids[-1]] if kids else None
+            if last and not last[3] and not nodes[k][3] and last[:2] == nodes[k][:2]:
+                last[2] += nodes[k][2]
+            else:
+                kids.append(k)
+        node[3] = kids
+    order, todo = [], [0]
+    while todo:
+        order.append(todo.pop())
+        todo += reversed(nodes[order[-1]][3])
+    place = {k: i for i, k in enumerate(order)}
+    return [[*nodes[k][:3], [place[c] for c in nodes[k][3]]] for k in order]
 
 
-def tree_match(a: list, b: list, memo: dict | None = None) -> int:
-    """Simple tree matching: nodes of the largest order-preserving match of equal labels, root on root."""
-    memo = {} if memo is None else memo
-    key = (id(a), id(b))
-    if key not in memo:
-        if a[0] != b[0]:
-            memo[key] = 0
-        else:
-            memo[key] = 1 + _grid(a[4], b[4], memo)[-1][-1]
-    return memo[key]
+def outline(tree: list[list], levels: int = 3) -> int:
+    """Hash of the labels of the upper levels."""
+    level, labels = [0], []
+    for _ in range(levels):
+        level = [c for k in level for c in tree[k][3]]
+        labels.append([tree[k][0] for k in level])
+    return zlib.crc32(json.dumps(labels).encode())
 
 
-def _grid(xs: list, ys: list, memo: dict) -> list[list[int]]:
+def _grid(xs: list[int], ys: list[int], score: dict[tuple[int, int], int]) -> list[list[int]]:
     grid = [[0] * (len(ys) + 1)]
     for x in xs:
-        row = [0]
+        above, row = grid[-1], [0]
         for j, y in enumerate(ys):
-            row.append(max(grid[-1][j + 1], row[j], grid[-1][j] + tree_match(x, y, memo)))
+            row.append(max(above[j + 1], row[j], above[j] + score.get((x, y), 0)))
         grid.append(row)
     return grid
 
 
-def align(pivot: list, page: list) -> list[tuple[str, str, int, int, int]]:
-    """(pivot node, label path, aside, hash, length) of every page node; unmatched ones have node "+"."""
-    memo: dict = {}
-    out: list = []
+def match_scores(a: list[list], b: list[list]) -> dict[tuple[int, int], int]:
+    """Simple tree matching: for each pair of nodes that can meet, the nodes of the largest
+    order-preserving match of equal labels below them, root on root."""
+    pairs = [(0, 0)] if a[0][0] == b[0][0] else []
+    for i, j in pairs:  # grows: pairs of children come after their parents
+        for x in a[i][3]:
+            pairs += [(x, y) for y in b[j][3] if a[x][0] == b[y][0]]
+    score: dict[tuple[int, int], int] = {}
+    for i, j in reversed(pairs):
+        score[i, j] = 1 + _grid(a[i][3], b[j][3], score)[-1][-1]
+    return score
 
-    def walk(a: list | None, b: list, node: str, path: str, aside: int) -> None:
-        aside |= b[1]
-        out.append((node if a else "+", path, aside, b[2], b[3]))
+
+def tree_match(a: list, b: list) -> int:
+    """Nodes of the largest match of two nested trees [label, ..., children], root on root."""
+
+    def flat(tree: list) -> list[list]:
+        nodes = [[tree[0], 0, [], tree[-1]]]
+        for node in nodes:  # grows by the children
+            node[3], nested = list(range(len(nodes), len(nodes) + len(node[3]))), node[3]
+            nodes += [[c[0], 0, [], c[-1]] for c in nested]
+        return nodes
+
+    return match_scores(flat(a), flat(b)).get((0, 0), 0)
+
+
+def align(pivot: list[list], page: list[list]) -> list[tuple[int, str, int, int, int]]:
+    """(pivot node, label path, aside, hash, length) of the texts of a page; node -1: unmatched."""
+    score = match_scores(pivot, page)
+    found: Counter = Counter()
+    todo = [(0 if score else -1, 0, page[0][0], 0)]
+    while todo:
+        i, j, path, aside = todo.pop()
+        aside |= page[j][1]
+        for h, n in page[j][2]:
+            found[i, path, aside, h] += n
+        xs, ys = pivot[i][3] if i >= 0 else [], page[j][3]
         partner: dict[int, int] = {}
-        if a:
-            grid, i, j = _grid(a[4], b[4], memo), len(a[4]), len(b[4])
-            while i and j:
-                if grid[i][j] == grid[i - 1][j]:
-                    i -= 1
-                elif grid[i][j] == grid[i][j - 1]:
-                    j -= 1
+        if xs and ys:
+            grid, k, m = _grid(xs, ys, score), len(xs), len(ys)
+            while k and m:
+                if grid[k][m] == grid[k - 1][m]:
+                    k -= 1
+                elif grid[k][m] == grid[k][m - 1]:
+                    m -= 1
                 else:
-                    i, j = i - 1, j - 1
-                    partner[j] = i
-        for j, c in enumerate(b[4]):
-            i = partner.get(j)
-            walk(a[4][i] if i is not None else None, c, f"{node}.{i}", f"{path}/{c[0]}", aside)
-
-    walk(pivot if pivot[0] == page[0] else None, page, "0", page[0], 0)
-    return out
+                    k, m = k - 1, m - 1
+                    partner[ys[m]] = xs[k]
+        todo += [(partner.get(y, -1), y, f"{path}/{page[y][0]}", aside) for y in ys]
+    return [(*key, n) for key, n in found.items()]
 
 
 def host_of(url: Column) -> Column:
@@ -242,8 +300,9 @@ def host_of(url: Column) -> Column:
 
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        trees = [json.dumps(skeleton(parse(p or "")), separators=(",", ":")) for p in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(trees, pa.string())], names=["page_id", "host", "tree"])
+        trees = [skeleton(parse(p or "")) for p in batch.column(2).to_pylist()]
+        texts = pa.array([json.dumps(t, separators=(",", ":")) for t in trees], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(outline, trees), pa.int64()), texts], names=["page_id", "host", "outline", "tree"])
 
 
 def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,40 +311,61 @@ def _alignments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, tree, pivot in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if host not in pivots:
-                pivots.clear()  # rows of a host come together
+                if len(pivots) > 100:
+                    pivots.clear()
                 pivots[host] = json.loads(pivot)
-            rows += [(host, *r) for r in align(pivots[host], json.loads(tree)) if r[4]]
+            rows += [(host, *r) for r in align(pivots[host], json.loads(tree))]
         columns = list(zip(*rows)) or [()] * 6
-        types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        types = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["host", "node", "path", "aside", "hash", "length"])
 
 
-def learn_wrappers(pages: DataFrame, least_pages: int = 3) -> tuple[DataFrame, str]:
-    """((host, wrapper) of hosts that can tell, wrapper of all other hosts)."""
+def _within(path: str, wrapper: str) -> Column:
+    return (F.col(path) == F.col(wrapper)) | F.startswith(F.col(path), F.concat(wrapper, F.lit("/")))
+
+
+def induce(pages: DataFrame, least_pages: int = 3, template_pages: int = 10, broadcast_hosts: int = 1000) -> tuple[DataFrame, str]:
+    """((host, wrapper, template) of hosts that can tell, wrapper of all other hosts)."""
     pages = pages.select("page_id", host_of(F.col("url")).alias("host"), "html")
-    trees = settle(pages.mapInArrow(_skeletons, "page_id long, host string, tree string"), "skeletons")
-    pivots = trees.groupBy("host").agg(F.min_by("tree", "page_id").alias("pivot"), F.count(F.lit(1)).alias("pages")).where("pivot IS NOT NULL")
-    aligned = trees.join(pivots.select("host", "pivot"), "host").select("host", "tree", "pivot")
-    slots = aligned.mapInArrow(_alignments, "host string, node string, path string, aside long, hash long, length long")
-    texts = slots.groupBy("host", "node", "path", "aside", "hash").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("length"))
-    nodes = texts.groupBy("host", "node", "path", "aside").agg(F.sum("n").alias("n"), F.max("n").alias("same"), F.sum("length").alias("length"))
-    varying = nodes.where("aside = 0 AND (node = '+' OR same * 2 < n)").groupBy("host", "path").agg(F.sum("length").alias("length"))
+    trees = settle(pages.mapInArrow(_skeletons, "page_id long, host string, outline long, tree string"), "skeletons")
+    # A page of the host's most common outline; copies of a page count once.
+    outlines = trees.groupBy("host", "outline").agg(F.min_by("tree", F.struct("page_id", "tree")).alias("pivot"), F.count(F.lit(1)).alias("n"))
+    pivots = outlines.groupBy("host").agg(F.max_by("pivot", F.struct("n", "outline")).alias("pivot"), F.sum("n").alias("pages"))
+    distinct = trees.groupBy("host", F.md5("tree").alias("mark")).agg(F.first("tree").alias("tree")).select("host", "tree")
+    texts_of = distinct.join(pivots.select("host", "pivot"), "host").select("host", "tree", "pivot")
+    texts = texts_of.mapInArrow(_alignments, "host string, node long, path string, aside long, hash long, length long")
+    texts = settle(texts.groupBy("host", "node", "path", "aside", "hash").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("length")), "node-texts")
+    pages_of = settle(pivots.select("host", "pages").join(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("kinds")), "host"), "host-pages")
+    # Rows of a busy host stay where they are if few hosts allow it.
+    few = (lambda of: F.broadcast(of)) if pages_of.limit(broadcast_hosts + 1).count() <= broadcast_hosts else (lambda of: of)
+    texts = texts.where("aside = 0").join(few(pages_of), "host")
+    slots = texts.where("n = 1 OR n * 2 < kinds").groupBy("host", "path").agg(F.sum("length").alias("length"))
     # Every ancestor holds what its descendants hold.
     steps = F.split("path", "/")
     prefix = F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "/")))
     tag = F.regexp_extract("wrapper", r"([^/.]+)[^/]*$", 1)
-    held = settle(varying.select("host", prefix.alias("wrapper"), "length").groupBy("host", "wrapper").agg(F.sum("length").alias("held")).where(tag.isin("#", *CONTAINERS)), "slot-text")
-    depth = F.size(F.split("wrapper", "/"))
+    held = settle(slots.select("host", prefix.alias("wrapper"), "length").groupBy("host", "wrapper").agg(F.sum("length").alias("held")).where(tag.isin("#", *CONTAINERS)), "slot-text")
+    deepest = F.max_by("wrapper", F.struct(F.size(F.split("wrapper", "/")), "held", "wrapper")).alias("wrapper")
     inside = [F.regexp_extract("wrapper", rf"^(.*?/{x}(?:\.[^/]*)?)(?:/|$)", 1) for x in ("article", "main")]
     around = F.coalesce(*(F.when(x != "", x) for x in inside), F.col("wrapper"))
+    most = held.groupBy("host").agg(F.max("held").alias("whole")).join(pages_of.where(F.col("pages") >= least_pages).select("host"), "host")
+    wrappers = held.join(few(most), "host").where("held * 10 >= whole * 9").groupBy("host").agg(deepest).withColumn("wrapper", around)
 
-    def deepest(of: DataFrame, keys: list[str]) -> DataFrame:
-        whole = F.max("held").over(W.partitionBy(*(keys or [F.lit(1)])))
-        return of.withColumn("whole", whole).where("held * 10 >= whole * 9").groupBy(*keys).agg(F.max_by("wrapper", F.struct(depth, "held", "wrapper")).alias("wrapper")).withColumn("wrapper", around)
+    below = texts.join(few(wrappers), "host").where(_within("path", "wrapper"))
+    same = (F.col("n") * 10 >= F.col("kinds") * 9) & (F.col("kinds") >= template_pages) & (F.col("node") >= 0)
+    known = F.concat_ws(":", "hash", "path")
+    template = below.groupBy("host").agg(F.sum("length").alias("whole"), F.sum(F.when(same, F.col("length"))).alias("fixed"), F.collect_set(F.when(same, known)).alias("template"))
+    template = template.where("fixed * 3 <= whole").select("host", "template")
+    every = held.join(few(most.select("host")), "host").groupBy("wrapper").agg(F.sum("held").alias("held"))
+    whole = every.agg(F.max("held")).first()[0] or 0
+    usual = every.where(F.col("held") * 10 >= whole * 9).agg(deepest).withColumn("wrapper", around).first()[0]
+    return settle(wrappers.join(template, "host", "left"), "wrappers"), usual or "#/html/body/article"
 
-    wrappers = deepest(held.join(pivots.where(F.col("pages") >= least_pages).select("host"), "host"), ["host"])
-    overall = deepest(held.groupBy("wrapper").agg(F.sum("held").alias("held")), []).collect()
-    return settle(wrappers, "wrappers"), (overall[0].wrapper if overall and overall[0].wrapper else "#/html/body/article")
+
+def learn_wrappers(pages: DataFrame) -> tuple[DataFrame, str]:
+    """((host, wrapper) of hosts that can tell, wrapper of all other hosts)."""
+    known, usual = induce(pages)
+    return known.select("host", "wrapper"), usual
 
 
 def _below(root: Node, path: str) -> list[Node]:
@@ -306,27 +386,42 @@ def _first(root: Node, tag: str) -> list[Node]:
     return out
 
 
-def main_text(page: str | None, path: str) -> str:
-    """What lies below the wrapper's ``path``, else the article, main or body."""
+def _constant(root: Node, template: set[str]) -> set[int]:
+    """id() of the blocks whose own text is one of the template."""
+    out, todo = set(), [(root, root.label, 0)]
+    while todo:
+        x, path, depth = todo.pop()
+        if not x.aside:
+            text, kids = own_text(x)
+            if text and f"{text_hash(text)}:{path}" in template:
+                out.add(id(x))
+            todo += [(k, path if depth >= DEEP else f"{path}/{k.label}", depth + 1) for k in kids]
+    return out
+
+
+def main_text(page: str | None, path: str, template: list[str] | None = None) -> str:
+    """What lies below the wrapper's ``path`` without its template, else the article, main or body."""
     root = parse(page or "")
-    nodes = _below(root, path) or _first(root, "article") or _first(root, "main") or _first(root, "body") or [root]
-    return "\n".join(b for x in nodes for b in blocks(x))
+    nodes = _below(root, path)
+    dropped = _constant(root, set(template)) if nodes and template else set()
+    nodes = nodes or _first(root, "article") or _first(root, "main") or _first(root, "body") or [root]
+    return "\n".join(b for x in nodes for b in blocks(x, dropped))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(*x) for x in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        texts = [main_text(*x) for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def extract_pages(pages: DataFrame, broadcast_paths: int = 1000) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    wrappers, usual = learn_wrappers(pages)
+    wrappers, usual = induce(pages, broadcast_hosts=broadcast_paths)
     if wrappers.limit(broadcast_paths + 1).count() <= broadcast_paths:
         wrappers = F.broadcast(wrappers)
     own = pages.withColumn("host", host_of(F.col("url"))).join(wrappers, "host", "left")
-    chosen = own.select("page_id", "url", "html", F.coalesce("wrapper", F.lit(usual)).alias("wrapper"))
+    chosen = own.select("page_id", "url", "html", F.coalesce("wrapper", F.lit(usual)).alias("wrapper"), "template")
     return chosen.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 
