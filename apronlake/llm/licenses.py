@@ -18,9 +18,9 @@ rows and joined by shuffle beyond. Units are exploded in the scan and only match
 
 Cases. Null and empty texts, and units without letters or digits, match nothing. Very
 long texts are read whole. A license found in several units counts once in ``licenses``
-and once a line in ``n_notices``. Repeated rows: each by itself (rows of equal doc_id and
-text come back as often as they are there). Empty table: no rows. Other columns are
-ignored.
+and once a line in ``n_notices``. Repeated rows and rows of a null or repeated doc_id: each by
+itself, as often as they are there. Ties of equal known texts: the smaller name. Empty
+table: no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -60,6 +60,38 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 _ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 
+_BSD_1 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_2 = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_0BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+""" + _ISC.split("\n")[1]
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+
+#: sha256 of the canonical forms of whole license texts, too long to stand here.
+#: Each of these texts has the stem "licen".
+DIGESTS = (
+    ("Apache-2.0", "045649cdaf85384ba827242062f2f3b36409835c98d297e25177cb1faf7c2847"),
+    ("Artistic-1.0-Perl", "64e91f5cc481723b420f8e1ecf131ec7eba02da96cf0a78bb4b764fb30984f7a"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "bd8e32052e49e6b79fccbdd5dc03f7d40e45a8e895e3ecb79394b97961ffb127"),
+    ("GFDL-1.3", "e7579a53c7b8214f091590d94bfe39deb978a080895ca5506448b8baf4f77985"),
+    ("GPL-1.0", "88c0d32b6685976f91edcbb228c50498a7324b47880b82b90b4b86377ca82e38"),
+    ("GPL-2.0", "ae2be2aaa68f5e52ef402874fc8c7c691879b445cb12e49d84f88168cc2d7dd6"),
+    ("GPL-3.0", "0b13c493393b76c6d31d60aa0218c3719670e34c311f444119e2aa1a01abe986"),
+    ("LGPL-2.0", "59a061c498ef1c6b3fd9ad6466d69d12b400f64b87cb827d62c381d3bc6aca88"),
+    ("LGPL-2.1", "1f0770d1499d1ef2c69208a3369d7d9f7722ab5c39fbad959327bed318feb554"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("Unlicense", "8d3909f4543649cfba0b0b1fc765c67acf3736106a78237ea2972f83eaa7dd3e"),
+)
+
 #: Texts of licenses and of the notices by which documents name them.
 KNOWN = (
     ("MIT", _MIT),
@@ -67,6 +99,12 @@ KNOWN = (
     ("MIT", "The MIT License (MIT)\n" + _MIT),
     ("ISC", _ISC),
     ("ISC", "ISC License\n" + _ISC),
+    ("BSD-2-Clause", f"{_BSD_1}\n{_BSD_2}"),
+    ("BSD-2-Clause", f"BSD 2-Clause License\n{_BSD_1}\n{_BSD_2}"),
+    ("BSD-3-Clause", f"{_BSD_1}\n{_BSD_3}\n{_BSD_2}"),
+    ("BSD-3-Clause", f"BSD 3-Clause License\n{_BSD_1}\n{_BSD_3}\n{_BSD_2}"),
+    ("0BSD", _0BSD),
+    ("Zlib", _ZLIB),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This work is licensed under the MIT License."),
@@ -153,36 +191,36 @@ def digest(text: Column) -> Column:
     return F.when(c != "", F.sha2(c.cast("binary"), 256))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    rows = spark.createDataFrame(list(known), "license string, text string")
-    return rows.select("license", digest(F.col("text")).alias("digest")).where("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = DIGESTS) -> DataFrame:
+    rows = spark.createDataFrame(list(known), "license string, text string").select("license", digest(F.col("text")).alias("digest"))
+    rows = rows.unionByName(spark.createDataFrame(list(digests), "license string, digest string"))
+    return rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan_licenses(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, broadcast_rows: int = 100_000) -> DataFrame:
+def scan_licenses(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, broadcast_rows: int = 100_000, digests: tuple[tuple[str, str], ...] = DIGESTS) -> DataFrame:
     """(doc_id, whole, n_notices, licenses) of every row of ``docs``.
 
     ``whole`` is the license that the entire text is; ``n_notices`` counts lines that are
     a known text; ``licenses`` are all names found, sorted, comma-joined, or empty.
     """
-    known = known_digests(docs.sparkSession, texts)
-    asked = stems(texts)
+    known = known_digests(docs.sparkSession, texts, digests)
+    asked = sorted({*stems(texts), *(["licen"] if digests else [])})
     if known.limit(broadcast_rows + 1).count() <= broadcast_rows:
         known = F.broadcast(known)
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text")).where(has_stem(F.col("text"), asked))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+    # Rows are named by id and text: what equal rows hold is the same.
+    docs = docs.withColumn("mark", F.when(has_stem(F.col("text"), asked), F.md5("text")))
     unit = lambda kind, parts: F.transform(parts, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("part")))
     units = F.concat(unit("text", F.array("text")), unit("paragraph", F.split("text", r"\n\s*\n")), unit("line", F.split("text", "\n")))
-    found = docs.select("doc_id", F.explode(units).alias("u")).where(has_stem(F.col("u.part"), asked))
-    found = found.select("doc_id", "u.kind", digest(F.col("u.part")).alias("digest")).join(known, "digest")
-    of = found.groupBy("doc_id").agg(
+    found = docs.where("mark IS NOT NULL").select("doc_id", "mark", F.posexplode(units).alias("place", "u")).where(has_stem(F.col("u.part"), asked))
+    found = found.select("doc_id", "mark", "place", "u.kind", digest(F.col("u.part")).alias("digest")).join(known, "digest").dropDuplicates(["doc_id", "mark", "place"])
+    of = found.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(
         F.max(F.when(F.col("kind") == "text", F.col("license"))).alias("whole"),
         F.sum((F.col("kind") == "line").cast("long")).alias("n_notices"),
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),
     )
-    rows = ids.withColumnRenamed("doc_id", "_id")
-    return rows.join(of, F.col("_id").eqNullSafe(of["doc_id"]), "left").select(
-        F.col("_id").alias("doc_id"), "whole", F.coalesce("n_notices", F.lit(0)).alias("n_notices"), F.coalesce("licenses", F.lit("")).alias("licenses")
-    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
+    return docs.select("doc_id", "mark").join(of, same, "left").select("doc_id", "whole", F.coalesce("n_notices", F.lit(0)).alias("n_notices"), F.coalesce("licenses", F.lit("")).alias("licenses"))
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,21 +229,28 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same lookup in DuckDB; each form is made in one place there too."""
-    form = "regexp_replace(lower(t), '(?m)^[^a-z0-9\\n]*(copyright|\\(c\\)|©)[^a-z\\n]*( \\(c\\)| ©)?[^\\n]*$|(?m)^[^a-z0-9\\n]*all rights reserved[^a-z0-9\\n]*$', '', 'g')"
+    """The same lookup in DuckDB; its patterns have no lookahead, so lines are left out one by one."""
+    head = "^[^a-z0-9]*"
+    holder = _NO_HOLDER.replace("\\b", "")
+    is_statement = (
+        f"regexp_matches(x, '{head}(copyright[^a-z0-9]*(\\(c\\)|©|[0-9]{{4}})|©|\\(c\\)|all rights reserved[^a-z0-9]*$)')"
+        f" OR (regexp_matches(x, '{head}copyright[^a-z0-9]+[a-z]') AND NOT regexp_matches(x, '{head}copyright[^a-z0-9]+{holder}([^a-z0-9_]|$)'))"
+    )
+    form = f"array_to_string(list_filter(string_split(lower(t), chr(10)), lambda x: NOT ({is_statement})), chr(10))"
     form = f"trim(regexp_replace({form}, '[^a-z0-9]+', ' ', 'g'))"
     for old, new in SPELLINGS:
         form = f"replace({form}, '{old}', '{new}')"
     values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in KNOWN)
+    digests = ", ".join(f"('{a}', '{b}')" for a, b in DIGESTS)
     return f"""
-WITH k AS (SELECT c, min(license) AS license FROM (SELECT license, {form} AS c FROM (VALUES {values}) v(license, t)) GROUP BY c),
-d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-u AS (SELECT doc_id, 'text' AS kind, t FROM d UNION ALL SELECT doc_id, 'paragraph', unnest(regexp_split_to_array(t, '\\n\\s*\\n')) FROM d
-      UNION ALL SELECT doc_id, 'line', unnest(string_split(t, chr(10))) FROM d),
-f AS (SELECT u.doc_id, u.kind, k.license FROM (SELECT doc_id, kind, {form} AS c FROM u) u JOIN k ON k.c = u.c AND u.c <> ''),
-g AS (SELECT doc_id, max(license) FILTER (kind = 'text') AS whole, count(*) FILTER (kind = 'line') AS n_notices,
-      array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses FROM f GROUP BY doc_id)
-SELECT d.doc_id, g.whole, coalesce(g.n_notices, 0)::BIGINT AS n_notices, coalesce(g.licenses, '') AS licenses FROM d LEFT JOIN g USING (doc_id)
+WITH k AS (SELECT c, min(license) AS license FROM (SELECT license, sha256({form}) AS c FROM (VALUES {values}) v(license, t) UNION ALL SELECT * FROM (VALUES {digests})) GROUP BY c),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+u AS (SELECT r, 'text' AS kind, t FROM d UNION ALL SELECT r, 'paragraph', unnest(regexp_split_to_array(t, '\\n\\s*\\n')) FROM d
+      UNION ALL SELECT r, 'line', unnest(string_split(t, chr(10))) FROM d),
+f AS (SELECT u.r, u.kind, k.license FROM (SELECT r, kind, {form} AS c FROM u) u JOIN k ON k.c = sha256(u.c) AND u.c <> ''),
+g AS (SELECT r, max(license) FILTER (kind = 'text') AS whole, count(*) FILTER (kind = 'line') AS n_notices,
+      array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses FROM f GROUP BY r)
+SELECT d.doc_id, g.whole, coalesce(g.n_notices, 0)::BIGINT AS n_notices, coalesce(g.licenses, '') AS licenses FROM d LEFT JOIN g USING (r)
 """
 
 
