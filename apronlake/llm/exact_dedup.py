@@ -16,8 +16,9 @@ empty one and joins each row with its entry.
 Cases. Null text counts as empty; all texts of white space are equal. Of equal texts the
 row with most code points, then smallest doc_id stays; null doc_id loses ties. Repeated
 rows count each. A deletion of what is not there changes nothing. Deleting the row that
-stays leaves its digest live under the same keep_id until its last row goes. Empty table:
-no rows. Other columns are ignored.
+stays leaves its digest live but vacant, and hand_over() names the best of the rows that
+remain. Very long texts are read whole. Empty table: no rows. Other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from .shared import settle, table
 
 ENTRY = "shard long, digest string, n_chars long, keep_id long, group_size long"
+#: n_chars of an entry whose staying row was deleted.
+VACANT = -1
 BLANK = r"[\x20\x09-\x0D]+"
 
 
@@ -109,12 +112,15 @@ class CuckooIndex:
         if not self._place(digest, len(self.entries) - 1):
             self._grow()
 
-    def delete(self, digest: str, rows: int) -> None:
+    def delete(self, digest: str, rows: int, doc_id: int | None = None) -> None:
+        """Take off ``rows`` rows; if ``doc_id`` is the one that stays, its place becomes vacant."""
         found = self.find(digest)
         if not found:
             return
         at = self.where[found]
         self.entries[at][3] -= rows
+        if doc_id is not None and doc_id == self.entries[at][2]:
+            self.entries[at][1:3] = VACANT, None
         if self.entries[at][3] <= 0:
             self.entries[at] = None
             self.prints[found], self.where[found] = 0, -1
@@ -150,8 +156,8 @@ def _update(key: tuple, stored: pd.DataFrame, changes: pd.DataFrame) -> pd.DataF
     plus, minus = changes[changes["rows"] > 0], changes[changes["rows"] < 0]
     for e in zip(plus["digest"], plus["n_chars"], ids(plus["keep_id"]), plus["rows"]):
         index.insert(*e)
-    for digest, rows in zip(minus["digest"], minus["rows"]):
-        index.delete(digest, -rows)
+    for digest, doc, rows in zip(minus["digest"], ids(minus["keep_id"]), minus["rows"]):
+        index.delete(digest, -rows, doc)
     live = [(key[0], *e) for e in index.entries if e]
     return pd.DataFrame(live, columns=["shard", "digest", "n_chars", "keep_id", "group_size"]).astype({"shard": "int64", "n_chars": "int64", "keep_id": "Int64", "group_size": "int64"})
 
@@ -163,7 +169,8 @@ def empty_index(spark: SparkSession) -> DataFrame:
 def apply_batch(index: DataFrame, changes: DataFrame, shards: int) -> DataFrame:
     """The index after ``changes`` (digest, n_chars, keep_id, rows); rows < 0 deletes so many.
 
-    The same number of shards must be used for all batches of an index.
+    The same number of shards must be used for all batches of an index. A deletion's keep_id
+    is the row that goes; where it was the one that stays, hand_over() must follow.
     """
     shard = F.pmod(F.conv(F.substring("digest", 1, 12), 16, 10).cast("long"), F.lit(shards)).alias("shard")
     less = changes.select("digest", "n_chars", "keep_id", F.col("rows").cast("long").alias("rows"))
@@ -172,6 +179,21 @@ def apply_batch(index: DataFrame, changes: DataFrame, shards: int) -> DataFrame:
     return index.groupBy("shard").cogroup(less.groupBy("shard")).applyInPandas(_update, ENTRY)
 
 
+def hand_over(index: DataFrame, docs: DataFrame) -> DataFrame:
+    """``index`` with the best of the remaining rows ``docs`` wherever the row that stayed was deleted.
+
+    Only digests of vacant entries meet rows, combined before they move.
+    """
+    vacant = index.where(F.col("n_chars") == VACANT).select("digest")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), digest_of(F.col("text")).alias("digest"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"))
+    order = F.struct("n", F.col("id").isNotNull(), -F.col("id"))
+    best = rows.join(vacant, "digest", "left_semi").groupBy("digest").agg(F.max_by(F.struct("n", "id"), order).alias("best"))
+    filled = (F.col("n_chars") == VACANT) & F.col("best").isNotNull()
+    return index.join(best, "digest", "left").select(
+        "shard", "digest", F.when(filled, F.col("best.n")).otherwise(F.col("n_chars")).alias("n_chars"), F.when(filled, F.col("best.id")).otherwise(F.col("keep_id")).alias("keep_id"), "group_size"
+    )
+
+
 def exact_classes(docs: DataFrame, keys_per_shard: int = 5000) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row of ``docs``."""
     rows = settle(
