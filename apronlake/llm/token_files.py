@@ -45,6 +45,8 @@ from .wordhash import Words, chunks_of, eight_bytes, slices
 
 NO_ID = np.iinfo(np.int64).min
 CACHE_PIECES = 1_500_000
+#: Bytes of text whose pieces are looked up at once; each look-up of new ones sorts the cache.
+SLICE = 4 << 20
 
 
 def _flags(*spans: tuple[int, int]) -> np.ndarray:
@@ -199,7 +201,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, dtype: str):
         docs = tokens = 0
         for batch in batches:
             ids = batch.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for a, b, data, offsets in slices(batch.column(1)):
+            for a, b, data, offsets in slices(batch.column(1), SLICE):
                 if streams is None:
                     fs.create_dir(root, recursive=True)
                     streams = [fs.open_output_stream(str(PurePosixPath(root, f"{name}.{x}"))) for x in ("ids", "off", "doc")]

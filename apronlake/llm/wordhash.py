@@ -7,13 +7,14 @@ loops over words in Python. ``ASCII_SPACE`` words are ``[^\\x20\\x09-\\x0D]+``;
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -78,6 +79,16 @@ class Words:
         return mix(h)
 
 
+_LIBC = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give freed memory back: workers live on through stages that need none of it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of slices of about ``limit`` bytes; null texts are empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -96,6 +107,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1)
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b
+    release()
 
 
 def find_words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = ASCII_SPACE, lower: bool = False) -> Words:
