@@ -112,10 +112,10 @@ def natural_frequency(p: Column) -> Column:
 
 
 def vs_base_rate(p: Column, base: Column) -> Column:
-    """Six bands of the ratio to a base rate."""
+    """Six bands of the ratio to a base rate; the three upper edges belong to the lower band."""
     r = F.try_divide(p, base)
     return (
-        F.when(r < 0.5, "far below usual").when(r < 0.8, "below usual").when(r < 1.2, "about usual").when(r < 1.6, "above usual").when(r < 2.2, "well above usual").when(r.isNotNull(), "far above usual")
+        F.when(r < 0.6, "well below usual").when(r < 0.85, "below usual").when(r <= 1.15, "about usual").when(r <= 1.6, "above usual").when(r <= 2.5, "well above usual").when(r.isNotNull(), "far above usual")
     )
 
 

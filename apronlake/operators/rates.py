@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from apronlake.functions.measures import ADDITIVE, rates
 
+from .scratch import written
+
 #: Level: key column.
 GRAINS = {"route": "route", "carrier": "carrier", "airport": "origin", "turnaround_band": "band", "rotation_position": "pos_key"}
 
@@ -40,7 +42,8 @@ def smooth(n: Column, p: Column, g: Column, m: float = 50.0) -> Column:
 
 
 def smoothed_rates(df: DataFrame, grains: dict[str, str], cutoff: str, m: float = 50.0) -> DataFrame:
-    raw = historical_rates(df, grains, cutoff)
+    """Smoothed rates; the raw ones are written once, as they serve as rows and as the prior."""
+    raw = written(historical_rates(df, grains, cutoff), "rates")
     x = raw.crossJoin(F.broadcast(global_prior(raw)))
     return x.select("level", "key", "n", smooth(F.col("n"), F.col("rate"), F.col("g_rate"), m).alias("rate"), smooth(F.col("n"), F.col("avg_delay"), F.col("g_delay"), m).alias("avg_delay"))
 

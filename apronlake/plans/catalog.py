@@ -146,8 +146,8 @@ def yoy(spark, d):
 
 @query
 def pivot_day_hour(spark, d):
-    mart = M.schedule_mart(X.legs_big(spark, d)).where("dep_hour < 6")
-    return mart.groupBy("weekday").pivot("dep_hour", list(range(6))).agg(six(F.try_divide(F.sum("n_arr_del15"), F.sum("n_with_arr_outcome")))).withColumnsRenamed({str(h): f"h{h}" for h in range(6)})
+    mart = M.schedule_mart(X.legs_big(spark, d))
+    return mart.groupBy("weekday").pivot("dep_hour", list(range(24))).agg(six(F.try_divide(F.sum("n_arr_del15"), F.sum("n_with_arr_outcome")))).withColumnsRenamed({str(h): f"h{h}" for h in range(24)})
 
 
 @query
@@ -477,9 +477,15 @@ def batch_features(spark, d):
     return x.select("request_id", "context", "pos_used", "legs_used", "turn_used", "band", "pos_key", "distance_used", "density_used", "density_source", *(six(F.col(f"{p}_rate")).alias(f"{p}_rate") for p in M.FEATURE_RATES))
 
 
+def _basis(spark, d) -> DataFrame:
+    as_of = "2024-02-05T12:00:00"
+    grid = X.forecast_hours(M.decoded_observations(X.observations(spark, d)), as_of)
+    return M.basis(X.requests(spark, d), X.request_zones(spark, d), grid, as_of)
+
+
 @query
 def basis_columns(spark, d):
-    return M.basis(X.requests(spark, d), "2024-02-05T12:00:00")
+    return _basis(spark, d)
 
 
 @query
@@ -492,7 +498,7 @@ def unseen_categories(spark, d):
     """Requests by column whose category was never seen in training."""
     seen = X.legs(spark, d).where(F.col("leg_date") < "2024-01-02").select(F.concat("origin", F.lit("-"), "dest").alias("_route"), F.lit(True).alias("known")).distinct()
     r = X.requests(spark, d).withColumn("route", F.concat("origin", F.lit("-"), "dest"))
-    return r.join(F.broadcast(seen), F.col("route") == F.col("_route"), "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("known").isNull()).cast("long").alias("n_unseen"))
+    return r.join(J.small(seen), F.col("route") == F.col("_route"), "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("known").isNull()).cast("long").alias("n_unseen"))
 
 
 # Evaluation ------------------------------------------------------------------------------
@@ -594,7 +600,7 @@ def pb_moments(spark, d):
 
 @query
 def day_typicality(spark, d):
-    return E.day_typicality(X.legs(spark, d).where("origin = 'S1'"), "leg_date")
+    return E.day_typicality(X.legs(spark, d), "leg_date")
 
 
 def _banks(spark, d) -> DataFrame:
@@ -810,5 +816,5 @@ def forecast_layers(spark, d):
 
 @query
 def display_texts(spark, d):
-    r = M.basis(X.requests(spark, d), "2024-02-05T12:00:00")
-    return r.select("request_id", Sg.basis_notes(F.col("flight_in_past"), F.col("weather_horizon"), F.col("context")).alias("notes"))
+    notes = Sg.basis_notes(F.col("flight_in_past"), F.col("weather_horizon"), F.col("rotation_context"), F.col("origin_density_source"))
+    return _basis(spark, d).select("request_id", notes.alias("notes"))

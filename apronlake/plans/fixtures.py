@@ -107,10 +107,10 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every twentieth leg, 28 days later, as a scoring request; some are incoherent."""
+    """Every leg, 28 days later, as a scoring request; some are incoherent."""
     i = F.col("leg_id")
     turn = (i * 11) % 900
-    return legs(spark, sf_dir).where("leg_id % 20 = 0").select(
+    return legs(spark, sf_dir).select(
         i.alias("request_id"),
         F.date_add("leg_date", 28).alias("leg_date"),
         "dep_min",
@@ -118,10 +118,23 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "origin",
         "dest",
         F.when(i % 3 == 0, F.col("distance") * 10).alias("distance"),
-        F.when(i % 40 == 0, i % 9).alias("position"),
-        F.when((i % 40 == 0) & (i % 7 != 0), i % 9 + 1).when(i % 7 == 0, F.lit(2)).alias("legs_today"),
-        F.when((i % 40 == 0) & (i % 9 > 1), turn).alias("turnaround"),
-        F.when((i % 40 == 0) & (i % 9 > 1) & (i % 7 != 0), F.col("distance")).alias("inbound_distance"),
-        F.when((i % 40 == 0) & (i % 9 > 1), F.col("elapsed_min")).alias("inbound_elapsed"),
-        F.when(i % 60 == 0, i % 50 - 5).alias("density"),
+        F.when(i % 2 == 0, i % 9).alias("position"),
+        F.when((i % 2 == 0) & (i % 7 != 0), i % 9 + 1).when(i % 7 == 0, F.lit(2)).alias("legs_today"),
+        F.when((i % 2 == 0) & (i % 9 > 1), turn).alias("turnaround"),
+        F.when((i % 2 == 0) & (i % 9 > 1) & (i % 7 != 0), F.col("distance")).alias("inbound_distance"),
+        F.when((i % 2 == 0) & (i % 9 > 1), F.col("elapsed_min")).alias("inbound_elapsed"),
+        F.when(i % 3 == 0, i % 50 - 5).alias("density"),
     )
+
+
+def request_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone of each origin of legs; that of S2 is unknown."""
+    place = legs(spark, sf_dir).select(F.col("origin").alias("airport")).distinct()
+    return place.select("airport", F.when(F.col("airport") == "S0", ZONES[0]).when(F.col("airport") == "S1", ZONES[1]).alias("tz"))
+
+
+def forecast_hours(decoded: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Hours with a forecast temperature: observations 28 days later, up to ``days`` after ``as_of``."""
+    at = F.col("obs_ts") + F.expr("INTERVAL 28 DAYS")
+    x = decoded.where(F.col("temp_f").isNotNull() & (at < F.lit(as_of).cast("timestamp_ntz") + F.expr(f"INTERVAL {days} DAYS")))
+    return x.select(F.col("station").alias("place"), F.date_trunc("hour", at).cast("timestamp_ntz").alias("hour"), "temp_f").groupBy("place", "hour").agg(F.avg("temp_f").alias("forecast_temp_f"))

@@ -49,7 +49,7 @@ def entity_mart(legs: DataFrame, entity: str, hist: DataFrame, level: str) -> Da
     """Measures of an entity; its historical rate is joined after aggregating."""
     of = hist.where(F.col("level") == level).select(F.col("key").alias("_k"), F.round("rate", 6).alias("hist_rate"))
     mart = legs.groupBy(entity).agg(*delay_measures())
-    return mart.join(F.broadcast(of), mart[entity] == F.col("_k"), "left").drop("_k")
+    return mart.join(of, mart[entity] == F.col("_k"), "left").drop("_k")
 
 
 def dim_date(legs: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -212,13 +212,31 @@ def assemble(requests: DataFrame, hist: DataFrame, profile: DataFrame, density:
     )
 
 
-def basis(requests: DataFrame, as_of: str) -> DataFrame:
-    """What a score of each request rests on, at an instant that the caller gives."""
-    at = F.lit(as_of).cast("timestamp_ntz")
-    dep = F.timestamp_add("MINUTE", F.col("dep_min").cast("int"), F.col("leg_date").cast("timestamp_ntz"))
-    ahead = F.timestamp_diff("MINUTE", at.cast("timestamp"), dep.cast("timestamp"))
-    horizon = F.when(ahead < 0, "past").when(ahead < 48 * 60, "forecast").when(ahead < 7 * 24 * 60, "long_range").otherwise("beyond")
-    return requests.select("request_id", (ahead < 0).alias("flight_in_past"), horizon.alias("weather_horizon"), F.when(F.col("position").isNotNull(), "provided").otherwise("typical").alias("context"))
+def forecast_join(requests: DataFrame, zones: DataFrame, grid: DataFrame) -> DataFrame:
+    """Requests with the UTC instant of departure and the forecast of its hour at the origin, where there is one.
+
+    ``zones`` has (airport, tz), ``grid`` (place, hour, and values), one row a place and hour.
+    """
+    z = zones.select(F.col("airport").alias("_airport"), "tz")
+    x = requests.join(J.small(z), requests["origin"] == F.col("_airport"), "left").drop("_airport")
+    x = x.withColumn("dep_utc", F.when(F.col("tz").isNotNull(), C.local_to_utc(F.col("leg_date"), F.col("dep_min"), F.coalesce("tz", F.lit("UTC")))))
+    g = grid.withColumnsRenamed({"place": "_place", "hour": "_hour"})
+    on = (F.col("origin") == F.col("_place")) & (F.date_trunc("hour", "dep_utc").cast("timestamp_ntz") == F.col("_hour"))
+    return x.join(g, on, "left").withColumn("has_weather", F.col("_hour").isNotNull()).drop("_place", "_hour")
+
+
+def basis(requests: DataFrame, zones: DataFrame, grid: DataFrame, as_of: str) -> DataFrame:
+    """What a score of each request rests on, at a UTC instant that the caller gives."""
+    x = forecast_join(requests, zones, grid)
+    past = F.coalesce(F.col("dep_utc") <= F.lit(as_of).cast("timestamp_ntz"), F.lit(False))
+    horizon = F.when(F.col("dep_utc").isNull(), "unavailable").when(past, "past").when(F.col("has_weather"), "forecast").otherwise("beyond_horizon")
+    return x.select(
+        "request_id",
+        past.alias("flight_in_past"),
+        horizon.alias("weather_horizon"),
+        F.when(F.col("position").isNotNull(), "provided").otherwise("typical_estimate").alias("rotation_context"),
+        F.when(F.col("density") > 0, "provided").otherwise("estimated").alias("origin_density_source"),
+    )
 
 
 def time_slice_view(mart: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ bl AS (SELECT l_orderkey AS order_key, l_linenumber::BIGINT AS line, l_shipdate:
   false AS diverted, (l_partkey * 13 + l_linenumber::BIGINT * 29) % 120 - 40 AS raw
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey
   JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation cn ON c_nationkey = cn.n_nationkey),
-big AS (SELECT * EXCLUDE raw, dep_min // 60 AS dep_hour, CASE WHEN NOT cancelled THEN greatest(0, raw) END AS arr_delay_min,
+big AS MATERIALIZED (SELECT * EXCLUDE raw, dep_min // 60 AS dep_hour, CASE WHEN NOT cancelled THEN greatest(0, raw) END AS arr_delay_min,
   CASE WHEN NOT cancelled THEN greatest(0, raw) >= 15 END AS arr_del15 FROM bl)"""
 
 _OBS = r"""
@@ -57,7 +57,7 @@ def _rates(source: str, grains: dict[str, str], cutoff: str) -> str:
         for g, c in grains.items()
     )
     return (
-        f"hr AS ({arms}), gp AS (SELECT sum(n * rate) / sum(n) AS g, sum(n * avg_delay) / sum(n) AS gd FROM hr WHERE level = 'carrier'), "
+        f"hr AS MATERIALIZED ({arms}), gp AS (SELECT sum(n * rate) / sum(n) AS g, sum(n * avg_delay) / sum(n) AS gd FROM hr WHERE level = 'carrier'), "
         "sm AS (SELECT level, key, n, (n * rate + 50 * g) / (n + 50) AS rate, (n * avg_delay + 50 * gd) / (n + 50) AS avg_delay FROM hr, gp)"
     )
 
@@ -99,11 +99,18 @@ _EXC = (
 _AUC = "sum(pos * (below + neg / 2)) / nullif(sum(pos) * sum(neg), 0)"
 _AP = "sum(pos * tp / (tp + fp)) / nullif(sum(pos), 0)"
 _REQ = f"""{_LEGS}, req AS (SELECT leg_id AS request_id, leg_date + 28 AS leg_date, dep_min, carrier, origin, dest, CASE WHEN leg_id % 3 = 0 THEN distance * 10 END AS distance,
-  CASE WHEN leg_id % 40 = 0 THEN leg_id % 9 END AS position, CASE WHEN leg_id % 40 = 0 AND leg_id % 7 <> 0 THEN leg_id % 9 + 1 WHEN leg_id % 7 = 0 THEN 2 END AS legs_today,
-  CASE WHEN leg_id % 40 = 0 AND leg_id % 9 > 1 THEN (leg_id * 11) % 900 END AS turnaround,
-  CASE WHEN leg_id % 40 = 0 AND leg_id % 9 > 1 AND leg_id % 7 <> 0 THEN distance END AS inbound_distance,
-  CASE WHEN leg_id % 40 = 0 AND leg_id % 9 > 1 THEN elapsed_min END AS inbound_elapsed, CASE WHEN leg_id % 60 = 0 THEN leg_id % 50 - 5 END AS density
-  FROM legs WHERE leg_id % 20 = 0)"""
+  CASE WHEN leg_id % 2 = 0 THEN leg_id % 9 END AS position, CASE WHEN leg_id % 2 = 0 AND leg_id % 7 <> 0 THEN leg_id % 9 + 1 WHEN leg_id % 7 = 0 THEN 2 END AS legs_today,
+  CASE WHEN leg_id % 2 = 0 AND leg_id % 9 > 1 THEN (leg_id * 11) % 900 END AS turnaround,
+  CASE WHEN leg_id % 2 = 0 AND leg_id % 9 > 1 AND leg_id % 7 <> 0 THEN distance END AS inbound_distance,
+  CASE WHEN leg_id % 2 = 0 AND leg_id % 9 > 1 THEN elapsed_min END AS inbound_elapsed, CASE WHEN leg_id % 3 = 0 THEN leg_id % 50 - 5 END AS density
+  FROM legs)"""
+_BASIS = f"""{_REQ}, {_OBS}, grid AS (SELECT DISTINCT station, date_trunc('hour', obs_ts + INTERVAL 28 DAY) AS h FROM obs WHERE temp_f IS NOT NULL AND obs_ts + INTERVAL 28 DAY < TIMESTAMP '2024-02-12 12:00:00'),
+ba1 AS (SELECT *, CASE origin WHEN 'S0' THEN 'America/New_York' WHEN 'S1' THEN 'America/Chicago' END AS tz FROM req),
+ba2 AS (SELECT *, CASE WHEN tz IS NOT NULL THEN timezone('UTC', (leg_date::TIMESTAMP + to_minutes(dep_min)) AT TIME ZONE coalesce(tz, 'UTC')) END AS dep FROM ba1),
+ba AS (SELECT request_id, coalesce(dep <= TIMESTAMP '2024-02-05 12:00:00', false) AS flight_in_past,
+  CASE WHEN dep IS NULL THEN 'unavailable' WHEN dep <= TIMESTAMP '2024-02-05 12:00:00' THEN 'past' WHEN h IS NOT NULL THEN 'forecast' ELSE 'beyond_horizon' END AS weather_horizon,
+  CASE WHEN position IS NOT NULL THEN 'provided' ELSE 'typical_estimate' END AS rotation_context, CASE WHEN density > 0 THEN 'provided' ELSE 'estimated' END AS origin_density_source
+  FROM ba2 LEFT JOIN grid ON station = origin AND h = date_trunc('hour', dep))"""
 _CONN = """cn AS (SELECT a.leg_id AS first_id, b.leg_id AS second_id, a.leg_date, a.dest AS airport, b.dep_min - (a.dep_min + a.elapsed_min) AS layover, a.score
   FROM legs a JOIN legs b ON a.leg_date = b.leg_date AND a.dest = b.origin AND b.dep_min - (a.dep_min + a.elapsed_min) BETWEEN 30 AND 240 AND a.origin <> b.dest
   WHERE a.dep_min + a.elapsed_min <= 1439 AND NOT a.cancelled AND NOT b.cancelled)"""
@@ -161,8 +168,8 @@ ORACLES: dict[str, str] = {
     "SELECT carrier, round(sum(a) / nullif(sum(d), 0), 6) AS rate, round(sum(d * r) / nullif(sum(d), 0), 6) AS expected_rate, round(sum(a) / nullif(sum(d * r), 0), 6) AS mix_index FROM cells JOIN ov USING (route) GROUP BY carrier",
     "yoy": f"WITH {_BIG}, y AS (SELECT year(leg_date)::INT AS year_no, round(count(*) FILTER (arr_del15) / nullif(count(arr_delay_min), 0), 6) AS delay_rate FROM big GROUP BY 1) SELECT year_no, delay_rate, round(delay_rate - lag(delay_rate) OVER (ORDER BY year_no), 6) AS delta FROM y",
     "pivot_day_hour": f"WITH {_BIG} SELECT isodow(leg_date)::INT AS weekday, "
-    + ", ".join(f"round(count(*) FILTER (arr_del15 AND dep_hour = {h}) / nullif(count(arr_delay_min) FILTER (dep_hour = {h}), 0), 6) AS h{h}" for h in range(6))
-    + " FROM big WHERE dep_hour < 6 GROUP BY 1",
+    + ", ".join(f"round(count(*) FILTER (arr_del15 AND dep_hour = {h}) / nullif(count(arr_delay_min) FILTER (dep_hour = {h}), 0), 6) AS h{h}" for h in range(24))
+    + " FROM big GROUP BY 1",
     "peak_hour": f"WITH {_BIG}, h AS (SELECT isodow(leg_date)::INT AS weekday, dep_hour, round(count(*) FILTER (arr_del15) / nullif(count(arr_delay_min), 0), 6) AS r FROM big GROUP BY 1, 2) "
     "SELECT weekday, first(dep_hour ORDER BY r DESC, dep_hour) AS worst_hour, first(dep_hour ORDER BY r, dep_hour) AS best_hour FROM h GROUP BY weekday",
     "top_airports": f"WITH {_BIG} SELECT origin, n_flights, {_DELAY} FROM (SELECT origin, {_ADD} FROM big GROUP BY origin) WHERE n_flights >= 100 ORDER BY delay_rate DESC, origin LIMIT 5",
@@ -188,7 +195,7 @@ ORACLES: dict[str, str] = {
     "local_to_utc": f"WITH {_BIG}, {_AIR}, l AS (SELECT tz, leg_date::TIMESTAMP + to_minutes(dep_min) AS t, (dep_min // 60 = 1)::INT AS early FROM big JOIN air ON air.airport = big.origin) SELECT tz, hour(timezone('UTC', (t - to_hours(early)) AT TIME ZONE tz) + to_hours(early))::BIGINT AS utc_hour, count(*) AS n FROM l GROUP BY 1, 2",
     "calendar_labels": f"WITH {_BIG} SELECT leg_date, count(*) AS n, monthname(leg_date) AS month_name, dayname(leg_date) AS day_name, {_SEASON.format(d='leg_date')} AS season FROM big GROUP BY leg_date",
     "probability_labels": f"WITH {_LEGS}, b AS (SELECT avg(score) AS base FROM legs) SELECT leg_id, CASE WHEN score <= 0 THEN 0 WHEN score >= 1 THEN 10 ELSE least(greatest(round_even(score * 10, 0), 1), 9) END::BIGINT AS k_in_10, "
-    "CASE WHEN score / base < 0.5 THEN 'far below usual' WHEN score / base < 0.8 THEN 'below usual' WHEN score / base < 1.2 THEN 'about usual' WHEN score / base < 1.6 THEN 'above usual' WHEN score / base < 2.2 THEN 'well above usual' ELSE 'far above usual' END AS against_base FROM legs, b",
+    "CASE WHEN score / base < 0.6 THEN 'well below usual' WHEN score / base < 0.85 THEN 'below usual' WHEN score / base <= 1.15 THEN 'about usual' WHEN score / base <= 1.6 THEN 'above usual' WHEN score / base <= 2.5 THEN 'well above usual' ELSE 'far above usual' END AS against_base FROM legs, b",
     "station_coverage": f"WITH {_OBS} SELECT station, count(DISTINCT obs_ts::DATE) AS days, count(*) AS n FROM ob GROUP BY station",
     "nearest_station": f"WITH {_AIR}, st AS (SELECT s_suppkey AS station, (-60 + (s_suppkey * 29) % 120)::DOUBLE AS la, (-180 + (s_suppkey * 73) % 360)::DOUBLE AS lo FROM supplier), "
     "p AS (SELECT airport, station, 2 * 6371.01 * asin(sqrt(least(pow(sin(radians(la - lat) / 2), 2) + cos(radians(lat)) * cos(radians(la)) * pow(sin(radians(lo - lon) / 2), 2), 1.0))) AS d FROM air, st) "
@@ -231,7 +238,7 @@ ORACLES: dict[str, str] = {
     "SELECT request_id, CASE WHEN given THEN 'provided' ELSE 'typical' END AS context, pos_used, legs_used, turn_used, z.band, z.pos_key, coalesce(CASE WHEN z.distance > 0 THEN z.distance END, rt.md) AS distance_used, "
     "coalesce(CASE WHEN z.density > 0 THEN z.density END, dp.med, t_density) AS density_used, CASE WHEN z.density > 0 THEN 'supplied' WHEN dp.med IS NOT NULL THEN 'profile' ELSE 'typical' END AS density_source, "
     f"{_HIST_COLS} FROM z LEFT JOIN rt ON rt.route = z.route LEFT JOIN dp ON dp.origin = z.origin AND dp.dep_hour = z.dep_hour AND dp.wd = isodow(z.leg_date) {_hist_joins('z')}",
-    "basis_columns": f"WITH {_REQ}, x AS (SELECT *, date_sub('minute', TIMESTAMP '2024-02-05 12:00:00', leg_date::TIMESTAMP + to_minutes(dep_min)) AS ahead FROM req) SELECT request_id, ahead < 0 AS flight_in_past, CASE WHEN ahead < 0 THEN 'past' WHEN ahead < 2880 THEN 'forecast' WHEN ahead < 10080 THEN 'long_range' ELSE 'beyond' END AS weather_horizon, CASE WHEN position IS NOT NULL THEN 'provided' ELSE 'typical' END AS context FROM x",
+    "basis_columns": f"WITH {_BASIS} SELECT * FROM ba",
     "request_validation": f"WITH {_REQ}, r AS (SELECT request_id, list_filter([CASE WHEN distance <= 0 OR distance >= 20000 THEN 'distance_range' END, CASE WHEN position NOT BETWEEN 1 AND 30 THEN 'position_range' END, CASE WHEN legs_today NOT BETWEEN 1 AND 30 THEN 'legs_range' END, "
     "CASE WHEN turnaround NOT BETWEEN 0 AND 840 THEN 'turnaround_range' END, CASE WHEN inbound_distance <= 0 OR inbound_distance >= 20000 THEN 'inbound_distance_range' END, CASE WHEN inbound_elapsed <= 0 OR inbound_elapsed > 900 THEN 'inbound_elapsed_range' END, "
     "CASE WHEN density <= 0 OR density > 500 THEN 'density_range' END, CASE WHEN position IS NULL AND (legs_today IS NOT NULL OR turnaround IS NOT NULL OR inbound_distance IS NOT NULL OR inbound_elapsed IS NOT NULL) THEN 'rotation_without_position' END, "
@@ -257,7 +264,7 @@ ORACLES: dict[str, str] = {
     "threshold_sample": f"WITH {_LEGS} SELECT leg_id, carrier FROM legs WHERE ('0x' || substr(md5(leg_id::VARCHAR), 1, 8))::BIGINT < 429496729",
     "rank_blend": f"WITH {_SCORED}, x AS (SELECT leg_id, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS a, rank() OVER (ORDER BY leg_id * 31 % 977) + (count(*) OVER (PARTITION BY leg_id * 31 % 977) - 1) / 2 AS b, count(*) OVER () AS n FROM sc) SELECT leg_id, round((a + b) / 2 / n, 6) AS blend FROM x",
     "pb_moments": f"WITH {_SCORED} SELECT origin, leg_date, count(*) AS n, round(sum(score), 6) AS expected, round(sqrt(sum(score * (1 - score))), 6) AS sd, sum(y)::BIGINT AS actual, round((sum(y) - sum(score)) / sqrt(sum(score * (1 - score))), 6) AS z FROM sc GROUP BY ALL",
-    "day_typicality": f"WITH {_SCORED}, d AS (SELECT leg_date, count(*) AS n, sum(y)::BIGINT AS actual, sum(score) AS e, (sum(y) - sum(score)) / sqrt(sum(score * (1 - score))) AS z FROM sc WHERE origin = 'S1' GROUP BY leg_date), b AS (SELECT quantile_cont(z, 0.1) AS lo, quantile_cont(z, 0.9) AS hi FROM d) "
+    "day_typicality": f"WITH {_SCORED}, d AS (SELECT leg_date, count(*) AS n, sum(y)::BIGINT AS actual, sum(score) AS e, (sum(y) - sum(score)) / sqrt(sum(score * (1 - score))) AS z FROM sc GROUP BY leg_date), b AS (SELECT quantile_cont(z, 0.1) AS lo, quantile_cont(z, 0.9) AS hi FROM d) "
     "SELECT leg_date, n, actual, round(e, 6) AS expected, round(z, 6) AS z, round((rank() OVER (ORDER BY z) - 1) / count(*) OVER (), 6) AS share_below, z BETWEEN lo AND hi AS typical FROM d, b",
     "hourly_banks": f"WITH {_BANKS} SELECT * FROM bk",
     "fragile_banks": f"WITH {_BANKS} SELECT origin, leg_date, dep_hour, expected_downstream, tight_share >= 0.25 AS fragile FROM bk ORDER BY expected_downstream DESC, tight_share DESC, origin, leg_date, dep_hour LIMIT 20",
@@ -284,6 +291,7 @@ ORACLES: dict[str, str] = {
     "CASE WHEN c THEN CASE WHEN event_id % 3 = 0 THEN round((event_id % 90)::DOUBLE / 1.852::DOUBLE, 6) ELSE 0.0 END END AS gust_kn, CASE WHEN c THEN (event_id % 3 = 0)::BIGINT END AS gust_reported, "
     "CASE WHEN c THEN CASE WHEN event_id % 4 = 0 THEN 10.0 ELSE round(least((event_id % 20000)::DOUBLE / 1609.344::DOUBLE, 10.0), 6) END END AS visibility_mi, "
     "CASE WHEN c THEN CASE WHEN event_id % 5 = 0 THEN round((event_id % 30)::DOUBLE / CASE WHEN event_id % 2 = 0 THEN 6.0 ELSE 1.0 END::DOUBLE / 25.4::DOUBLE, 6) ELSE 0.0 END END AS precip_in FROM (SELECT event_id, event_id % 10 <> 0 AS c FROM events)",
-    "display_texts": f"WITH {_REQ}, x AS (SELECT *, date_sub('minute', TIMESTAMP '2024-02-05 12:00:00', leg_date::TIMESTAMP + to_minutes(dep_min)) AS ahead FROM req) SELECT request_id, concat_ws('; ', CASE WHEN ahead < 0 THEN 'the departure is in the past' END, CASE WHEN ahead >= 10080 THEN 'no forecast reaches this day' END, "
-    "CASE WHEN ahead >= 2880 AND ahead < 10080 THEN 'the forecast is long-range' END, CASE WHEN position IS NULL THEN 'a typical rotation is assumed' END) AS notes FROM x",
+    "display_texts": f"WITH {_BASIS} SELECT request_id, concat_ws('; ', CASE WHEN flight_in_past THEN 'the departure is in the past' WHEN weather_horizon = 'beyond_horizon' THEN 'no forecast reaches this departure' "
+    "WHEN weather_horizon = 'unavailable' THEN 'the local time of the airport is unknown, so no weather was used' END, CASE WHEN rotation_context = 'typical_estimate' THEN 'a typical rotation is assumed' END, "
+    "CASE WHEN origin_density_source = 'estimated' THEN 'departure traffic is estimated from history' END) AS notes FROM ba",
 }

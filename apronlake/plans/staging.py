@@ -145,13 +145,14 @@ def phrase(p: Column, base: Column) -> Column:
     return F.when(p.isNotNull(), F.concat(F.lit("about "), k.cast("string"), F.lit(" in 10 flights like this one are late, "), C.vs_base_rate(p, base)))
 
 
-def basis_notes(past: Column, horizon: Column, context: Column) -> Column:
-    """What a score rests on, as notes joined by '; '."""
+def basis_notes(past: Column, horizon: Column, context: Column, density: Column) -> Column:
+    """What a score rests on, as notes joined by '; ', the gravest first."""
     notes = F.array(
-        F.when(past, F.lit("the departure is in the past")),
-        F.when(horizon == "beyond", F.lit("no forecast reaches this day")),
-        F.when(horizon == "long_range", F.lit("the forecast is long-range")),
-        F.when(context == "typical", F.lit("a typical rotation is assumed")),
+        F.when(past, F.lit("the departure is in the past"))
+        .when(horizon == "beyond_horizon", F.lit("no forecast reaches this departure"))
+        .when(horizon == "unavailable", F.lit("the local time of the airport is unknown, so no weather was used")),
+        F.when(context == "typical_estimate", F.lit("a typical rotation is assumed")),
+        F.when(density == "estimated", F.lit("departure traffic is estimated from history")),
     )
     return F.array_join(F.array_compact(notes), "; ")
 
