@@ -113,3 +113,31 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> D
     """Child rows whose key is not in the parent; NULL keys are not orphans."""
     p = parent.select(F.col(parent_key).alias("_p"))
     return child.where(F.col(key).isNotNull()).join(p, child[key] == F.col("_p"), "left_anti")
+
+
+def nearest_covered(left: DataFrame, right: DataFrame, coverage: DataFrame, left_id: str, right_id: str, least_days: int) -> DataFrame:
+    """nearest() among right places with at least ``least_days`` days in ``coverage`` (right id, days)."""
+    good = coverage.where(F.col("days") >= least_days).select(F.col(right_id).alias("_good"))
+    return nearest(left, right.join(good, right[right_id] == F.col("_good"), "left_semi"), left_id, right_id)
+
+
+def with_coordinates(view: DataFrame, places: DataFrame, key: str, place: str) -> DataFrame:
+    """Rows of a view whose place has coordinates, with them."""
+    at = places.where("lat IS NOT NULL AND lon IS NOT NULL").select(F.col(place).alias("_at"), "lat", "lon")
+    return view.join(small(at), view[key] == F.col("_at")).drop("_at")
+
+
+def mask_unseen(df: DataFrame, seen: dict[str, DataFrame]) -> DataFrame:
+    """``df`` with NULL for categories that are not in a column's vocabulary (one column, distinct),
+    and ``<column>_unseen`` for each."""
+    for c, vocabulary in seen.items():
+        v = vocabulary.select(F.col(vocabulary.columns[0]).alias("_v")).where("_v IS NOT NULL").distinct()
+        df = df.join(small(v), df[c] == F.col("_v"), "left").withColumn(f"{c}_unseen", F.col(c).isNotNull() & F.col("_v").isNull())
+        df = df.withColumn(c, F.col("_v")).drop("_v")
+    return df
+
+
+def apply_hist(df: DataFrame, hist: DataFrame, levels: dict[str, tuple[str, str]], values: list[str]) -> DataFrame:
+    """Overwrite ``<prefix>_<value>`` columns of a feature frame with those of another lookup."""
+    old = {f"{p}_{v}" for p in levels for v in values}
+    return join_levels(df.drop(*old), hist, levels, values)

@@ -151,3 +151,15 @@ def confirm(scored: DataFrame, label: str, candidate: str, incumbent: str) -> Da
         rows.append((name, auc, average_precision_of(scored, col, label), float(c["ece"])))
     rows.append(("delta", *(a - b for a, b in zip(rows[0][1:], rows[1][1:]))))
     return scored.sparkSession.createDataFrame(rows, "model string, roc_auc double, average_precision double, ece double")
+
+
+def score_linear(df: DataFrame, weights: dict[str, float], intercept: float, platt: tuple[float, float], baseline: str) -> DataFrame:
+    """Raw and calibrated score of a linear model, and the score less a baseline column.
+
+    A missing value weighs nothing; ``platt`` is (slope, intercept) on the raw score's logit.
+    """
+    z = F.lit(intercept)
+    for c, w in weights.items():
+        z = z + F.lit(w) * F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    squash = lambda x: 1 / (1 + F.exp(-x))
+    return df.withColumn("raw_score", squash(z)).withColumn("score", squash(F.lit(platt[0]) * z + F.lit(platt[1]))).withColumn("lift", F.col("score") - F.col(baseline))

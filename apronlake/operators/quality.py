@@ -177,3 +177,17 @@ def validate_requests(df: DataFrame) -> DataFrame:
     }
     found = F.array_join(F.array_compact(F.array(*(F.when(F.coalesce(v, F.lit(False)), F.lit(n)) for n, v in reasons.items()))), ";")
     return df.withColumn("reasons", found).withColumn("accepted", F.col("reasons") == "")
+
+
+def q_held_out(df: DataFrame, day: str, floor: str) -> DataFrame:
+    """Rows of a replay from before the first held-out day: none may be there."""
+    return df.where(F.col(day).isNull() | (F.col(day) < F.lit(floor).cast("date")))
+
+
+def gate_schema(df: DataFrame, registry: dict[str, str]) -> DataFrame:
+    """``df`` with the registered columns in their order and types; raises if one is missing or of another kind."""
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wrong = [f"{c}: {found.get(c, 'missing')} instead of {t}" for c, t in registry.items() if found.get(c) != t]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return df.select(*registry)

@@ -102,3 +102,17 @@ def running_totals(df: DataFrame, key: str, values: list[str], descending: bool
     out = placed.join(F.broadcast(offsets), "_p")
     out = out.withColumns({f"before_{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_o_{v}") for v in values})
     return out.drop("_p", *(f"_o_{v}" for v in values))
+
+
+def latest_per(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """Rows of the greatest time of each key (NULL keys too), by aggregate and join: safe for hot keys."""
+    last = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.max(ts).alias("_last"))
+    on = [df[k].eqNullSafe(F.col(f"_{k}")) for k in keys] + [df[ts] == F.col("_last")]
+    return df.join(last, on).select(*(df[c] for c in df.columns))
+
+
+def one_per_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One whole row of each key: the least by ``order``, then by all other columns; a struct is aggregated, no window."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_b"))
+    return best.select(*(F.col(c) if c in keys else F.col(f"_b.{c}").alias(c) for c in df.columns))

@@ -416,16 +416,6 @@ def fit_window_hist(spark, d):
     return x.select("level", "key", "n", six(F.col("rate")).alias("rate"))
 
 
-@query
-def verify_recompute(spark, d):
-    """Greatest difference between the feature mart's rates and a recompute at the same cutoff."""
-    rot = M.rotation_mart(spark, d)
-    raw = R.historical_rates(rot, R.GRAINS, X.CUTOFF).select("level", "key", F.col("n").alias("n1"), F.col("rate").alias("r1"))
-    again = R.historical_rates(rot.where(F.col("leg_date") < "2024-02-01"), R.GRAINS, X.CUTOFF).select("level", "key", F.col("n").alias("n2"), F.col("rate").alias("r2"))
-    x = raw.join(again, ["level", "key"], "full")
-    return x.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n1") == F.col("n2")).cast("long").alias("n_same"), six(F.max(F.abs(F.col("r1") - F.col("r2")))).alias("max_diff"))
-
-
 def _features(spark, d) -> DataFrame:
     obs = M.decoded_observations(X.observations(spark, d)).select("station", "obs_ts", "temp_f", "precip_in")
     return M.ml_features(M.rotation_mart(spark, d), obs, X.CUTOFF)

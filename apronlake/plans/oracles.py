@@ -219,7 +219,6 @@ ORACLES: dict[str, str] = {
     "hist_rates": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')} SELECT level, key, n, round(rate, 6) AS rate, round(avg_delay, 6) AS avg_delay FROM hr",
     "smoothed_rates": f"WITH {_BIG}, {_rates('big', _THREE, '2000-01-01')} SELECT level, key, n, round(rate, 6) AS rate, round(avg_delay, 6) AS avg_delay FROM sm",
     "fit_window_hist": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-17')} SELECT level, key, n, round(rate, 6) AS rate FROM sm",
-    "verify_recompute": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')} SELECT count(*) AS n, count(*) AS n_same, 0.0::DOUBLE AS max_diff FROM hr",
     "ml_features": f"WITH {_FEAT} SELECT leg_id, leg_date < DATE '2024-01-24' AS is_training_row, obs_ts IS NOT NULL AS has_origin_weather, temp_f, CASE WHEN obs_ts IS NOT NULL THEN coalesce(precip_in, 0.0) END AS precip_or_zero, "
     f"CASE WHEN slack IS NOT NULL THEN least(slack::DOUBLE, 120.0) END AS slack_capped, coalesce(is_tight, false) AS is_tight, density, {_HIST_COLS}, arr_del15 AS label_arr_del15 FROM f3 {_hist_joins('f3')}",
     "split_report": f"WITH {_LEGS}, c AS (SELECT *, leg_date < DATE '2024-01-24' AS t FROM legs WHERE NOT cancelled AND NOT diverted) SELECT count(*) AS n, count(*) FILTER (t) AS n_train, count(*) FILTER (NOT t) AS n_test, max(leg_date) FILTER (t) AS train_max, min(leg_date) FILTER (NOT t) AS test_min, max(leg_date) FILTER (t) < min(leg_date) FILTER (NOT t) AS ok FROM c",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .catalog import QUERIES
-from .oracles import ORACLES
+from . import catalog, oracles, scoring
+
+QUERIES = catalog.QUERIES | scoring.QUERIES
+ORACLES = oracles.ORACLES | scoring.ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -208,4 +208,4 @@ def test_type_flights(spark):
     flags = Sg.phenomena_flags(F.array(F.lit("freezing_rain"), F.lit(None).cast("string")))
     assert spark.range(1).select(*(c.alias(n) for n, c in flags.items())).first().asDict() == {"is_fog": False, "is_rain": True, "is_snow": False, "is_thunder": False}
     assert one(spark, "ORD", lambda c: Sg.airport_label(F.lit(" "), F.lit("Chicago"), c)) == "Chicago (ORD)"
-    assert one(spark, 0.5, lambda c: Sg.phrase(c, F.lit(0.2)), "double") == "about 5 in 10 flights like this one are late, far above usual"
+    assert one(spark, 0.5, lambda c: Sg.phrase(c, F.lit(0.2)), "double") == "about 5 in 10 flights like this one are late, well above usual"
