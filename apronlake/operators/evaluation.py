@@ -45,13 +45,14 @@ def point_metrics(df: DataFrame, score: str, label: str, predicted: str, actual:
 
 
 def slice_metrics(df: DataFrame, slices: dict[str, Column], score: str = "score", label: str = "arr_del15") -> DataFrame:
-    """Base rate, AUC and average precision of overlapping slices; the ranking is done within each slice."""
+    """Base rate, AUC and average precision of overlapping slices; the ranking is done within each slice, by ranges of scores."""
     names = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in slices.items())), lambda x: x.isNotNull())
     y = F.col(label).cast("int")
     x = df.where(F.col(label).isNotNull()).select(F.explode(names).alias("slice"), F.col(score).alias("s"), y.alias("y"))
     x = x.groupBy("slice", "s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    up, down = W.partitionBy("slice").orderBy("s"), W.partitionBy("slice").orderBy(F.desc("s"))
-    x = x.withColumn("below", F.sum("neg").over(up) - F.col("neg")).withColumns({"tp": F.sum("pos").over(down), "fp": F.sum("neg").over(down)})
+    x = running_totals(x, "s", ["pos", "neg"], by=("slice",))
+    whole = x.groupBy("slice").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
+    x = x.join(F.broadcast(whole), "slice").withColumns({"below": F.col("before_neg"), "tp": F.col("_pos") - F.col("before_pos"), "fp": F.col("_neg") - F.col("before_neg")})
     base = F.sum("pos") / F.sum(F.col("pos") + F.col("neg"))
     ap = F.try_divide(F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.sum("pos"))
     auc = F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2)), F.sum("pos") * F.sum("neg"))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 #: A side is broadcast only if it has no more rows than this.
 BROADCAST_ROWS = 200_000
 
@@ -68,19 +70,56 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius:
     return 2 * radius * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, rows: int = BROADCAST_ROWS) -> DataFrame:
     """(left id, right id, distance_km) of the nearest right place; ties go to the smaller id.
 
-    Both have lat and lon. The left side (places) is broadcast if its count allows, so each
-    task keeps only the best of its right rows and one row a place moves.
+    Both have lat and lon; rows without them are left out. The left side (places) is broadcast
+    if it has ``rows`` rows at most, so each task keeps only the best of its right rows and one
+    row a place moves; else both sides meet by grid cells.
     """
-    l = left.select(left_id, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-    pairs = right.select(right_id, "lat", "lon").crossJoin(small(l))
-    d = haversine_km(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"))
-    best = pairs.withColumn("_d", d).groupBy(left_id).agg(F.min(F.struct("_d", right_id)).alias("_b"))
+    l = left.where("lat IS NOT NULL AND lon IS NOT NULL").select(left_id, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    r = right.where("lat IS NOT NULL AND lon IS NOT NULL").select(right_id, "lat", "lon")
+    if l.limit(rows + 1).count() > rows:
+        best = _nearest_by_cells(l, r, left_id, right_id)
+    else:
+        best = r.crossJoin(F.broadcast(l)).withColumn("_d", _distance()).groupBy(left_id).agg(F.min(F.struct("_d", right_id)).alias("_b"))
     return best.select(left_id, F.col(f"_b.{right_id}").alias(right_id), F.round("_b._d", 2).alias("distance_km"))
 
 
+def _distance() -> Column:
+    return haversine_km(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"))
+
+
+def _cells(lat: str, lon: str, edge: float) -> list[Column]:
+    """Cell of a place in a grid of cubes around the unit sphere; poles and the date line are no edges there."""
+    la, lo = F.radians(F.col(lat)), F.radians(F.col(lon))
+    at = (F.cos(la) * F.cos(lo), F.cos(la) * F.sin(lo), F.sin(la))
+    return [F.floor(c / edge).cast("int").alias(f"_c{i}") for i, c in enumerate(at)]
+
+
+def _nearest_by_cells(l: DataFrame, r: DataFrame, left_id: str, right_id: str, edge: float = 0.02) -> DataFrame:
+    """Nearest by equi-joins on cells: a place meets the right rows of its cell and the 26 around it.
+
+    Whatever is within one edge (as a chord) is in these cells, so a best distance below it is
+    final; places without one go on with edges twice as long, until the cells hold the sphere.
+    """
+    steps, done = F.array(*(F.lit(i) for i in (-1, 0, 1))), None
+    while True:
+        around = l
+        for i, c in enumerate(_cells("_lat", "_lon", edge)):
+            around = around.withColumn(f"_s{i}", F.explode(steps)).withColumn(f"_c{i}", c + F.col(f"_s{i}"))
+        met = around.join(r.select("*", *_cells("lat", "lon", edge)), ["_c0", "_c1", "_c2"])
+        best = met.withColumn("_d", _distance()).groupBy(left_id).agg(F.min(F.struct("_d", right_id)).alias("_b"))
+        last = edge >= 2
+        near = best if last else best.where(2 * F.sin(F.col("_b._d") / (2 * 6371.01)) < 0.999 * edge)
+        near = written(near, "nearest")
+        done = near if done is None else done.unionByName(near)
+        if last:
+            return done
+        l = written(l.join(near.select(left_id), left_id, "left_anti"), "places")
+        edge *= 2
+
+
 def interval_lookup(points: DataFrame, intervals: DataFrame, by: str, at: str, start: str, minutes: str, value: str) -> DataFrame:
     """The value of the interval [start, start + minutes) of the key that holds each point.
 

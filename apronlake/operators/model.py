@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,23 +83,15 @@ def apply_platt(c, a: float, b: float):
     return 1 / (1 + F.exp(-(a * _logit(c) + b)))
 
 
-def fit_isotonic(df: DataFrame, score: str, label: str) -> list[tuple[float, float]]:
-    """(boundary, value) pairs; rows of one score are one weighted point before the fit."""
+def fit_isotonic(df: DataFrame, score: str, label: str) -> IsotonicRegressionModel:
+    """A monotone map; rows of one score are one weighted point before the fit."""
     x = df.groupBy(F.col(score).alias("s")).agg(F.avg(F.col(label).cast("double")).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
-    m = IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w").fit(x)
-    return list(zip(map(float, m.boundaries), map(float, m.predictions)))
-
-
-def apply_isotonic(c, points: list[tuple[float, float]]):
-    """Linear interpolation between the points, constant beyond their ends; one search in a literal array."""
-    if not points:
-        return F.lit(None).cast("double")
-    arr = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in points))
-    below = F.filter(arr, lambda q: q["x"] <= c)
-    lo = F.when(F.size(below) > 0, F.element_at(below, -1)).otherwise(F.element_at(arr, 1))
-    hi = F.get(arr, F.least(F.size(below), F.lit(len(points) - 1)))
-    t = F.when(hi["x"] > lo["x"], F.least(F.greatest((c - lo["x"]) / (hi["x"] - lo["x"]), F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
-    return lo["y"] + t * (hi["y"] - lo["y"])
+    return IsotonicRegression(featuresCol="s", labelCol="y", weightCol="w").fit(x)
+
+
+def apply_isotonic(df: DataFrame, model: IsotonicRegressionModel, score: str, out: str = "p") -> DataFrame:
+    """``df`` with the mapped score: linear between the model's points, found by bisection, constant beyond their ends."""
+    return model.copy().setFeaturesCol(score).setPredictionCol(out).transform(df)
 
 
 def gate_auc(df: DataFrame, raw: str, served: str, label: str, tolerance: float = 1e-6) -> None:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .windows import rotation
+from .windows import LONGEST, TIGHT
 
 
 def q_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -45,31 +46,85 @@ def audit_registry(df: DataFrame, features: list[str], labels: list[str], exclud
     return df.sparkSession.createDataFrame(rows, "column string, problem string")
 
 
-def q_asof(features: DataFrame, dep: str, obs: str, flag: str, hours: int, most_missing: float = 0.05) -> DataFrame:
-    """(rule, n) of broken rules of an as-of join: future, stale, flag against value, too many missing."""
-    late = F.col(obs) > F.col(dep)
-    stale = F.col(obs) <= F.col(dep) - F.expr(f"INTERVAL {hours} HOURS")
+def q_asof(features: DataFrame, dep: str, obs: str, flag: str, hours: int, most_missing: float = 0.05, scheduled: tuple[str, str] | None = None) -> DataFrame:
+    """(rule, n) of broken rules of an as-of join: future, stale, flag against value, too many missing.
+
+    With ``scheduled`` (day, minute of day) departures are counted anew from these, and rows
+    whose departure is another are a broken rule too.
+    """
+    own = F.col(dep)
+    if scheduled:
+        day, minute = scheduled
+        own = F.timestamp_add("MINUTE", F.col(minute).cast("int"), F.col(day).cast("timestamp_ntz"))
+    late = F.col(obs) > own
+    stale = F.col(obs) <= own - F.expr(f"INTERVAL {hours} HOURS")
     n = lambda c: F.count_if(F.coalesce(c, F.lit(False))).cast("bigint")
-    one = features.agg(
-        n(late).alias("after_departure"),
-        n(stale).alias("outside_lookback"),
-        n(F.col(flag) & F.col(obs).isNull()).alias("flag_without_obs"),
-        n(~F.col(flag) & F.col(obs).isNotNull()).alias("obs_without_flag"),
-        n(F.col(obs).isNotNull() & F.col(dep).isNull()).alias("unverifiable"),
-        F.when(F.avg(F.col(obs).isNull().cast("int")) > most_missing, n(F.col(obs).isNull())).otherwise(F.lit(0)).alias("degraded"),
-    )
-    names = one.columns
-    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("rule"), F.col(c).cast("bigint").alias("n")) for c in names)))
+    arms = {
+        "after_departure": n(late),
+        "outside_lookback": n(stale),
+        "flag_without_obs": n(F.col(flag) & F.col(obs).isNull()),
+        "obs_without_flag": n(~F.col(flag) & F.col(obs).isNotNull()),
+        "unverifiable": n(F.col(obs).isNotNull() & own.isNull()),
+        "degraded": F.when(F.avg(F.col(obs).isNull().cast("int")) > most_missing, n(F.col(obs).isNull())).otherwise(F.lit(0)).cast("bigint"),
+    }
+    if scheduled:
+        arms["departure_moved"] = n(~own.eqNullSafe(F.col(dep)))
+    return _by_rule(features.agg(*(c.alias(r) for r, c in arms.items())))
+
+
+def _by_rule(one: DataFrame) -> DataFrame:
+    """One row of counts as (rule, n)."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("rule"), F.col(c).alias("n")) for c in one.columns)))
     return one.select(pairs.alias("x")).select("x.*")
 
 
+#: Upper edges of the turnaround bands and their labels, for the audit.
+BAND_EDGES, BANDS = (35, 60, 120), ("lt_35", "35_60", "60_120", "ge_120")
+
+
+def _relinked(legs: DataFrame) -> DataFrame:
+    """Rotation columns made another way than the chain that they audit.
+
+    Each tail's legs are numbered and joined with their predecessors; times are minutes since
+    an epoch, from day and minute of day; positions come from the least number of a day.
+    """
+    at = F.datediff("leg_date", F.lit("1970-01-01").cast("date")).cast("bigint") * 1440 + F.col("dep_min")
+    order = ["leg_date", "dep_min", "carrier", F.col("flight_number").asc_nulls_first(), "origin", "dest"]
+    k = legs.where("tail IS NOT NULL").select("leg_id", "tail", "leg_date", "origin", "dest", "distance", "elapsed_min", at.alias("_at"), F.row_number().over(W.partitionBy("tail").orderBy(*order)).alias("_i"))
+    before = k.select("tail", (F.col("_i") + 1).alias("_i"), F.col("dest").alias("_from"), F.col("distance").alias("_far"), F.col("elapsed_min").alias("_long"), (F.col("_at") + F.col("elapsed_min")).alias("_free"))
+    j = k.join(before, ["tail", "_i"], "left").withColumn("_gap", F.col("_at") - F.col("_free"))
+    overlap = j.where("_gap < 0").select("tail", (F.col("_i") + 1).alias("_i"), F.lit(True).alias("_overlapped"))
+    days = k.groupBy("tail", "leg_date").agg(F.min("_i").alias("_first"), F.max("_i").alias("_last"))
+    j = j.join(overlap, ["tail", "_i"], "left").join(days, ["tail", "leg_date"])
+    sound = (F.col("_from") == F.col("origin")) & F.col("_overlapped").isNull() & (F.col("_gap") >= 0)
+    j = j.withColumn("link_class", F.when(F.col("_from").isNull(), "b").when(~sound, "c").when(F.col("_gap") > LONGEST, "b").otherwise("a"))
+    linked, gap = F.col("link_class") == "a", F.col("_gap")
+    place = F.when(F.col("link_class") != "c", (F.col("_i") - F.col("_first") + 1).cast("bigint"))
+    edges = sum(((gap >= e).cast("int") for e in BAND_EDGES), F.lit(1))
+    return j.select(
+        "leg_id",
+        "link_class",
+        F.when(linked, gap).alias("turnaround"),
+        F.when(linked, F.col("_far")).alias("inbound_distance"),
+        F.when(linked, F.col("_long")).alias("inbound_elapsed"),
+        place.alias("position"),
+        F.when(place.isNotNull(), (F.col("_last") - F.col("_first") + 1).cast("bigint")).alias("legs_today"),
+        F.when(place.isNotNull(), linked & (gap < TIGHT)).alias("is_tight"),
+        F.when(place.isNotNull(), linked).alias("has_inbound"),
+        F.when(linked, F.element_at(F.array(*map(F.lit, BANDS)), edges)).when(F.col("link_class") == "b", "no_inbound").alias("band"),
+        F.when(place > 6, "6").otherwise(place.cast("string")).alias("pos_key"),
+    )
+
+
 def q_chain(mart: DataFrame, legs: DataFrame) -> DataFrame:
-    """(rule, n): a mart's rotation columns against a rebuild from the legs, and its own rules."""
+    """(rule, n): a mart's rotation columns against an independent rebuild from the legs, and its own rules."""
     cols = ["link_class", "turnaround", "inbound_distance", "inbound_elapsed", "position", "legs_today", "is_tight", "has_inbound", "band", "pos_key"]
-    fresh = rotation(legs).select("leg_id", F.lit(True).alias("_there"), *(F.col(c).alias(f"_{c}") for c in cols))
-    x = mart.join(fresh, "leg_id", "left")
-    differ = lambda *cs: reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cs))
+    fresh = legs.select("leg_id").join(_relinked(legs), "leg_id", "left").select(F.col("leg_id").alias("_leg_id"), *(F.col(c).alias(f"_{c}") for c in cols))
+    x = mart.join(fresh, F.col("leg_id") == F.col("_leg_id"), "full")
+    both = F.col("leg_id").isNotNull() & F.col("_leg_id").isNotNull()
+    differ = lambda *cs: both & reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cs))
     chain_values = F.coalesce("turnaround", "inbound_distance", "position").isNotNull()
+    inbound = F.coalesce("has_inbound", F.lit(False))
     arms = {
         "turnaround_mismatch": differ("turnaround"),
         "inbound_attr_mismatch": differ("inbound_distance", "inbound_elapsed"),
@@ -79,13 +134,13 @@ def q_chain(mart: DataFrame, legs: DataFrame) -> DataFrame:
         "position_relabeled": differ("pos_key"),
         "class_mismatch": differ("link_class"),
         "unclear_link_not_nulled": (F.col("_link_class") == "c") & chain_values,
-        "inbound_attrs_without_inbound": ~F.coalesce("has_inbound", F.lit(False)) & F.col("inbound_distance").isNotNull(),
+        "inbound_attrs_without_inbound": ~inbound & F.col("inbound_distance").isNotNull(),
+        "inbound_without_attrs": inbound & (F.col("turnaround").isNull() | F.col("inbound_distance").isNull() | F.col("inbound_elapsed").isNull()),
         "tail_null_not_nulled": F.col("tail").isNull() & chain_values,
-        "join_miss": F.col("_there").isNull(),
+        "join_miss": F.col("_leg_id").isNull(),
+        "leg_not_in_mart": F.col("leg_id").isNull(),
     }
-    one = x.agg(*(F.count_if(F.coalesce(c, F.lit(False))).cast("bigint").alias(n) for n, c in arms.items()))
-    pairs = F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(n).alias("n")) for n in arms)))
-    return one.select(pairs.alias("x")).select("x.*")
+    return _by_rule(x.agg(*(F.count_if(F.coalesce(c, F.lit(False))).cast("bigint").alias(n) for n, c in arms.items())))
 
 
 def q_attribute_present(ref: DataFrame, used: DataFrame, key: str, attribute: str) -> DataFrame:

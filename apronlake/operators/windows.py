@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from apronlake.functions import cleaning as C
 
+from .scratch import written
+
 
 def dedup(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in a total order."""
@@ -77,29 +79,31 @@ def global_rank(df: DataFrame, order: list[Column], name: str, parts: int = 0) -
     """1, 2, 3, ... in a total order, in two passes.
 
     A range partitioning puts the rows in order over tasks; counts of the partitions, one
-    row each, give the offsets. No task ever sees all rows.
+    row each, give the offsets. No task ever sees all rows. The partitions are written, so
+    that offsets and rows agree on them even if a lost executor's part is made anew.
     """
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()).persist()
+    placed = written(df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()), "ranges")
     counts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
     local = F.row_number().over(W.partitionBy("_p").orderBy(*order))
     return placed.join(F.broadcast(before), "_p").withColumn(name, local + F.col("_before")).drop("_p", "_before")
 
 
-def running_totals(df: DataFrame, key: str, values: list[str], descending: bool = False) -> DataFrame:
+def running_totals(df: DataFrame, key: str, values: list[str], descending: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """Sums of ``values`` over all rows before each row in the order of a unique key, as before_<value>.
 
-    Two passes as in ``global_rank``: sums within ranges, and sums of earlier ranges.
+    Two passes as in ``global_rank``: sums within ranges, and sums of earlier ranges. With
+    ``by`` (few groups, not NULL) the order is that of each group; a large group spans many ranges.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(key).desc() if descending else F.col(key).asc()
-    placed = df.repartitionByRange(n, order).withColumn("_p", F.spark_partition_id()).persist()
-    totals = placed.groupBy("_p").agg(*(F.sum(v).alias(f"_t_{v}") for v in values))
-    earlier = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select("_p", *(F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}") for v in values))
-    inside = W.partitionBy("_p").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    out = placed.join(F.broadcast(offsets), "_p")
+    placed = written(df.repartitionByRange(n, *by, order).withColumn("_p", F.spark_partition_id()), "ranges")
+    totals = placed.groupBy("_p", *by).agg(*(F.sum(v).alias(f"_t_{v}") for v in values))
+    earlier = W.partitionBy(*by).orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("_p", *by, *(F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}") for v in values))
+    inside = W.partitionBy("_p", *by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    out = placed.join(F.broadcast(offsets), ["_p", *by])
     out = out.withColumns({f"before_{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_o_{v}") for v in values})
     return out.drop("_p", *(f"_o_{v}" for v in values))
 

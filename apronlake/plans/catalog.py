@@ -17,6 +17,8 @@ from apronlake.operators import quality as Q
 from apronlake.operators import rates as R
 from apronlake.operators import sampling as S
 from apronlake.operators import windows as Wn
+from apronlake.operators.scratch import written
+from apronlake.sources import landing as L
 
 from . import fixtures as X
 from . import marts as M
@@ -277,7 +279,7 @@ def code_flags(spark, d):
 def local_to_utc(spark, d):
     a = X.airports(spark, d)
     legs = X.legs_big(spark, d).select("order_key", "line", "leg_date", "dep_min", "origin")
-    x = legs.join(F.broadcast(a.select(F.col("airport").alias("origin"), "tz")), "origin")
+    x = legs.join(J.small(a.select(F.col("airport").alias("origin"), "tz")), "origin")
     utc = C.local_to_utc(F.col("leg_date"), F.col("dep_min"), F.col("tz"))
     return x.groupBy("tz", F.hour(utc).cast("long").alias("utc_hour")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -323,7 +325,7 @@ def asof_weather(spark, d):
 @query
 def asof_guard(spark, d):
     x = _asof(spark, d).withColumn("has", F.col("obs_id").isNotNull())
-    return Q.q_asof(x, "dep_ts", "obs_ts", "has", 3)
+    return Q.q_asof(x, "dep_ts", "obs_ts", "has", 3, scheduled=("leg_date", "dep_min"))
 
 
 @query
@@ -392,6 +394,16 @@ def chain_guard(spark, d):
     return Q.q_chain(M.rotation_mart(spark, d), X.legs(spark, d))
 
 
+@query
+def chain_guard_moved(spark, d):
+    """The audit of a mart with turnarounds moved, inbound flags dropped and legs lost on purpose."""
+    i = F.col("leg_id")
+    moved = M.rotation_mart(spark, d).where(i % 89 != 0).withColumns(
+        {"turnaround": F.col("turnaround") + F.when(i % 10 == 3, 1).otherwise(0), "has_inbound": F.when(i % 31 == 4, False).otherwise(F.col("has_inbound"))}
+    )
+    return Q.q_chain(moved, X.legs(spark, d))
+
+
 @query
 def density_hour(spark, d):
     return Wn.group_count(X.legs_big(spark, d), ["origin", "leg_date", "dep_hour"], "density").groupBy("density").agg(F.count(F.lit(1)).alias("n"))
@@ -418,14 +430,15 @@ def fit_window_hist(spark, d):
 
 def _features(spark, d) -> DataFrame:
     obs = M.decoded_observations(X.observations(spark, d)).select("station", "obs_ts", "temp_f", "precip_in")
-    return M.ml_features(M.rotation_mart(spark, d), obs, X.CUTOFF)
+    calendar = M.holiday_calendar(spark, 2023, 2024).drop("holiday_name")
+    return M.ml_features(M.rotation_mart(spark, d), obs, X.CUTOFF, calendar, X.request_zones(spark, d))
 
 
 @query
 def ml_features(spark, d):
     x = _features(spark, d)
     smoothed = [six(F.col(f"{p}_rate")).alias(f"{p}_rate") for p in M.FEATURE_RATES]
-    return x.select("leg_id", "is_training_row", "has_origin_weather", "temp_f", "precip_or_zero", "slack_capped", "is_tight", "density", *smoothed, F.col("arr_del15").alias("label_arr_del15"))
+    return x.select("leg_id", "is_training_row", "has_origin_weather", "temp_f", "precip_or_zero", "slack_capped", "is_tight", "density", *M.CALENDAR, "utc_hour", *smoothed, F.col("arr_del15").alias("label_arr_del15"))
 
 
 @query
@@ -454,17 +467,21 @@ def typical_rotation(spark, d):
     return M.typical_rotation(M.rotation_mart(spark, d), X.CUTOFF)
 
 
+CONSTANT_LEVELS = {"carrier": "carrier", "flight": "flight_number", "route": "route", "airport": "origin", "dest": "dest", "tail": "tail"}
+
+
 @query
 def entity_constancy_guard(spark, d):
-    return Q.q_constant_within(X.legs(spark, d).withColumn("parity", F.col("leg_id") % 2), {"carrier": "carrier", "flight": "flight_number"}, ["parity", "distance"])
+    """Entities of six levels within which a column that should be constant is not."""
+    return Q.q_constant_within(X.legs(spark, d).withColumn("parity", F.col("leg_id") % 2), CONSTANT_LEVELS, ["parity", "distance", "dep_hour"])
 
 
 @query
 def batch_features(spark, d):
     rot = M.rotation_mart(spark, d)
     hist = R.smoothed_rates(rot, R.GRAINS, X.CUTOFF)
-    x = M.assemble(X.requests(spark, d), hist, M.entity_profile(X.legs(spark, d)), M.density_profile(rot, X.CUTOFF), M.typical_rotation(rot, X.CUTOFF))
-    return x.select("request_id", "context", "pos_used", "legs_used", "turn_used", "band", "pos_key", "distance_used", "density_used", "density_source", *(six(F.col(f"{p}_rate")).alias(f"{p}_rate") for p in M.FEATURE_RATES))
+    x = M.assemble(X.requests(spark, d), hist, M.entity_profile(X.legs(spark, d)), M.density_profile(rot, X.CUTOFF), M.typical_rotation(rot, X.CUTOFF), M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
+    return x.select("request_id", *M.CALENDAR, "context", "pos_used", "legs_used", "turn_used", "band", "pos_key", "distance_used", "density_used", "density_source", *(six(F.col(f"{p}_rate")).alias(f"{p}_rate") for p in M.FEATURE_RATES))
 
 
 def _basis(spark, d) -> DataFrame:
@@ -665,29 +682,31 @@ def frame_parity(spark, d):
     return Q.frame_parity(a, b, ["leg_id"], may_move=("score",))
 
 
+#: First and last month that shipments are expected in.
+SHIPPED = ("1991-11-01", "1998-12-01")
+
+
 @query
 def month_completeness(spark, d):
-    """Months of the span of shipments without any returned item of one kind of line."""
-    li = X.read(spark, d, "lineitem").select(F.trunc("l_shipdate", "month").alias("month_start"), (F.col("l_partkey") % 97 == 0).alias("hit"))
-    span = li.agg(F.min("month_start").alias("a"), F.max("month_start").alias("b")).select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
-    return span.join(li.where("hit").select("month_start").distinct(), "month_start", "left_anti")
+    """Expected months that the manifest of one kind of line lacks."""
+    li = X.read(spark, d, "lineitem").where("l_partkey % 97 = 0").select(F.trunc("l_shipdate", "month").alias("month_start"), "l_orderkey", "l_linenumber")
+    return L.missing_months(L.manifest(li, ["month_start"]), *SHIPPED)
 
 
 @query
 def holiday_flags(spark, d):
     """Legs by holiday flag, holidays by rule."""
     cal = M.holiday_calendar(spark, 1995, 2001).drop("holiday_name")
-    x = X.legs_big(spark, d).join(F.broadcast(cal), F.col("leg_date") == F.col("date_day"), "left")
+    x = X.legs_big(spark, d).join(J.small(cal), F.col("leg_date") == F.col("date_day"), "left")
     no = lambda c: F.coalesce(c, F.lit(False)).alias(c)
     return x.groupBy(no("is_holiday"), no("is_day_before"), no("is_day_after")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def landing_validation(spark, d):
-    """Partitions (months) with too few rows, or rows whose day is not of their month's file."""
+    """Partitions (months) with too few or too many rows, or rows whose day is not of their month; a column that is missing."""
     x = X.read(spark, d, "orders").select(F.trunc("o_orderdate", "month").alias("part"), F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 4 == 0).cast("int")).alias("day"))
-    of = x.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.trunc("day", "month") != F.col("part")).cast("long").alias("n_foreign"))
-    return of.where("n < 150 OR n_foreign > 0")
+    return L.validate_landing(x, ["part", "day", "station"], F.trunc("day", "month") == F.col("part"), "part", 150, 200)
 
 
 @query
@@ -729,11 +748,12 @@ def _training_frame(spark, d) -> DataFrame:
 @query
 def model_report(spark, d):
     """Held-out metrics of a logistic baseline and boosted trees, fitted on training rows."""
-    x = _training_frame(spark, d).select("leg_id", "carrier", "y", "is_training_row", *NUMERIC, *(f"{c}_missing" for c in NUMERIC)).persist()
+    x = _training_frame(spark, d).select("leg_id", "carrier", "y", "is_training_row", *NUMERIC, *(f"{c}_missing" for c in NUMERIC))
+    x = written(x, "training")
     train, test = x.where("is_training_row").drop("is_training_row"), x.where("NOT is_training_row").drop("is_training_row")
     scored = Mo.probability(Mo.fit_gbt_classifier(train, NUMERIC, "carrier", "y", maxIter=5, maxDepth=3), test, "p_gbt")
     scored = Mo.probability(Mo.fit_logistic(train, NUMERIC, "carrier", "y"), scored, "p_lr")
-    return Mo.confirm(scored.persist(), "y", "p_gbt", "p_lr")
+    return Mo.confirm(written(scored.select("y", "p_gbt", "p_lr"), "scored"), "y", "p_gbt", "p_lr")
 
 
 @query

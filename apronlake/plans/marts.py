@@ -56,7 +56,7 @@ def dim_date(legs: DataFrame, holidays: DataFrame) -> DataFrame:
     """A row for each day between the first and the last leg, with calendar labels and holiday flags."""
     ends = legs.agg(F.min("leg_date").alias("a"), F.max("leg_date").alias("b"))
     d = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("date_day"))
-    d = d.join(F.broadcast(holidays), "date_day", "left")
+    d = d.join(J.small(holidays), "date_day", "left")
     return d.select(
         "date_day",
         F.year("date_day").alias("year_no"),
@@ -75,7 +75,7 @@ def dim_date(legs: DataFrame, holidays: DataFrame) -> DataFrame:
 def dim_carrier(legs: DataFrame, names: DataFrame) -> DataFrame:
     """Every carrier that flew, with its name where one is known, first and last day."""
     flown = legs.groupBy("carrier").agg(F.min("leg_date").alias("first_day"), F.max("leg_date").alias("last_day"), F.count(F.lit(1)).alias("n_flights"))
-    return flown.join(F.broadcast(names), "carrier", "left").withColumn("is_regional", F.coalesce("is_regional", F.lit(False)))
+    return flown.join(J.small(names), "carrier", "left").withColumn("is_regional", F.coalesce("is_regional", F.lit(False)))
 
 
 def carrier_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,10 +139,32 @@ def rotation_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEATURE_RATES = {"route_hist": ("route", "route"), "carrier_hist": ("carrier", "carrier"), "origin_hist": ("airport", "origin"), "dest_hist": ("airport", "dest"), "band_hist": ("turnaround_band", "band"), "position_hist": ("rotation_position", "pos_key")}
 
 
-def ml_features(rot: DataFrame, obs: DataFrame, cutoff: str, hours: int = 3, m: float = 50.0) -> DataFrame:
+#: Calendar columns of feature rows.
+CALENDAR = ("year_no", "quarter_no", "month_no", "day_no", "weekday", "season", "is_holiday", "is_day_before", "is_day_after")
+
+
+def with_calendar(df: DataFrame, day: str, holidays: DataFrame) -> DataFrame:
+    """``df`` with the calendar columns of a day; ``holidays`` as ``holiday_flags`` makes them, some rows a year."""
+    flags = ("is_holiday", "is_day_before", "is_day_after")
+    h = holidays.select(F.col("date_day").alias("_day"), *(F.col(c).alias(f"_{c}") for c in flags))
+    x = df.join(J.small(h), df[day] == F.col("_day"), "left")
+    d = F.col(day)
+    of = {"year_no": F.year(d), "quarter_no": F.quarter(d), "month_no": F.month(d), "day_no": F.dayofmonth(d), "weekday": F.weekday(d) + 1, "season": C.season(F.month(d))}
+    return x.withColumns(of | {c: F.coalesce(F.col(f"_{c}"), F.lit(False)) for c in flags}).drop("_day", *(f"_{c}" for c in flags))
+
+
+def with_utc_hour(df: DataFrame, zones: DataFrame) -> DataFrame:
+    """``df`` with the UTC hour of a local departure at its origin; NULL where the zone (airport, tz) is unknown."""
+    z = zones.where("tz IS NOT NULL").select(F.col("airport").alias("_airport"), F.col("tz").alias("_tz"))
+    x = df.join(J.small(z), df["origin"] == F.col("_airport"), "left")
+    utc = C.local_to_utc(F.col("leg_date"), F.col("dep_min"), F.coalesce("_tz", F.lit("UTC")))
+    return x.withColumn("utc_hour", F.when(F.col("_tz").isNotNull(), F.hour(utc).cast("bigint"))).drop("_airport", "_tz")
+
+
+def ml_features(rot: DataFrame, obs: DataFrame, cutoff: str, holidays: DataFrame, zones: DataFrame, hours: int = 3, m: float = 50.0) -> DataFrame:
     """Wide feature rows of completed legs; all that is learned from outcomes is from before the cutoff."""
     hist = R.smoothed_rates(rot, R.GRAINS, cutoff, m)
-    x = R.completed(rot)
+    x = with_utc_hour(with_calendar(R.completed(rot), "leg_date", holidays), zones)
     x = J.asof_backward(x, obs, ("origin", "station"), "dep_ts", "obs_ts", hours)
     x = J.join_levels(x, hist, FEATURE_RATES, ["n", "rate", "avg_delay"])
     has = F.col("obs_ts").isNotNull()
@@ -181,9 +203,9 @@ def typical_rotation(rot: DataFrame, cutoff: str) -> DataFrame:
     return x.agg(*(F.expr(f"cast(percentile_disc(0.5) WITHIN GROUP (ORDER BY {c}) AS bigint)").alias(f"typical_{c}") for c in TYPICAL))
 
 
-def assemble(requests: DataFrame, hist: DataFrame, profile: DataFrame, density: DataFrame, typical: DataFrame) -> DataFrame:
+def assemble(requests: DataFrame, hist: DataFrame, profile: DataFrame, density: DataFrame, typical: DataFrame, holidays: DataFrame) -> DataFrame:
     """Features of a table of future legs from small lookup tables; each value's source is named."""
-    x = requests.withColumn("route", F.concat("origin", F.lit("-"), "dest")).withColumn("dep_hour", F.floor(F.col("dep_min") / 60).cast("bigint")).withColumn("weekday", F.weekday("leg_date") + 1)
+    x = with_calendar(requests.withColumn("route", F.concat("origin", F.lit("-"), "dest")), "leg_date", holidays).withColumn("dep_hour", F.floor(F.col("dep_min") / 60).cast("bigint"))
     x = x.crossJoin(F.broadcast(typical))
     given = F.col("position").isNotNull()
     inbound = F.col("turnaround").between(0, 840)

@@ -144,6 +144,9 @@ def _holidays(first: int, last: int) -> str:
   hd AS (SELECT d FROM fo UNION SELECT (f + ((w - isodow(f) + 7) % 7 + 7 * (nth - 1))::INT)::DATE FROM fl UNION SELECT (l - (isodow(l) - 1)::INT)::DATE FROM me)"""
 
 
+_CAL = "year(leg_date)::INT AS year_no, quarter(leg_date)::INT AS quarter_no, month(leg_date)::INT AS month_no, day(leg_date)::INT AS day_no, isodow(leg_date)::INT AS weekday, " + _SEASON.format(d="leg_date") + " AS season, leg_date IN (SELECT d FROM hd) AS is_holiday, leg_date IN (SELECT d - 1 FROM hd) AS is_day_before, leg_date IN (SELECT d + 1 FROM hd) AS is_day_after"
+
+
 ORACLES: dict[str, str] = {
     "delay_rate_by_hour": f"WITH {_BIG} SELECT *, {_DELAY}, {_CANCEL}, {_DIVERT}, {_AVG} FROM (SELECT dep_hour, {_ADD} FROM big GROUP BY dep_hour)",
     "additive_schedule": f"WITH {_BIG} SELECT isodow(leg_date)::INT AS weekday, dep_hour, {_ADD} FROM big GROUP BY 1, 2",
@@ -201,7 +204,7 @@ ORACLES: dict[str, str] = {
     "p AS (SELECT airport, station, 2 * 6371.01 * asin(sqrt(least(pow(sin(radians(la - lat) / 2), 2) + cos(radians(lat)) * cos(radians(la)) * pow(sin(radians(lo - lon) / 2), 2), 1.0))) AS d FROM air, st) "
     "SELECT airport, first(station ORDER BY d, station) AS station, round(min(d), 2) AS distance_km FROM p GROUP BY airport",
     "asof_weather": f"WITH {_ASOF} SELECT leg_id, obs_ts, obs_id, temp_f FROM ao",
-    "asof_guard": f"WITH {_ASOF}, m AS (SELECT count(*) FILTER (obs_id IS NULL) AS miss, count(*) AS n FROM ao) SELECT rule, n FROM (SELECT unnest(['after_departure', 'outside_lookback', 'flag_without_obs', 'obs_without_flag', 'unverifiable', 'degraded']) AS rule, unnest([0, 0, 0, 0, 0, CASE WHEN miss > 0.05 * n THEN miss ELSE 0 END])::BIGINT AS n FROM m)",
+    "asof_guard": f"WITH {_ASOF}, m AS (SELECT count(*) FILTER (obs_id IS NULL) AS miss, count(*) AS n FROM ao) SELECT rule, n FROM (SELECT unnest(['after_departure', 'outside_lookback', 'flag_without_obs', 'obs_without_flag', 'unverifiable', 'degraded', 'departure_moved']) AS rule, unnest([0, 0, 0, 0, 0, CASE WHEN miss > 0.05 * n THEN miss ELSE 0 END, 0])::BIGINT AS n FROM m)",
     "interval_lookup": f"WITH {_LEGS}, iv AS (SELECT 'S' || (user_id % 3) AS s, date_trunc('hour', ts)::TIMESTAMP AS a, date_trunc('hour', ts)::TIMESTAMP + to_minutes(30 + event_id % 100) AS b, event_id AS f FROM events WHERE event_type IN ('view', 'click')), "
     "m AS (SELECT leg_id, first(f ORDER BY a, f) AS forecast FROM legs JOIN iv ON s = origin AND a <= dep_ts AND dep_ts < b GROUP BY leg_id) SELECT leg_id, forecast FROM legs LEFT JOIN m USING (leg_id)",
     "null_safe_join": f"WITH {_LEGS} SELECT l.leg_id, r.arr_delay_min FROM legs l JOIN legs r ON l.leg_date = r.leg_date AND l.carrier = r.carrier AND l.flight_number IS NOT DISTINCT FROM r.flight_number AND l.origin = r.origin AND l.dest = r.dest AND l.dep_min = r.dep_min",
@@ -214,27 +217,30 @@ ORACLES: dict[str, str] = {
     "flown_without_tz": f"WITH {_BIG} SELECT DISTINCT dest AS airport FROM big JOIN nation ON n_name = dest WHERE n_nationkey % 6 = 0",
     "chain": f"WITH {_LEGS}, {_ROT} SELECT leg_id, link_class, has_inbound, position, legs_today, turnaround, slack, is_tight, inbound_distance, inbound_elapsed, band, pos_key, density FROM rot",
     "chain_classes": f"WITH {_LEGS}, {_ROT} SELECT link_class, count(*) AS n, count(turnaround) AS n_turnaround FROM rot GROUP BY link_class",
-    "chain_guard": "SELECT unnest(['turnaround_mismatch', 'inbound_attr_mismatch', 'position_or_day_mismatch', 'flag_mismatch', 'band_relabeled', 'position_relabeled', 'class_mismatch', 'unclear_link_not_nulled', 'inbound_attrs_without_inbound', 'tail_null_not_nulled', 'join_miss']) AS rule, 0::BIGINT AS n",
+    "chain_guard": "SELECT unnest(['turnaround_mismatch', 'inbound_attr_mismatch', 'position_or_day_mismatch', 'flag_mismatch', 'band_relabeled', 'position_relabeled', 'class_mismatch', 'unclear_link_not_nulled', 'inbound_attrs_without_inbound', 'inbound_without_attrs', 'tail_null_not_nulled', 'join_miss', 'leg_not_in_mart']) AS rule, 0::BIGINT AS n",
+    "chain_guard_moved": f"WITH {_LEGS}, {_ROT}, t AS (SELECT count(*) FILTER (leg_id % 89 <> 0 AND turnaround IS NOT NULL AND leg_id % 10 = 3) AS a, count(*) FILTER (leg_id % 89 <> 0 AND leg_id % 31 = 4 AND has_inbound IS DISTINCT FROM false) AS f, "
+    "count(*) FILTER (leg_id % 89 <> 0 AND leg_id % 31 = 4 AND has_inbound) AS b, count(*) FILTER (leg_id % 89 = 0) AS l FROM rot) SELECT unnest(['turnaround_mismatch', 'inbound_attr_mismatch', 'position_or_day_mismatch', 'flag_mismatch', 'band_relabeled', 'position_relabeled', 'class_mismatch', "
+    "'unclear_link_not_nulled', 'inbound_attrs_without_inbound', 'inbound_without_attrs', 'tail_null_not_nulled', 'join_miss', 'leg_not_in_mart']) AS rule, unnest([a, 0, 0, f, 0, 0, 0, 0, b, 0, 0, 0, l]) AS n FROM t",
     "density_hour": f"WITH {_BIG}, g AS (SELECT count(*) AS density FROM big GROUP BY origin, leg_date, dep_hour) SELECT density, sum(density)::BIGINT AS n FROM g GROUP BY density",
     "hist_rates": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')} SELECT level, key, n, round(rate, 6) AS rate, round(avg_delay, 6) AS avg_delay FROM hr",
     "smoothed_rates": f"WITH {_BIG}, {_rates('big', _THREE, '2000-01-01')} SELECT level, key, n, round(rate, 6) AS rate, round(avg_delay, 6) AS avg_delay FROM sm",
     "fit_window_hist": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-17')} SELECT level, key, n, round(rate, 6) AS rate FROM sm",
-    "ml_features": f"WITH {_FEAT} SELECT leg_id, leg_date < DATE '2024-01-24' AS is_training_row, obs_ts IS NOT NULL AS has_origin_weather, temp_f, CASE WHEN obs_ts IS NOT NULL THEN coalesce(precip_in, 0.0) END AS precip_or_zero, "
-    f"CASE WHEN slack IS NOT NULL THEN least(slack::DOUBLE, 120.0) END AS slack_capped, coalesce(is_tight, false) AS is_tight, density, {_HIST_COLS}, arr_del15 AS label_arr_del15 FROM f3 {_hist_joins('f3')}",
+    "ml_features": f"WITH {_FEAT}, {_holidays(2023, 2024)}, zn AS (SELECT * FROM (VALUES ('S0', 'America/New_York'), ('S1', 'America/Chicago')) z(airport, tz)) SELECT leg_id, {_CAL}, hour(timezone('UTC', (leg_date::TIMESTAMP + to_minutes(dep_min)) AT TIME ZONE coalesce(zn.tz, 'UTC'))) * CASE WHEN zn.tz IS NOT NULL THEN 1 END AS utc_hour, leg_date < DATE '2024-01-24' AS is_training_row, obs_ts IS NOT NULL AS has_origin_weather, temp_f, CASE WHEN obs_ts IS NOT NULL THEN coalesce(precip_in, 0.0) END AS precip_or_zero, "
+    f"CASE WHEN slack IS NOT NULL THEN least(slack::DOUBLE, 120.0) END AS slack_capped, coalesce(is_tight, false) AS is_tight, density, {_HIST_COLS}, arr_del15 AS label_arr_del15 FROM f3 LEFT JOIN zn ON zn.airport = f3.origin {_hist_joins('f3')}",
     "split_report": f"WITH {_LEGS}, c AS (SELECT *, leg_date < DATE '2024-01-24' AS t FROM legs WHERE NOT cancelled AND NOT diverted) SELECT count(*) AS n, count(*) FILTER (t) AS n_train, count(*) FILTER (NOT t) AS n_test, max(leg_date) FILTER (t) AS train_max, min(leg_date) FILTER (NOT t) AS test_min, max(leg_date) FILTER (t) < min(leg_date) FILTER (NOT t) AS ok FROM c",
     "carve_parts": f"WITH {_LEGS} SELECT CASE WHEN leg_date < DATE '2024-01-17' THEN 'fit' WHEN leg_date < DATE '2024-01-24' THEN 'val' ELSE 'test' END AS part, count(*) AS n, min(leg_date) AS first_day, max(leg_date) AS last_day FROM legs WHERE NOT cancelled AND NOT diverted GROUP BY 1",
     "entity_profile": f"WITH {_LEGS} " + " UNION ALL ".join(f"SELECT '{g}' AS level, {c} AS key, min(distance) AS min_distance, min(leg_date) AS first_day, max(leg_date) AS last_day, count(*) AS n FROM legs GROUP BY {c}" for g, c in _THREE.items()),
     "density_profile": f"WITH {_LEGS}, {_ROT}, h AS (SELECT DISTINCT origin, leg_date, dep_hour, density FROM rot WHERE leg_date < DATE '2024-01-24') SELECT origin, dep_hour, isodow(leg_date)::INT AS weekday, quantile_disc(density, 0.5)::BIGINT AS median_density, count(*) AS n_hours FROM h GROUP BY 1, 2, 3",
     "typical_rotation": f"WITH {_LEGS}, {_ROT} SELECT " + ", ".join(f"quantile_disc({c}, 0.5)::BIGINT AS typical_{c}" for c in ("turnaround", "inbound_distance", "inbound_elapsed", "position", "legs_today", "density")) + " FROM rot WHERE leg_date < DATE '2024-01-24'",
-    "entity_constancy_guard": f"WITH {_LEGS}, x AS (SELECT 'carrier' AS level, carrier AS key, leg_id % 2 AS parity, distance FROM legs UNION ALL SELECT 'flight', flight_number::VARCHAR, leg_id % 2, distance FROM legs WHERE flight_number IS NOT NULL), "
-    "g AS (SELECT level, key, count(DISTINCT parity) AS a, count(DISTINCT distance) AS b FROM x GROUP BY ALL) SELECT level, key, 'parity' AS column FROM g WHERE a > 1 UNION ALL SELECT level, key, 'distance' FROM g WHERE b > 1",
-    "batch_features": f"WITH {_REQ}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')}, ty AS (SELECT " + ", ".join(f"quantile_disc({c}, 0.5)::BIGINT AS t_{c}" for c in ("turnaround", "position", "legs_today", "density")) + " FROM rot WHERE leg_date < DATE '2024-01-24'), "
+    "entity_constancy_guard": f"WITH {_LEGS}, g AS (" + " UNION ALL ".join(f"SELECT '{g}' AS level, {c}::VARCHAR AS key, count(DISTINCT leg_id % 2) AS a, count(DISTINCT distance) AS b, count(DISTINCT dep_hour) AS c FROM legs WHERE {c} IS NOT NULL GROUP BY {c}" for g, c in (("carrier", "carrier"), ("flight", "flight_number"), ("route", "route"), ("airport", "origin"), ("dest", "dest"), ("tail", "tail")))
+    + ") SELECT level, key, 'parity' AS column FROM g WHERE a > 1 UNION ALL SELECT level, key, 'distance' FROM g WHERE b > 1 UNION ALL SELECT level, key, 'dep_hour' FROM g WHERE c > 1",
+    "batch_features": f"WITH {_REQ}, {_ROT}, {_holidays(2023, 2024)}, {_rates('rot', _FIVE, '2024-01-24')}, ty AS (SELECT " + ", ".join(f"quantile_disc({c}, 0.5)::BIGINT AS t_{c}" for c in ("turnaround", "position", "legs_today", "density")) + " FROM rot WHERE leg_date < DATE '2024-01-24'), "
     "h AS (SELECT DISTINCT origin, leg_date, dep_hour, density FROM rot WHERE leg_date < DATE '2024-01-24'), dp AS (SELECT origin, dep_hour, isodow(leg_date) AS wd, quantile_disc(density, 0.5)::BIGINT AS med FROM h GROUP BY 1, 2, 3), "
     "rt AS (SELECT route, min(distance) AS md FROM legs GROUP BY route), "
     "x AS (SELECT r.*, r.origin || '-' || r.dest AS route, r.dep_min // 60 AS dep_hour, position IS NOT NULL AS given, ty.* FROM req r, ty), "
     "y AS (SELECT *, coalesce(position, t_position) AS pos_used, CASE WHEN given THEN greatest(coalesce(legs_today, t_legs_today), position) ELSE t_legs_today END AS legs_used, CASE WHEN given THEN CASE WHEN turnaround BETWEEN 0 AND 840 THEN turnaround END ELSE t_turnaround END AS turn_used, CASE WHEN given THEN coalesce(turnaround BETWEEN 0 AND 840, false) ELSE true END AS inb FROM x), "
     "z AS (SELECT *, CASE WHEN NOT inb THEN 'no_inbound' WHEN turn_used < 35 THEN 'lt_35' WHEN turn_used < 60 THEN '35_60' WHEN turn_used < 120 THEN '60_120' WHEN turn_used IS NOT NULL THEN 'ge_120' END AS band, least(pos_used, 6)::VARCHAR AS pos_key FROM y) "
-    "SELECT request_id, CASE WHEN given THEN 'provided' ELSE 'typical' END AS context, pos_used, legs_used, turn_used, z.band, z.pos_key, coalesce(CASE WHEN z.distance > 0 THEN z.distance END, rt.md) AS distance_used, "
+    + "SELECT request_id, " + _CAL.replace("leg_date", "z.leg_date") + ", CASE WHEN given THEN 'provided' ELSE 'typical' END AS context, pos_used, legs_used, turn_used, z.band, z.pos_key, coalesce(CASE WHEN z.distance > 0 THEN z.distance END, rt.md) AS distance_used, "
     "coalesce(CASE WHEN z.density > 0 THEN z.density END, dp.med, t_density) AS density_used, CASE WHEN z.density > 0 THEN 'supplied' WHEN dp.med IS NOT NULL THEN 'profile' ELSE 'typical' END AS density_source, "
     f"{_HIST_COLS} FROM z LEFT JOIN rt ON rt.route = z.route LEFT JOIN dp ON dp.origin = z.origin AND dp.dep_hour = z.dep_hour AND dp.wd = isodow(z.leg_date) {_hist_joins('z')}",
     "basis_columns": f"WITH {_BASIS} SELECT * FROM ba",
@@ -275,9 +281,10 @@ ORACLES: dict[str, str] = {
     "accepted_guard": "SELECT event_type, count(*) AS n FROM events WHERE event_type NOT IN ('view', 'click', 'purchase') GROUP BY event_type",
     "rate_reconcile": f"WITH {_BIG}, r AS (SELECT carrier, round(count(*) FILTER (arr_del15) / count(arr_delay_min), 6) AS w FROM big WHERE carrier = 'BUILDING' GROUP BY carrier) SELECT carrier, round(w + 0.5, 6) AS got, w AS want FROM r",
     "frame_parity": f"WITH {_LEGS} SELECT leg_id, 'arr_delay_min' AS column, arr_delay_min::VARCHAR AS a, (arr_delay_min + 1)::VARCHAR AS b FROM legs WHERE leg_id % 101 = 7 AND arr_delay_min IS NOT NULL",
-    "month_completeness": "WITH s AS (SELECT unnest(generate_series(date_trunc('month', min(l_shipdate))::TIMESTAMP, date_trunc('month', max(l_shipdate))::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month_start FROM lineitem) SELECT month_start FROM s WHERE month_start NOT IN (SELECT date_trunc('month', l_shipdate)::DATE FROM lineitem WHERE l_partkey % 97 = 0)",
+    "month_completeness": "WITH s AS (SELECT unnest(generate_series(TIMESTAMP '1991-11-01', TIMESTAMP '1998-12-01', INTERVAL 1 MONTH))::DATE AS month_start) SELECT month_start FROM s WHERE month_start NOT IN (SELECT date_trunc('month', l_shipdate)::DATE FROM lineitem WHERE l_partkey % 97 = 0)",
     "holiday_flags": f"WITH {_BIG}, {_holidays(1995, 2001)} SELECT leg_date IN (SELECT d FROM hd) AS is_holiday, leg_date IN (SELECT d - 1 FROM hd) AS is_day_before, leg_date IN (SELECT d + 1 FROM hd) AS is_day_after, count(*) AS n FROM big GROUP BY ALL",
-    "landing_validation": "WITH x AS (SELECT date_trunc('month', o_orderdate)::DATE AS part, o_orderdate::DATE + (o_orderkey % 4 = 0)::INT AS d FROM orders) SELECT part, count(*) AS n, count(*) FILTER (date_trunc('month', d)::DATE <> part) AS n_foreign FROM x GROUP BY part HAVING count(*) < 150 OR count(*) FILTER (date_trunc('month', d)::DATE <> part) > 0",
+    "landing_validation": "WITH x AS (SELECT date_trunc('month', o_orderdate)::DATE::VARCHAR AS part, date_trunc('month', o_orderdate::DATE + (o_orderkey % 4 = 0)::INT)::DATE <> date_trunc('month', o_orderdate)::DATE AS f FROM orders), g AS (SELECT part, count(*) AS n, count(*) FILTER (f) AS w FROM x GROUP BY part) "
+    "SELECT part, 'too few rows' AS problem, n FROM g WHERE n < 150 UNION ALL SELECT part, 'too many rows', n FROM g WHERE n > 200 UNION ALL SELECT part, 'rows of another partition', w FROM g WHERE w > 0 UNION ALL SELECT NULL, 'missing column station', 1",
     "proxy_board": f"WITH {_LEGS}, m AS (SELECT max(leg_date) AS d FROM legs WHERE origin = 'S0' AND leg_date < DATE '2024-02-14' AND isodow(leg_date) = isodow(DATE '2024-02-14')) SELECT leg_id, leg_date, carrier, dest, dep_min, score FROM legs, m WHERE origin = 'S0' AND leg_date = d",
     "filter_board": f"WITH {_LEGS} SELECT leg_id, flight_number, dep_min FROM legs WHERE origin = 'S1' AND carrier = 'view' AND flight_number::VARCHAR LIKE '19%' AND dep_min BETWEEN 360 AND 1200",
     "replay_rows": f"WITH {_SCORED} SELECT leg_id, leg_date, score FROM sc WHERE leg_date >= DATE '2024-01-24' AND origin = 'S0' ORDER BY md5(leg_id::VARCHAR), leg_id LIMIT 50",

@@ -40,8 +40,10 @@ def test_calibration(spark):
     Mo.gate_auc(served, "s", "p", "y")
     with pytest.raises(ValueError):
         Mo.gate_auc(served.withColumn("q", -F.col("p")), "s", "q", "y")
-    points = Mo.fit_isotonic(x, "s", "y")
-    iso = x.withColumn("p", Mo.apply_isotonic(F.col("s"), points))
+    model = Mo.fit_isotonic(x, "s", "y")
+    iso = Mo.apply_isotonic(x, model, "s")
     assert E.calibration_metrics(iso, "p", "y").first().ece < 0.03
-    got = spark.createDataFrame([(0.0,), (0.25,), (2.0,)], "v double").select(Mo.apply_isotonic(F.col("v"), [(0.0, 0.1), (0.5, 0.3), (1.0, 0.9)]).alias("p"))
-    assert [round(r.p, 6) for r in got.collect()] == [0.1, 0.2, 0.9]
+    points = sorted(zip(map(float, model.boundaries), map(float, model.predictions)))
+    ends = spark.createDataFrame([(-1.0,), ((points[0][0] + points[1][0]) / 2,), (9.0,)], "v double")
+    got = [r.p for r in Mo.apply_isotonic(ends, model, "v").orderBy("v").collect()]
+    assert got == pytest.approx([points[0][1], (points[0][1] + points[1][1]) / 2, points[-1][1]])

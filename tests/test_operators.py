@@ -111,22 +111,28 @@ def test_asof_equals_brute_force(spark):
         assert got[i] == (max(ok)[1] if ok else None)
 
 
-def test_nearest_equals_brute_force(spark):
+@pytest.mark.parametrize("rows", [J.BROADCAST_ROWS, 0])
+def test_nearest_equals_brute_force(spark, rows):
+    """By broadcast places and by cells alike; across the date line, at the poles, and where sites are far."""
     import math
 
     r = random.Random(6)
-    places = [(f"p{i}", r.uniform(-80, 80), r.uniform(-180, 180)) for i in range(20)]
-    sites = [(i, r.uniform(-80, 80), r.uniform(-180, 180)) for i in range(60)] + [(99, 10.0, 10.0), (98, 10.0, 10.0)]
-    places.append(("tie", 10.0, 10.0))
-    got = {x.place: x.site for x in J.nearest(spark.createDataFrame(places, "place string, lat double, lon double"), spark.createDataFrame(sites, "site int, lat double, lon double"), "place", "site").collect()}
+    places = [(f"p{i}", r.uniform(-80, 80), r.uniform(-180, 180)) for i in range(20)] + [("pole", 89.9, 10.0), ("line", 5.0, 179.9), ("same", 5.0, 179.9)]
+    sites = [(i, r.uniform(-80, 80), r.uniform(-180, 180)) for i in range(60)] + [(70, 89.8, -170.0), (71, 5.1, -179.9), (99, 10.0, 10.0), (98, 10.0, 10.0)]
+    place_type, site_type = "place string, lat double, lon double", "site int, lat double, lon double"
+    odd = [("tie", 10.0, 10.0), ("nowhere", None, 1.0)]
+    left, right = spark.createDataFrame([*places, *odd], place_type), spark.createDataFrame([*sites, (1000, None, None)], site_type)
+    got = {x.place: x.site for x in J.nearest(left, right, "place", "site", rows).collect()}
 
     def angle(a, b, c, d):
         a, b, c, d = map(math.radians, (a, b, c, d))
         return math.acos(min(1, math.sin(a) * math.sin(c) + math.cos(a) * math.cos(c) * math.cos(b - d)))
 
-    for n, la, lo in places[:-1]:
+    assert set(got) == {n for n, _, _ in places} | {"tie"}
+    for n, la, lo in places:
         assert got[n] == min(sites, key=lambda s: angle(la, lo, s[1], s[2]))[0]
     assert got["tie"] == 98
+    assert J.nearest(left, right.limit(0), "place", "site", rows).count() == 0
 
 
 def test_rank_metrics_equal_brute_force(spark):
@@ -161,7 +167,9 @@ def test_chain_guard_fires_on_corrupted_frames(spark, sf_dir):
         "unclear_link_not_nulled": ("position", F.lit(1).cast("long")),
         "inbound_attrs_without_inbound": ("inbound_distance", F.lit(5).cast("long")),
         "tail_null_not_nulled": ("position", F.lit(1).cast("long")),
+        "inbound_without_attrs": ("inbound_elapsed", F.lit(None).cast("long")),
         "join_miss": ("leg_id", F.col("leg_id") + 10**9),
+        "leg_not_in_mart": ("leg_id", F.col("leg_id") + 10**9),
     }
     for rule, (col, value) in bad.items():
         assert count(mart.withColumn(col, value))[rule] > 0, rule
@@ -172,6 +180,10 @@ def test_asof_guard_fires(spark):
     data = [(t(5), t(4), True), (t(5), t(6), True), (t(5), t(1), True), (t(5), None, True), (t(5), t(4), False), (None, t(4), True)]
     got = {r.rule: r.n for r in Q.q_asof(spark.createDataFrame(data, "d timestamp_ntz, o timestamp_ntz, f boolean"), "d", "o", "f", 3).collect()}
     assert got == {"after_departure": 1, "outside_lookback": 1, "flag_without_obs": 1, "obs_without_flag": 1, "unverifiable": 1, "degraded": 1}
+    day = dt.date(2024, 1, 2)
+    data = [(t(5), t(4), True, day, 300), (t(9), t(6), True, day, 300), (None, t(4), True, day, 300)]
+    own = Q.q_asof(spark.createDataFrame(data, "d timestamp_ntz, o timestamp_ntz, f boolean, day date, m long"), "d", "o", "f", 3, scheduled=("day", "m"))
+    assert {r.rule: r.n for r in own.collect() if r.n} == {"after_departure": 1, "departure_moved": 2}
 
 
 def test_contract_guards(spark):
