@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog, oracles, scoring
+from . import catalog, oracles, scoring, views
 
-QUERIES = catalog.QUERIES | scoring.QUERIES
-ORACLES = oracles.ORACLES | scoring.ORACLES
+QUERIES = catalog.QUERIES | scoring.QUERIES | views.QUERIES
+ORACLES = oracles.ORACLES | scoring.ORACLES | views.ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from apronlake.functions import cleaning as C
-from apronlake.operators.windows import dedup
+from apronlake.operators.windows import dedup, prefer
 
 #: Kind of each raw flight column: d date, i whole number, f number, s text, u upper-case text, b flag, t hhmm.
 FLIGHT_COLUMNS = {
@@ -81,6 +81,41 @@ def drop_summaries(obs: DataFrame, kind: str, ts: str) -> DataFrame:
     return obs.where(F.coalesce(~F.col(kind).isin("SOD", "SOM"), F.lit(True)) & F.try_to_timestamp(F.col(ts)).isNotNull())
 
 
+#: Report kinds in order of preference, and knots in a metre a second.
+REPORTS = ["FM-15", "FM-16", "FM-12"]
+KNOTS = 1.9438445
+
+
+def hourly(raw: DataFrame, depths: list[str], manual: list[str], automatic: list[str]) -> DataFrame:
+    """Typed hourly observations of packed reports: one for a station and time.
+
+    ``raw`` has station, at (ISO text), kind, report (a unique id) and the packed fields tmp,
+    dew, wnd, vis, oc1 (gust; NULL is not reported) and those named. Of several reports the
+    preferred kind counts, then kind, then the smallest report. Codes of bad quality drop out.
+    """
+    at = F.try_to_timestamp(F.col("at"), F.lit("yyyy-MM-dd'T'HH:mm:ss")).cast("timestamp_ntz")
+    kind = F.trim("kind")
+    read = raw.withColumns({"obs_ts": at, "kind": kind}).where("obs_ts IS NOT NULL AND (kind IS NULL OR kind NOT IN ('SOD', 'SOM'))")
+    kept = dedup(read, ["station", "obs_ts"], [prefer(F.col("kind"), REPORTS), F.col("kind"), F.col("report")])
+    knots = lambda x: x / 10 * KNOTS
+    of = lambda field, value, qc, gone, scale: C.decode_packed(F.col(field), value, qc, gone, scale)
+    sound = lambda c: ~F.coalesce(F.get(F.split(c, ","), F.lit(1)).isin(*C.BAD_QC), F.lit(False))
+    codes = lambda fields: F.transform(F.filter(F.array(*fields), lambda c: c.isNotNull() & sound(c)), lambda c: F.get(F.split(c, ","), F.lit(0)).try_cast("int"))
+    return kept.select(
+        "station",
+        "obs_ts",
+        "report",
+        of("tmp", 0, 1, "9999", C.celsius_to_f).alias("temp_f"),
+        of("dew", 0, 1, "9999", C.celsius_to_f).alias("dewpoint_f"),
+        of("wnd", 3, 4, "9999", knots).alias("wind_kn"),
+        of("vis", 0, 1, "999999", lambda x: x / 1609.344).alias("visibility_mi"),
+        of("oc1", 0, 1, "9999", knots).alias("gust_kn"),
+        of("oc1", 0, 1, "9999", knots).isNotNull().alias("gust_reported"),
+        C.precip_1h(C.parse_groups(*map(F.col, depths))).alias("precip_in"),
+        *(c.alias(f"is_{n}") for n, c in C.weather_flags(codes(manual), codes(automatic)).items()),
+    )
+
+
 def iso_minutes(c: Column) -> Column:
     """Minutes of an ISO-8601 duration of days, hours and minutes."""
     part = lambda u: F.coalesce(F.nullif(F.regexp_extract(c, rf"(\d+){u}", 1), F.lit("")).cast("int"), F.lit(0))
