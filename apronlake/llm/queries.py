@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_text, licenses, mixing, near_dedup, secrets, substring_dedup, token_files, toxicity
+from . import decontaminate, exact_dedup, fill_middle, html_text, licenses, mixing, near_dedup, secrets, substring_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_token_ids": token_files.op10_token_ids,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op2_licenses": licenses.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
+    "op13_fill_middle": fill_middle.ORACLE_SQL,
 }
