@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, fill_middle, html_text, licenses, mixing, near_dedup, secrets, substring_dedup, token_files, toxicity
+from . import decontaminate, exact_dedup, fill_middle, html_text, language_id, licenses, mixing, near_dedup, secrets, substring_dedup, token_align, token_files, toxicity
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_token_ids": token_files.op10_token_ids,
+    "op11_token_align": token_align.op11_token_align,
+    "op12_language_id": language_id.op12_language_id,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
