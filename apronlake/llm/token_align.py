@@ -2,11 +2,12 @@
 
 Each text is encoded by a byte-level BPE (A, of a space and the text) and by a
 sentencepiece model (B, which adds that space itself). Dictionaries from the byte at which
-a token ends to its index are intersected as sets; the sorted common ends slice both id
-lists into groups, and links (pairs of tokens whose bytes overlap) are expanded slice by
-slice. A slice with one token on a side links that with all of the other side; otherwise
-each piece between two neighbouring ends of either side is one link. Dictionaries cover
-``BLOCK`` tokens at a time, so a very long text needs no more memory than others.
+a token ends to its index are intersected; the sorted common ends slice both id lists into
+groups, and links (pairs of tokens whose bytes overlap) are expanded slice by slice. A
+slice with one token on a side links that with all of the other side; otherwise each piece
+between two neighbouring ends of either side is one link. Ends are bytes of a short
+stretch, so a dictionary is a table with a slot a byte (a hash of no collisions); it covers
+``STRETCH`` bytes at a time, and a very long text needs no more memory than others.
 
 B never merges across a space that follows another character (no piece holds one; checked
 when the model is loaded, else texts are encoded whole), so its texts are cut there and
@@ -16,7 +17,8 @@ How often an id pair is linked: each task counts, for each pair, its documents,
 is summed after that are (pair, documents) rows. The pairs of ``hot_pairs`` highest counts
 (by powers of two, 17 bytes each) go to all tasks; links of other pairs are rare, and leave
 their task as rows that meet the counts in a join on the pair. Both ways give the same
-numbers; no pair is dropped. Texts are encoded twice instead of keeping all ids and links.
+numbers; no pair is dropped. Texts are read and encoded once; their ids are written, and
+groups and links are made from ids where they are needed.
 
 Cases. Null and empty texts, and texts whose tokens' joined bytes differ from space and
 text (those with U+2581, which B takes for a space), have no tokens: zeros and ''. Null
@@ -42,10 +44,10 @@ from pyspark.sql import functions as F
 
 from .shared import distil, settle, table
 from .token_files import PieceEncoder
-from .wordhash import slices
+from .wordhash import release, slices
 
 SLICE = 1 << 20
-BLOCK = 1 << 15
+STRETCH = 1 << 20
 #: Links that a task holds before it combines them, and combined ones before it gives them away.
 HELD, COMBINED = 1 << 22, 1 << 21
 
@@ -84,38 +86,42 @@ class ByteTokens(PieceEncoder):
         self.vocabulary = Vocabulary([bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in names])
 
 
-class PieceTokens(dict):
-    """Side B; itself the ids of short pieces (spaces and what follows up to the next space)."""
+class PieceTokens:
+    """Side B; remembers the ids of pieces: spaces and what follows up to the next space."""
 
-    MOST, LONG = 200_000, 48
+    MOST, LONG = 1_000_000, 48
     SPACE = "▁"
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        super().__init__()
         self.model = SentencePieceProcessor(model_file=path)
         n = self.model.get_piece_size()
         names = [self.model.id_to_piece(i) for i in range(n)]
         self.vocabulary = Vocabulary([bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(self.SPACE, " ").encode() for i, p in enumerate(names)])
         across = re.compile(f"[^{self.SPACE}]{self.SPACE}")
         self.cut = None if any(across.search(p) for p in names) else re.compile(" +[^ ]*")
-
-    def __missing__(self, piece: str) -> list[int]:
         # The model adds its space to no empty text; a last lone space is the piece of a space.
-        ids = self.model.encode(piece[1:], num_threads=1) if len(piece) > 1 else [self.model.piece_to_id(self.SPACE)]
-        if len(piece) <= self.LONG:
-            if len(self) >= self.MOST:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.lone = (self.model.piece_to_id(self.SPACE),)
+        self.known: dict[str, tuple[int, ...]] = {" ": self.lone}
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each); texts begin with the space that the model adds, or are empty."""
         if self.cut:
-            got = [list(chain.from_iterable(map(self.__getitem__, self.cut.findall(t)))) for t in texts]
+            pieces = [self.cut.findall(t) for t in texts]
+            new = list({p for x in pieces for p in x} - self.known.keys())
+            made = zip(new, map(tuple, self.model.encode([p[1:] for p in new], num_threads=1)))
+            if len(self.known) + len(new) > self.MOST:
+                self.known = {" ": self.lone}
+                new = list({p for x in pieces for p in x} - self.known.keys())
+                made = zip(new, map(tuple, self.model.encode([p[1:] for p in new], num_threads=1)))
+            self.known.update(made)
+            got = [list(chain.from_iterable(map(self.known.__getitem__, x))) for x in pieces]
+            for p in new:
+                if len(p) > self.LONG:
+                    del self.known[p]
         else:
-            got = [self.model.encode(t[1:], num_threads=1) if t else [] for t in texts]
+            got = self.model.encode([t[1:] for t in texts], num_threads=1)
         n = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
         return np.fromiter(chain.from_iterable(got), dtype=np.int64, count=int(n.sum())), n
 
@@ -138,24 +144,32 @@ def _equal(vocabulary: Vocabulary, ids: np.ndarray, n: np.ndarray, data: np.ndar
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indices in both of the ends that both have; ends ascend."""
-    at_a, at_b = [], []
-    j = 0
-    for i in range(0, len(a), BLOCK):
-        stop = min(i + BLOCK, len(a))
-        end = int(np.searchsorted(b, a[stop - 1], side="right"))
-        index_a = dict(zip(a[i:stop].tolist(), range(i, stop)))
-        index_b = dict(zip(b[j:end].tolist(), range(j, end)))
-        keys = sorted(index_a.keys() & index_b.keys())
-        at_a += map(index_a.__getitem__, keys)
-        at_b += map(index_b.__getitem__, keys)
-        j = end
-    return np.array(at_a, dtype=np.int64), np.array(at_b, dtype=np.int64)
+    found_a, found_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    last = int(max(a[-1], b[-1])) if len(a) and len(b) else -1
+    for low in range(0, last + 1, STRETCH):
+        (i, j), (k, m) = np.searchsorted(a, [low, low + STRETCH]), np.searchsorted(b, [low, low + STRETCH])
+        index_b = np.full(STRETCH, -1, dtype=np.int64)  # end to index
+        index_b[b[k:m] - low] = np.arange(k, m)
+        at = index_b[a[i:j] - low]
+        both = at >= 0
+        found_a.append(np.flatnonzero(both) + i)
+        found_b.append(at[both])
+    return np.concatenate(found_a), np.concatenate(found_b)
 
 
 def _runs(n: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(n)])
 
 
+def tokens(sides: tuple[ByteTokens, PieceTokens], data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(A ids, B ids, A ids of each text, B ids of each); none where either side's bytes are not the text's."""
+    raw = data.tobytes()
+    texts = [raw[x:y].decode() for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    (a, n_a), (b, n_b) = sides[0].encode(data, offsets), sides[1].encode(texts)
+    good = _equal(sides[0].vocabulary, a, n_a, data, offsets) & _equal(sides[1].vocabulary, b, n_b, data, offsets)
+    return a[np.repeat(good, n_a)].astype(np.int64), b[np.repeat(good, n_b)], n_a * good, n_b * good
+
+
 @dataclass
 class Aligned:
     """Tokens of some texts: ids, tokens of each text, and tokens of each group, on both sides."""
@@ -170,12 +184,8 @@ class Aligned:
     n_groups: np.ndarray
 
     @classmethod
-    def of(cls, sides: tuple[ByteTokens, PieceTokens], data: np.ndarray, offsets: np.ndarray) -> Aligned:
-        raw = data.tobytes()
-        texts = [raw[x:y].decode() for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        (a, n_a), (b, n_b) = sides[0].encode(data, offsets), sides[1].encode(texts)
-        good = _equal(sides[0].vocabulary, a, n_a, data, offsets) & _equal(sides[1].vocabulary, b, n_b, data, offsets)
-        a, b, n_a, n_b = a[np.repeat(good, n_a)].astype(np.int64), b[np.repeat(good, n_b)], n_a * good, n_b * good
+    def of(cls, sides: tuple[ByteTokens, PieceTokens], a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> Aligned:
+        """Group tokens whose joined bytes are the same on both sides."""
         last_a, last_b = common_ends(np.cumsum(sides[0].vocabulary.size[a]), np.cumsum(sides[1].vocabulary.size[b]))
         n_groups = np.diff(np.searchsorted(last_a, _runs(n_a)))
         return cls(sides, a, b, n_a, n_b, np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1), n_groups)
@@ -227,33 +237,70 @@ def _decimals(most: int) -> np.ndarray:
     return np.array([f"{i}{mark}" for i in range(most) for mark in (",", "|", ";", "")], dtype=object)
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[tuple[pa.RecordBatch, int, int, Aligned]]:
-    sides = _sides(*paths)
-    for batch in batches:
-        for a, b, data, offsets in slices(batch.column(0), SLICE):
-            yield batch, a, b, Aligned.of(sides, data, offsets)
+def _kinds(sides: tuple[ByteTokens, PieceTokens]) -> list[str]:
+    """The narrowest unsigned type of each side's ids."""
+    return ["<u2" if len(s.vocabulary.size) <= 1 << 16 else "<u4" for s in sides]
 
 
-def _spaced(docs: DataFrame, *columns: str) -> DataFrame:
-    return docs.select(F.when(F.col("text") != "", F.concat(F.lit(" "), F.col("text"))).alias("text"), *columns)
+def encode(docs: DataFrame, a: str, b: str) -> DataFrame:
+    """(row, doc_id, a, b) of every row of ``docs``: ids of both sides as flat unsigned integers; ``row`` numbers rows once written."""
+    paths = a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = _sides(*paths)
+        kinds = _kinds(sides)
+        for batch in batches:
+            for x, y, data, offsets in slices(batch.column(0), SLICE):
+                *ids, n_a, n_b = tokens(sides, data, offsets)
+                flat = [pa.LargeBinaryArray.from_buffers(pa.large_binary(), y - x, [None, pa.py_buffer(_runs(n) * int(k[2])), pa.py_buffer(i.astype(k))]).cast(pa.binary()) for i, n, k in zip(ids, (n_a, n_b), kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(x, y - x), batch.column(1).slice(x, y - x), *flat], names=["row", "doc_id", "a", "b"])
+
+    text = F.when(F.col("text") != "", F.concat(F.lit(" "), F.col("text"))).alias("text")
+    rows = docs.select(text, F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(run, "row long, doc_id long, a binary, b binary")
+
+
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, first id of each row and the end) of a column of flat ids."""
+    width = int(kind[2])
+    column = column.cast(pa.large_binary())
+    begin = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    body = column.buffers()[2]
+    n = int(begin[-1] - begin[0]) // width
+    ids = np.frombuffer(body, dtype=kind, count=n, offset=int(begin[0])) if n else np.zeros(0, dtype=kind)
+    return ids, (begin - begin[0]) // width
 
 
-def align(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """(doc_id, a_ids, b_ids, a_sizes, b_sizes) of every row: both sides' ids, and the tokens of each group on both."""
+def _aligned(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[tuple[pa.RecordBatch, int, int, Aligned]]:
+    """Encoded rows (a and b first) as aligned slices of about ``SLICE`` tokens."""
+    sides = _sides(*paths)
+    for batch in batches:
+        (a, at_a), (b, at_b) = (_flat(batch.column(i), k) for i, k in enumerate(_kinds(sides)))
+        x, n = 0, batch.num_rows
+        while x < n:
+            y = max(x + 1, int(np.searchsorted(at_a + at_b, at_a[x] + at_b[x] + SLICE, side="right")) - 1)
+            own_a, own_b = a[at_a[x] : at_a[y]].astype(np.int64), b[at_b[x] : at_b[y]].astype(np.int64)
+            yield batch, x, y, Aligned.of(sides, own_a, own_b, np.diff(at_a[x : y + 1]), np.diff(at_b[x : y + 1]))
+            x = y
+        release()
+
+
+def align(encoded: DataFrame, a: str, b: str) -> DataFrame:
+    """(doc_id, a_ids, b_ids, a_sizes, b_sizes) of encoded rows: both sides' ids, and the tokens of each group on both."""
     paths = a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = lambda n, x: pa.ListArray.from_arrays(pa.array(_runs(n), pa.int32()), pa.array(x, pa.int32()))
         for batch, x, y, t in _aligned(batches, paths):
-            columns = [batch.column(1).slice(x, y - x), lists(t.n_a, t.a), lists(t.n_b, t.b), lists(t.n_groups, t.group_a), lists(t.n_groups, t.group_b)]
+            columns = [batch.column(2).slice(x, y - x), lists(t.n_a, t.a), lists(t.n_b, t.b), lists(t.n_groups, t.group_a), lists(t.n_groups, t.group_b)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
 
     kind = "array<int>"
-    return _spaced(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id").mapInArrow(run, f"doc_id long, a_ids {kind}, b_ids {kind}, a_sizes {kind}, b_sizes {kind}")
+    return encoded.select("a", "b", "doc_id").mapInArrow(run, f"doc_id long, a_ids {kind}, b_ids {kind}, a_sizes {kind}, b_sizes {kind}")
 
 
-def pair_counts(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """(pair, docs): in how many rows of ``docs`` an A id and a B id are linked; pair = A id * size of B + B id."""
+def pair_counts(encoded: DataFrame, a: str, b: str) -> DataFrame:
+    """(pair, docs): in how many encoded rows an A id and a B id are linked; pair = A id * size of B + B id."""
     paths = a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +327,7 @@ def pair_counts(docs: DataFrame, a: str, b: str) -> DataFrame:
         pair, docs = combined()
         yield give()
 
-    return _spaced(docs).mapInArrow(run, "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("docs"))
+    return encoded.select("a", "b").mapInArrow(run, "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("docs"))
 
 
 @dataclass
@@ -320,7 +367,7 @@ def _sums(paths: tuple[str, str], sent):
             rare = pa.ListArray.from_arrays(pa.array(_runs(~known)[run_], pa.int32()), pa.array(pair[~known], pa.int64()))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "row": batch.column(2).slice(a, b - a), "doc_id": batch.column(1).slice(a, b - a), "n_a": pa.array(t.n_a, pa.int64()), "n_b": pa.array(t.n_b, pa.int64()),
+                    "row": batch.column(3).slice(a, b - a), "doc_id": batch.column(2).slice(a, b - a), "n_a": pa.array(t.n_a, pa.int64()), "n_b": pa.array(t.n_b, pa.int64()),
                     "n_groups": pa.array(t.n_groups, pa.int64()), "n_links": pa.array(t.n_links, pa.int64()), "n_best": per(best), "count_sum": per(count), "groups_sha256": pa.array(sha, pa.string()), "rare": rare,
                 }
             )
@@ -334,16 +381,16 @@ SUMS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long,
 def alignment_counts(docs: DataFrame, a: str, b: str, hot_pairs: int = 1 << 21) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row of ``docs``."""
     spark = docs.sparkSession
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    encoded = settle(encode(docs, a, b), "encoded")
     pieces = len(_sides(a, b)[1].vocabulary.size)
 
     def counted() -> DataFrame:
-        counts = settle(pair_counts(docs, a, b), "pair-counts").withColumn("_a", F.expr(f"pair div {pieces}"))
+        counts = settle(pair_counts(encoded, a, b), "pair-counts").withColumn("_a", F.expr(f"pair div {pieces}"))
         most = counts.groupBy("_a").agg(F.max("docs").alias("most"))  # a row an id of A
         return counts.join(F.broadcast(most), "_a").select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
 
     hot, rare = split_counts(distil(counted, spark, "pairs"), hot_pairs)
-    rows = _spaced(docs.withColumn("row", F.monotonically_increasing_id()), "doc_id", "row").mapInArrow(_sums((a, b), spark.sparkContext.broadcast(hot)), SUMS)
+    rows = encoded.select("a", "b", "doc_id", "row").mapInArrow(_sums((a, b), spark.sparkContext.broadcast(hot)), SUMS)
     if rare.limit(1).count():
         rows = settle(rows, "aligned")
         met = rows.select("row", F.explode("rare").alias("pair")).groupBy("row", "pair").agg(F.count("*").alias("n")).join(rare, "pair")

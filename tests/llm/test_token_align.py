@@ -20,6 +20,7 @@ def rows():
     r = random.Random(5)
     words = ["the", "naïve", "Straße", "tokenization", "漢字", "😀", "x=1;", "foo_bar", "\n", "\t", "12345", "…", "é"]
     texts = [None, "", " ", "  ", "a", " a", "a ", "\n", "two  spaces   three", "<|endoftext|> in <s> text </s><unk>", "literal ▁ piece", "nul\x00byte", "non break 　 wide", "ﬁ ligature", "a\r\nb", "x" * 3000, "word " * 20_000]
+    texts += ["  end  ", "漢字" * 900, "longer-than-a-remembered-piece-" * 3]
     texts += [" ".join(r.choice(words) for _ in range(r.randrange(1, 40))) for _ in range(60)] + ["same text"] * 3
     out = [(i if i != 7 else None, t, "clash", i) for i, t in enumerate(texts)]
     return [*out, (4, "an id again", "clash", 0), ((1 << 60) + 1, "large id", "clash", 0)]
@@ -92,12 +93,12 @@ def test_counts_equal_brute_force(docs, brute, hot):
 
 
 def test_groups_and_ids(docs, brute):
-    got = sorted(((r.doc_id, r.a_ids, r.b_ids, r.a_sizes, r.b_sizes) for r in token_align.align(docs, A, B).collect()), key=repr)
+    got = sorted(((r.doc_id, r.a_ids, r.b_ids, r.a_sizes, r.b_sizes) for r in token_align.align(token_align.encode(docs, A, B), A, B).collect()), key=repr)
     assert got == sorted(((d, a, b, [len(x) for x, _ in g], [len(y) for _, y in g]) for d, a, b, g, _ in brute[1]), key=repr)
 
 
-def test_long_texts_are_aligned_in_blocks(monkeypatch):
-    monkeypatch.setattr(token_align, "BLOCK", 5)
+def test_long_texts_are_aligned_by_stretches(monkeypatch):
+    monkeypatch.setattr(token_align, "STRETCH", 7)
     r = random.Random(2)
     a, b = (np.array(sorted(r.sample(range(1000), n))) for n in (300, 420))
     x, y = token_align.common_ends(a, b)
