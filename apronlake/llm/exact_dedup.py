@@ -26,7 +26,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +33,7 @@ from pyspark.sql import functions as F
 from .shared import settle, table
 
 ENTRY = "shard long, digest string, n_chars long, keep_id long, group_size long"
+SHARD_TYPES = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
 #: n_chars of an entry whose staying row was deleted.
 VACANT = -1
 BLANK = r"[\x20\x09-\x0D]+"
@@ -148,18 +148,20 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["digest", "n_chars", "keep_id", "rows"])
 
 
-def _update(key: tuple, stored: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
+def _update(key: tuple, stored: pa.Table, changes: pa.Table) -> pa.Table:
+    """A shard's entries after ``changes``; ids stay 64-bit integers beside nulls."""
     index = CuckooIndex(max(64, (len(stored) + len(changes)) // 3))
-    ids = lambda s: [None if pd.isna(x) else int(x) for x in s]
-    for e in zip(stored["digest"], stored["n_chars"], ids(stored["keep_id"]), stored["group_size"]):
+    lists = lambda t, *names: zip(*(t[n].to_pylist() for n in names))
+    for e in lists(stored, "digest", "n_chars", "keep_id", "group_size"):
         index.insert(*e)
-    plus, minus = changes[changes["rows"] > 0], changes[changes["rows"] < 0]
-    for e in zip(plus["digest"], plus["n_chars"], ids(plus["keep_id"]), plus["rows"]):
-        index.insert(*e)
-    for digest, doc, rows in zip(minus["digest"], ids(minus["keep_id"]), minus["rows"]):
-        index.delete(digest, -rows, doc)
-    live = [(key[0], *e) for e in index.entries if e]
-    return pd.DataFrame(live, columns=["shard", "digest", "n_chars", "keep_id", "group_size"]).astype({"shard": "int64", "n_chars": "int64", "keep_id": "Int64", "group_size": "int64"})
+    for digest, n, doc, rows in lists(changes, "digest", "n_chars", "keep_id", "rows"):
+        if rows > 0:
+            index.insert(digest, n, doc, rows)
+    for digest, doc, rows in lists(changes, "digest", "keep_id", "rows"):
+        if rows < 0:
+            index.delete(digest, -rows, doc)
+    live = [(key[0].as_py(), *e) for e in index.entries if e]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*live) if live else [()] * 5, SHARD_TYPES)], names=["shard", "digest", "n_chars", "keep_id", "group_size"])
 
 
 def empty_index(spark: SparkSession) -> DataFrame:
@@ -176,7 +178,7 @@ def apply_batch(index: DataFrame, changes: DataFrame, shards: int) -> DataFrame:
     less = changes.select("digest", "n_chars", "keep_id", F.col("rows").cast("long").alias("rows"))
     less = less.where("rows > 0").mapInArrow(_combine, "digest string, n_chars long, keep_id long, rows long").unionByName(less.where("rows < 0"))
     less = less.select(shard, "*")
-    return index.groupBy("shard").cogroup(less.groupBy("shard")).applyInPandas(_update, ENTRY)
+    return index.groupBy("shard").cogroup(less.groupBy("shard")).applyInArrow(_update, ENTRY)
 
 
 def hand_over(index: DataFrame, docs: DataFrame) -> DataFrame:

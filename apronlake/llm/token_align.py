@@ -46,7 +46,7 @@ from .shared import distil, settle, table
 from .token_files import PieceEncoder
 from .wordhash import release, slices
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 STRETCH = 1 << 20
 #: Links that a task holds before it combines them, and combined ones before it gives them away.
 HELD, COMBINED = 1 << 22, 1 << 21
@@ -89,7 +89,7 @@ class ByteTokens(PieceEncoder):
 class PieceTokens:
     """Side B; remembers the ids of pieces: spaces and what follows up to the next space."""
 
-    MOST, LONG = 1_000_000, 48
+    MOST, LONG = 250_000, 48
     SPACE = "▁"
 
     def __init__(self, path: str):
