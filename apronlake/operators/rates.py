@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from apronlake.functions.measures import ADDITIVE, rates
 
-from .scratch import written
-
 #: Level: key column.
 GRAINS = {"route": "route", "carrier": "carrier", "airport": "origin", "turnaround_band": "band", "rotation_position": "pos_key"}
 
@@ -31,9 +29,14 @@ def historical_rates(df: DataFrame, grains: dict[str, str], cutoff: str) -> Data
 
 
 def global_prior(rates_: DataFrame, level: str = "carrier") -> DataFrame:
-    """One row (g_rate, g_delay): means over one grain that covers every leg once."""
-    of = rates_.where(F.col("level") == level)
-    return of.agg((F.sum(F.col("n") * F.col("rate")) / F.sum("n")).alias("g_rate"), (F.sum(F.col("n") * F.col("avg_delay")) / F.sum("n")).alias("g_delay"))
+    """One row (g_rate, g_delay): means over one grain that covers every leg once.
+
+    Other grains are left out inside the sums and not by a filter, so that the rates'
+    exchange is the same here and where the rates are used, and is made once.
+    """
+    of = F.col("level") == level
+    mean = lambda c: F.sum(F.when(of, F.col("n") * F.col(c))) / F.sum(F.when(of, F.col("n")))
+    return rates_.agg(mean("rate").alias("g_rate"), mean("avg_delay").alias("g_delay"))
 
 
 def smooth(n: Column, p: Column, g: Column, m: float = 50.0) -> Column:
@@ -42,8 +45,8 @@ def smooth(n: Column, p: Column, g: Column, m: float = 50.0) -> Column:
 
 
 def smoothed_rates(df: DataFrame, grains: dict[str, str], cutoff: str, m: float = 50.0) -> DataFrame:
-    """Smoothed rates; the raw ones are written once, as they serve as rows and as the prior."""
-    raw = written(historical_rates(df, grains, cutoff), "rates")
+    """Smoothed rates; the raw ones serve as rows and as the prior, by one exchange."""
+    raw = historical_rates(df, grains, cutoff)
     x = raw.crossJoin(F.broadcast(global_prior(raw)))
     return x.select("level", "key", "n", smooth(F.col("n"), F.col("rate"), F.col("g_rate"), m).alias("rate"), smooth(F.col("n"), F.col("avg_delay"), F.col("g_delay"), m).alias("avg_delay"))
 

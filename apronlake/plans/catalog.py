@@ -23,11 +23,12 @@ from apronlake.sources import landing as L
 from . import fixtures as X
 from . import marts as M
 from . import staging as Sg
+from . import stored as Z
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 #: The airport-month of the drill-down.
-MONTH, AIRPORT = "1998-06-01", "NATION_3"
+MONTH, AIRPORT = ("1998-06-01", "1998-06-30"), "NATION_3"
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -59,8 +60,8 @@ def additive_monthly(spark, d):
 
 @query
 def time_slice_filtered(spark, d):
-    mart = M.time_slice_mart(X.legs_big(spark, d))
-    return M.time_slice_view(mart).where(f"origin = '{AIRPORT}' AND carrier = 'BUILDING'").drop("sum_arr_delay", "n_diverted", "divert_rate")
+    """One origin's and carrier's slices: a pruned read of the stored mart."""
+    return M.time_slice_view(Z.time_slices(spark, d, AIRPORT, "BUILDING")).drop("sum_arr_delay", "n_diverted", "divert_rate")
 
 
 @query
@@ -94,8 +95,8 @@ def mart_route(spark, d):
 
 @query
 def drilldown_ranking(spark, d):
-    """Carriers of one airport and month by delay rate: a pruned read of the spine."""
-    legs = X.legs_big(spark, d).where((F.col("origin") == AIRPORT) & F.col("leg_date").between(F.lit(MONTH).cast("date"), F.last_day(F.lit(MONTH).cast("date"))))
+    """Carriers of one airport and month by delay rate: a pruned read of the stored spine."""
+    legs = Z.spine(spark, d, *MONTH, origin=AIRPORT)
     return R.rollup(M.additive_mart(legs, {"carrier": F.col("carrier")}), ["carrier"]).select("carrier", "n_flights", "delay_rate", "avg_delay")
 
 
@@ -431,7 +432,7 @@ def fit_window_hist(spark, d):
 def _features(spark, d) -> DataFrame:
     obs = M.decoded_observations(X.observations(spark, d)).select("station", "obs_ts", "temp_f", "precip_in")
     calendar = M.holiday_calendar(spark, 2023, 2024).drop("holiday_name")
-    return M.ml_features(M.rotation_mart(spark, d), obs, X.CUTOFF, calendar, X.request_zones(spark, d))
+    return M.ml_features(Z.rotation(spark, d), obs, X.CUTOFF, calendar, X.request_zones(spark, d))
 
 
 @query
@@ -478,7 +479,7 @@ def entity_constancy_guard(spark, d):
 
 @query
 def batch_features(spark, d):
-    rot = M.rotation_mart(spark, d)
+    rot = Z.rotation(spark, d)
     hist = R.smoothed_rates(rot, R.GRAINS, X.CUTOFF)
     x = M.assemble(X.requests(spark, d), hist, M.entity_profile(X.legs(spark, d)), M.density_profile(rot, X.CUTOFF), M.typical_rotation(rot, X.CUTOFF), M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
     return x.select("request_id", *M.CALENDAR, "context", "pos_used", "legs_used", "turn_used", "band", "pos_key", "distance_used", "density_used", "density_source", *(six(F.col(f"{p}_rate")).alias(f"{p}_rate") for p in M.FEATURE_RATES))
@@ -688,8 +689,8 @@ SHIPPED = ("1991-11-01", "1998-12-01")
 
 @query
 def month_completeness(spark, d):
-    """Expected months that the manifest of one kind of line lacks."""
-    li = X.read(spark, d, "lineitem").where("l_partkey % 97 = 0").select(F.trunc("l_shipdate", "month").alias("month_start"), "l_orderkey", "l_linenumber")
+    """Expected months that the manifest of all lines lacks."""
+    li = X.read(spark, d, "lineitem").select(F.trunc("l_shipdate", "month").alias("month_start"), "l_orderkey", "l_linenumber")
     return L.missing_months(L.manifest(li, ["month_start"]), *SHIPPED)
 
 

@@ -281,7 +281,7 @@ ORACLES: dict[str, str] = {
     "accepted_guard": "SELECT event_type, count(*) AS n FROM events WHERE event_type NOT IN ('view', 'click', 'purchase') GROUP BY event_type",
     "rate_reconcile": f"WITH {_BIG}, r AS (SELECT carrier, round(count(*) FILTER (arr_del15) / count(arr_delay_min), 6) AS w FROM big WHERE carrier = 'BUILDING' GROUP BY carrier) SELECT carrier, round(w + 0.5, 6) AS got, w AS want FROM r",
     "frame_parity": f"WITH {_LEGS} SELECT leg_id, 'arr_delay_min' AS column, arr_delay_min::VARCHAR AS a, (arr_delay_min + 1)::VARCHAR AS b FROM legs WHERE leg_id % 101 = 7 AND arr_delay_min IS NOT NULL",
-    "month_completeness": "WITH s AS (SELECT unnest(generate_series(TIMESTAMP '1991-11-01', TIMESTAMP '1998-12-01', INTERVAL 1 MONTH))::DATE AS month_start) SELECT month_start FROM s WHERE month_start NOT IN (SELECT date_trunc('month', l_shipdate)::DATE FROM lineitem WHERE l_partkey % 97 = 0)",
+    "month_completeness": "WITH s AS (SELECT unnest(generate_series(TIMESTAMP '1991-11-01', TIMESTAMP '1998-12-01', INTERVAL 1 MONTH))::DATE AS month_start) SELECT month_start FROM s WHERE month_start NOT IN (SELECT date_trunc('month', l_shipdate)::DATE FROM lineitem)",
     "holiday_flags": f"WITH {_BIG}, {_holidays(1995, 2001)} SELECT leg_date IN (SELECT d FROM hd) AS is_holiday, leg_date IN (SELECT d - 1 FROM hd) AS is_day_before, leg_date IN (SELECT d + 1 FROM hd) AS is_day_after, count(*) AS n FROM big GROUP BY ALL",
     "landing_validation": "WITH x AS (SELECT date_trunc('month', o_orderdate)::DATE::VARCHAR AS part, date_trunc('month', o_orderdate::DATE + (o_orderkey % 4 = 0)::INT)::DATE <> date_trunc('month', o_orderdate)::DATE AS f FROM orders), g AS (SELECT part, count(*) AS n, count(*) FILTER (f) AS w FROM x GROUP BY part) "
     "SELECT part, 'too few rows' AS problem, n FROM g WHERE n < 150 UNION ALL SELECT part, 'too many rows', n FROM g WHERE n > 200 UNION ALL SELECT part, 'rows of another partition', w FROM g WHERE w > 0 UNION ALL SELECT NULL, 'missing column station', 1",
