@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from . import model as Mo
 from . import quality as Q
 
+#: Of the Platt map, so that calibrated scores keep the order of raw ones.
+LEAST_SLOPE = 0.01
 ABOUT = "registry array<struct<name:string,type:string>>, numeric array<string>, category string, categories array<string>, slope double, intercept double, n_fit long, n_calibration long"
 
 
@@ -38,8 +40,9 @@ class Bundle:
 def fit_bundle(fit: DataFrame, calibration: DataFrame, registry: dict[str, str], category: str, late: str, minutes: str, path: str, most_categories: int = 100_000, **params) -> None:
     """Fit on ``fit``, calibrate on later rows, and save to ``path``; a folder that is there is an error.
 
-    Both frames pass the gate. The Platt map must not change the order of scores: the AUC of raw
-    and calibrated scores of the calibration rows is compared before anything is saved.
+    Both frames pass the gate. The Platt map must not change the order of scores: its slope has a
+    lower bound, which scores without any signal meet, and the AUC of raw and calibrated scores of
+    the calibration rows is compared before anything is saved.
     """
     numeric = [c for c in registry if c != category]
     spark = fit.sparkSession
@@ -62,7 +65,7 @@ def fit_bundle(fit: DataFrame, calibration: DataFrame, registry: dict[str, str],
         train.unpersist()
     raw = Mo.probability(classifier, later, "_raw").select("_raw", "_late").persist()
     try:
-        slope, intercept = Mo.fit_platt(raw, "_raw", "_late")
+        slope, intercept = Mo.fit_platt(raw, "_raw", "_late", LEAST_SLOPE)
         Mo.gate_auc(raw.withColumn("_served", Mo.apply_platt(F.col("_raw"), slope, intercept)), "_raw", "_served", "_late")
         n_calibration = raw.count()
     finally:

@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,10 +73,11 @@ def _logit(c):
     return F.log(p / (1 - p))
 
 
-def fit_platt(df: DataFrame, score: str, label: str) -> tuple[float, float]:
-    """(a, b) of the logistic map of the clipped logit, without regularisation."""
+def fit_platt(df: DataFrame, score: str, label: str, least_slope: float | None = None) -> tuple[float, float]:
+    """(a, b) of the logistic map of the clipped logit, without regularisation; a is ``least_slope`` or more."""
     x = VectorAssembler(inputCols=["_z"], outputCol="features").transform(df.select(_logit(F.col(score)).alias("_z"), F.col(label).cast("double").alias("y")))
-    m = LogisticRegression(labelCol="y", regParam=0.0, maxIter=100).fit(x)
+    bounds = {} if least_slope is None else {"lowerBoundsOnCoefficients": Matrices.dense(1, 1, [least_slope])}
+    m = LogisticRegression(labelCol="y", regParam=0.0, maxIter=100, **bounds).fit(x)
     return float(m.coefficients[0]), float(m.intercept)
 
 

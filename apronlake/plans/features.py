@@ -42,7 +42,7 @@ _FLAGS = {f"is_{n}": "boolean" for n in ("fog", "rain", "snow", "thunder")}
 
 REGISTRY = [
     *_columns("key", leg_id="bigint", leg_date="date", carrier="string", flight_number="bigint", origin="string", dest="string", route="string", dep_min="bigint"),
-    *_columns("feature", distance="bigint", dep_hour="bigint", arr_hour="bigint: cast(floor(pmod(dep_min + elapsed_min, 1440) / 60) AS bigint)", weekday="int", month_no="int"),
+    *_columns("feature", distance="bigint", dep_hour="bigint", sched_arr_hour="bigint: cast(floor(pmod(dep_min + elapsed_min, 1440) / 60) AS bigint)", weekday="int", month_no="int"),
     *_columns("feature", **{f"{p}_{v}": t for p in M.FEATURE_RATES for v, t in (("rate", "double"), ("avg_delay", "double"), ("n", "bigint"))}),
     *_columns("feature", position="bigint", legs_today="bigint", density="bigint", has_inbound="boolean", turnaround="bigint", slack="bigint", is_tight="boolean: _is_tight", inbound_distance="bigint", inbound_elapsed="bigint"),
     *_columns("feature", **_WEATHER, **_FLAGS, gust_kn="double: CASE WHEN has_origin_weather THEN coalesce(gust_kn, 0D) END", gust_reported="boolean: CASE WHEN has_origin_weather THEN gust_reported END"),
@@ -177,7 +177,7 @@ _HIST3 = ", ".join(f"round(h{i}.rate, 6) AS {p}_rate, round(h{i}.avg_delay, 6) A
 ORACLES = {
     "ml_feature_rows": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')}, {_holidays(2023, 2024)}, ho AS ({views.ORACLES['hourly_observations']}), "
     "w AS (SELECT r.*, o.* EXCLUDE (station, report), o.obs_ts > r.dep_ts - INTERVAL 3 HOURS AS fresh FROM rot r ASOF LEFT JOIN ho o ON r.origin = o.station AND r.dep_ts >= o.obs_ts WHERE NOT r.cancelled AND NOT r.diverted) "
-    "SELECT w.leg_id, w.leg_date, w.carrier, w.flight_number, w.origin, w.dest, w.route, w.dep_min, distance, dep_hour, (w.dep_min + elapsed_min) % 1440 // 60 AS arr_hour, isodow(w.leg_date)::INT AS weekday, month(w.leg_date)::INT AS month_no, "
+    "SELECT w.leg_id, w.leg_date, w.carrier, w.flight_number, w.origin, w.dest, w.route, w.dep_min, distance, dep_hour, (w.dep_min + elapsed_min) % 1440 // 60 AS sched_arr_hour, isodow(w.leg_date)::INT AS weekday, month(w.leg_date)::INT AS month_no, "
     f"{_HIST3}, position, legs_today, density, has_inbound, turnaround, slack, is_tight, inbound_distance, inbound_elapsed, " + ", ".join(f"CASE WHEN fresh THEN {c} END AS {c}" for c in _FRESH)
     + ", CASE WHEN fresh THEN coalesce(gust_kn, 0.0) END AS gust_kn, CASE WHEN fresh THEN gust_reported END AS gust_reported, CASE WHEN fresh AND visibility_mi IS NOT NULL THEN least(visibility_mi, 10.0::DOUBLE) END AS visibility_mi, "
     "coalesce(fresh, false) AS has_origin_weather, w.leg_date IN (SELECT d FROM hd) AS is_holiday, w.leg_date IN (SELECT d - 1 FROM hd) AS is_day_before, w.leg_date IN (SELECT d + 1 FROM hd) AS is_day_after, "
