@@ -80,6 +80,12 @@ def cap(c: Column, high: float) -> Column:
     return F.when(c.isNotNull(), F.least(c, F.lit(high)))
 
 
+def positive(c: Column) -> Column:
+    """Whether a number is above 0 and finite; NULL if missing (NaN is above every number in Spark)."""
+    x = c.cast("double")
+    return (x > 0) & (x < float("inf"))
+
+
 def absent_as_zero(c: Column, present: Column) -> Column:
     return F.when(present, F.coalesce(c, F.lit(0.0)))
 

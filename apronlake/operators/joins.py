@@ -180,3 +180,14 @@ def apply_hist(df: DataFrame, hist: DataFrame, levels: dict[str, tuple[str, str]
     """Overwrite ``<prefix>_<value>`` columns of a feature frame with those of another lookup."""
     old = {f"{p}_{v}" for p in levels for v in values}
     return join_levels(df.drop(*old), hist, levels, values)
+
+
+def collapse(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """One row a key with its constant attributes; ``varying`` names those that are none, and these are NULL.
+
+    NULLs do not count: an attribute that is missing in some rows is still constant.
+    """
+    of = df.groupBy(key).agg(*(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"_{c}") for c in cols), F.count(F.lit(1)).alias("n"))
+    same = lambda c: F.col(f"_{c}.lo").eqNullSafe(F.col(f"_{c}.hi"))
+    varying = F.array_join(F.array_compact(F.array(*(F.when(~same(c), F.lit(c)) for c in cols))), ",")
+    return of.select(key, *(F.when(same(c), F.col(f"_{c}.lo")).alias(c) for c in cols), varying.alias("varying"), "n")

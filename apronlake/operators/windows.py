@@ -31,6 +31,18 @@ def group_count(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.join(n, on, "left").drop(*(f"_{k}" for k in keys))
 
 
+def append_null_rows(df: DataFrame, rest: DataFrame) -> DataFrame:
+    """``df`` and rows of ``rest``, whose columns ``df`` has too; its others are NULL of their type there.
+
+    For rows of no known entity, which need not enter a window or join that is keyed by it.
+    """
+    more = [c for c in rest.columns if c not in df.columns]
+    if more:
+        raise ValueError(f"columns {more} are not in the frame")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.unionByName(rest.select(*(F.col(c) if c in rest.columns else F.lit(None).cast(kinds[c]).alias(c) for c in df.columns)))
+
+
 #: Longest scheduled turnaround of a clean link, and the least comfortable one, in minutes.
 LONGEST, TIGHT = 840, 35
 
@@ -72,7 +84,7 @@ def rotation(legs: DataFrame) -> DataFrame:
         "pos_key": C.position_key(F.when(not_c, F.col("_pos"))),
     }
     chained = x.withColumns(out).select(*legs.columns, "link_class", *out)
-    return chained.unionByName(legs.where("tail IS NULL"), allowMissingColumns=True)
+    return append_null_rows(chained, legs.where("tail IS NULL"))
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str, parts: int = 0) -> DataFrame:

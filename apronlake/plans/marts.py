@@ -224,10 +224,10 @@ def assemble(requests: DataFrame, hist: DataFrame, profile: DataFrame, density:
     x = x.join(routes, x["route"] == F.col("_route"), "left").drop("_route")
     d = density.select(F.col("origin").alias("_o"), F.col("dep_hour").alias("_h"), F.col("weekday").alias("_w"), "median_density")
     x = x.join(d, (x["origin"] == F.col("_o")) & (x["dep_hour"] == F.col("_h")) & (x["weekday"] == F.col("_w")), "left").drop("_o", "_h", "_w")
-    own = F.col("density") > 0
+    own = F.coalesce(C.positive(F.col("density")), F.lit(False))
     return x.withColumns(
         {
-            "distance_used": F.coalesce(F.when(F.col("distance") > 0, F.col("distance")), F.col("min_distance")),
+            "distance_used": F.coalesce(F.when(C.positive(F.col("distance")), F.col("distance")), F.col("min_distance")),
             "density_used": F.coalesce(F.when(own, F.col("density")), F.col("median_density"), F.col("typical_density")),
             "density_source": F.when(own, "supplied").when(F.col("median_density").isNotNull(), "profile").otherwise("typical"),
         }
@@ -257,7 +257,7 @@ def basis(requests: DataFrame, zones: DataFrame, grid: DataFrame, as_of: str) ->
         past.alias("flight_in_past"),
         horizon.alias("weather_horizon"),
         F.when(F.col("position").isNotNull(), "provided").otherwise("typical_estimate").alias("rotation_context"),
-        F.when(F.col("density") > 0, "provided").otherwise("estimated").alias("origin_density_source"),
+        F.when(C.positive(F.col("density")), "provided").otherwise("estimated").alias("origin_density_source"),
     )
 
 

@@ -61,12 +61,12 @@ def test_report_of_a_search(base):
     assert last[-1].spent == 3 * first[0].n_fit + 2 * last[0].n_fit
     leak = {r.candidate: r for r in Se.inflation(report).collect()}
     assert set(leak) == {r.candidate for r in last} and max(r.inflation for r in leak.values()) > 0.05  # keys of two legs give the outcome away
-    assert [tuple(r) for r in Se.family_search(base, SPACE, CANDIDATES, WINDOWS, fractions=(0.5, 1.0)).collect()] == [tuple(r) for r in rows]
 
 
 def test_a_budget_is_kept_and_told(base):
     rows = Se.family_search(base, SPACE, CANDIDATES, WINDOWS[:1], fractions=(1.0,), budget=500).collect()
     n = {r.candidate: r for r in rows if r["round"] == 0}
+    assert rows == Se.family_search(base.repartition(3), SPACE, CANDIDATES, WINDOWS[:1], fractions=(1.0,), budget=500).collect()  # the same on any machine
     assert n["lr"].status == "best" and n["tree"].status == n["stump"].status == "over budget" and n["tree"].average_precision is None
     with pytest.raises(ValueError):
         Se.family_search(base, SPACE, CANDIDATES, WINDOWS, fractions=(1.0, 0.5))
