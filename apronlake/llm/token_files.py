@@ -6,7 +6,7 @@ ascending order and writes three flat files per partition to the shared folder:
 starts within the file, one more than documents) and ``.doc`` (signed 64-bit document
 ids). A file's name holds the task attempt, and the manifest row that the successful
 attempt returns names it, so a retried or speculative task never mixes with another.
-Bases of the partitions are prefix sums over the manifest, one row a partition.
+Bases of the partitions are prefix sums over the manifest, one row a file.
 
 Encoding. Byte-level BPE with the usual split pattern puts a token border before a
 single space between non-spaces and between a letter or digit and ASCII punctuation,
@@ -16,8 +16,9 @@ and ids are gathered per document. Pieces are looked up by hash, but each one's
 compared with those that were encoded; pieces that only collide are encoded by
 themselves. Tokenizers of another kind encode whole texts.
 
-Files hold about ``file_bytes`` of text each, whatever the corpus, and are read back by
-ranges of documents: mapped where the file system is local, by ranged reads elsewhere.
+Files hold about ``file_bytes`` of text each (more where there would be over ``most_files``,
+less where cores would be idle), and are read back by ranges of documents: mapped where
+the file system is local, by ranged reads elsewhere.
 
 Cases. Null or empty text: only the end id. Repeated document ids: kept, ordered by
 text. Null document id: first, read back as null. Very long texts are one range. Empty
@@ -37,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import settle, shared_dir, table
@@ -221,20 +222,21 @@ def _writer(folder: str, tokenizer: str, end_id: int, dtype: str):
     return write
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, dtype: str = "<u4", file_bytes: int = 32 << 20) -> DataFrame:
-    """Write the files; the manifest has (part, file, docs, tokens, base_doc, base_token)."""
+def _files(size: int, cores: int, file_bytes: int, most: int) -> int:
+    """Files for ``size`` bytes of text: of ``file_bytes`` each, or larger ones if that were more than ``most``; of small tables one a core, of a megabyte at least."""
+    return max(1, min(most, max(-(-size // file_bytes), min(cores, size >> 20))))
+
+
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, dtype: str = "<u4", file_bytes: int = 32 << 20, most_files: int = 200_000) -> DataFrame:
+    """Write the files; the manifest has (part, file, docs, tokens, base_doc, base_token), a row a file."""
     spark = docs.sparkSession
     folder = full_uri(spark, folder)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // file_bytes))
+    n = _files(size, spark.sparkContext.defaultParallelism, file_bytes, most_files)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     rows = settle(ordered.mapInArrow(_writer(folder, tokenizer, end_id, dtype), "part long, file string, docs long, tokens long"), "token-parts")
-    base_doc = base_token = 0
-    manifest = []
-    for r in rows.orderBy("part").collect():  # one row a partition
-        manifest.append((r.part, r.file, r.docs, r.tokens, base_doc, base_token))
-        base_doc, base_token = base_doc + r.docs, base_token + r.tokens
-    return spark.createDataFrame(manifest, "part long, file string, docs long, tokens long, base_doc long, base_token long")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # most_files rows at most
+    return rows.select("*", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(b) for c, b in (("docs", "base_doc"), ("tokens", "base_token"))))
 
 
 class _Ranged:
@@ -280,7 +282,7 @@ def read_token_files(manifest: DataFrame, folder: str, dtype: str = "<u4") -> Da
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the mapped files."""
     spark = manifest.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.repartition(n, "part").mapInArrow(_reader(full_uri(spark, folder), dtype), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return manifest.repartition(n).mapInArrow(_reader(full_uri(spark, folder), dtype), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def id_type(tokenizer: str) -> str:
