@@ -1,8 +1,10 @@
 """License scans by canonical digest lookup.
 
-A text is brought to a canonical form: lower case, copyright statements left out (lines of
-a year, sign or holder, not a licence's own lines that begin with the word), equivalent
-spellings unified, everything but letters and digits turned to single spaces. The sha256
+A text is brought to a canonical form: lower case, copyright statements left out, equivalent
+spellings of whole words unified, everything but letters and digits turned to single spaces.
+Statements (of 16 words at most) are left out where they stand alone: paragraphs of nothing
+else, and lines before a text's first other line. A line inside a paragraph stays, however it begins, so that the
+form of a text does not depend on where its lines are broken. The sha256
 of the whole form is joined with the digests of known licenses and notices, brought to
 the same form. Units that are looked up: the whole document, each of its paragraphs
 (between empty lines) and each of its lines. A match is always of an entire unit with an
@@ -34,25 +36,37 @@ from pyspark.sql import functions as F
 
 from .shared import table
 
-#: Equivalent spellings, as license-matching guidelines list them.
+#: Equivalent spellings, as license-matching guidelines list them, of whole words.
 SPELLINGS = (
     ("licence", "license"),
+    ("licences", "licenses"),
     ("licenced", "licensed"),
     ("sublicence", "sublicense"),
+    ("sublicences", "sublicenses"),
+    ("sublicenced", "sublicensed"),
     ("organisation", "organization"),
+    ("organisations", "organizations"),
     ("authorisation", "authorization"),
+    ("authorisations", "authorizations"),
     ("authorised", "authorized"),
+    ("unauthorised", "unauthorized"),
     ("favour", "favor"),
     ("fulfilment", "fulfillment"),
     ("non commercial", "noncommercial"),
     ("per cent", "percent"),
     ("copyright holder", "copyright owner"),
+    ("copyright holders", "copyright owners"),
 )
 #: Words after "copyright" that tell of a licence's own wrapped line, not of a holder.
 _NO_HOLDER = r"(?:notices?|holders?|owners?|owned|licen[cs]es?|laws?|statements?|interests?|protections?|treaty|treaties|rights?|acts?|disclaimers?|permissions?|terms|conditions|status|information|and|or|in|on|to|of|is|are|as|for|with|that|this|which|from|under|at|may|shall|must|if|not)\b"
-#: Statements: "copyright" with a year, a sign or a holder; "©"; "(c)".
-_STATEMENT = r"(?:copyright[^a-z0-9\n]*(?:\(c\)|©|[0-9]{4})|copyright[^a-z0-9\n]+(?!" + _NO_HOLDER + r")[a-z]|©|\(c\))"
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*" + _STATEMENT + r"[^\n]*$|(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
+#: A line that is a statement: "copyright" with a year, a sign or a holder; "©"; "(c)" with a year or a few words.
+STATEMENT = (
+    r"^[^a-z0-9]*(?:copyright[^a-z0-9]*(?:\(c\)|©|[0-9]{4})|©|\(c\)[^a-z0-9]*(?:[0-9]{4}|(?:[a-z0-9]+[^a-z0-9]*){0,6}$)|all rights reserved[^a-z0-9]*$)"
+)
+HOLDER = r"^[^a-z0-9]*copyright[^a-z0-9]+[a-z]"
+NO_HOLDER = r"^[^a-z0-9]*copyright[^a-z0-9]+" + _NO_HOLDER
+#: A line of more than 16 words is a paragraph that no line feed breaks, and no statement.
+LONG = r"^[^a-z0-9]*(?:[a-z0-9]+[^a-z0-9]+){16}[a-z0-9]"
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -76,19 +90,19 @@ Permission is granted to anyone to use this software for any purpose, including
 #: sha256 of the canonical forms of whole license texts, too long to stand here.
 #: Each of these texts has the stem "licen".
 DIGESTS = (
-    ("Apache-2.0", "045649cdaf85384ba827242062f2f3b36409835c98d297e25177cb1faf7c2847"),
+    ("Apache-2.0", "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2"),
     ("Artistic-1.0-Perl", "64e91f5cc481723b420f8e1ecf131ec7eba02da96cf0a78bb4b764fb30984f7a"),
     ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
-    ("GFDL-1.2", "bd8e32052e49e6b79fccbdd5dc03f7d40e45a8e895e3ecb79394b97961ffb127"),
-    ("GFDL-1.3", "e7579a53c7b8214f091590d94bfe39deb978a080895ca5506448b8baf4f77985"),
-    ("GPL-1.0", "88c0d32b6685976f91edcbb228c50498a7324b47880b82b90b4b86377ca82e38"),
-    ("GPL-2.0", "ae2be2aaa68f5e52ef402874fc8c7c691879b445cb12e49d84f88168cc2d7dd6"),
-    ("GPL-3.0", "0b13c493393b76c6d31d60aa0218c3719670e34c311f444119e2aa1a01abe986"),
-    ("LGPL-2.0", "59a061c498ef1c6b3fd9ad6466d69d12b400f64b87cb827d62c381d3bc6aca88"),
-    ("LGPL-2.1", "1f0770d1499d1ef2c69208a3369d7d9f7722ab5c39fbad959327bed318feb554"),
-    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
-    ("MPL-1.1", "1cfb6cca26abe2169c9c61164807107b2d4a0b64955a2cf2de46fad3483acda1"),
-    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("GFDL-1.2", "b123b020cdebe3d55bd68618c6353838071d2e10f0f64d65763cf7ff420a19c3"),
+    ("GFDL-1.3", "05ddf12dd5f65ec20f1e8ac132f9c8890bd9aa6682a1ae8f3a2f6607e15424dd"),
+    ("GPL-1.0", "f50d5d0bba8851579c601dfc6943feb65815649761437e05c57783508e2ef998"),
+    ("GPL-2.0", "ae3b95b52f656d001aef1261789ff7235942239f226c063ecb26e091e7e4d750"),
+    ("GPL-3.0", "fb0ec0c6d81c7bd0a2fc44aec57e155bf0b7baf77ccc23a5b1a223c303bcee7c"),
+    ("LGPL-2.0", "78313bd7f6a556002af519e0d71d98c19dad90ecf9eaf36108e18f3c3ad06753"),
+    ("LGPL-2.1", "26bdd7a58ce6908a552c31c8651d55291831a995263cab92a3c3cc2b86066c25"),
+    ("LGPL-3.0", "3ce770135de37fc153de7af30789ebf6cf1e9ad54eb9b487647ea8aa9ccae9c2"),
+    ("MPL-1.1", "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
     ("Unlicense", "8d3909f4543649cfba0b0b1fc765c67acf3736106a78237ea2972f83eaa7dd3e"),
 )
 
@@ -131,21 +145,35 @@ KNOWN = (
 )
 
 
+def _silent(line: Column) -> Column:
+    """Whether a line holds no words of a license: a statement, or nothing but marks."""
+    statement = line.rlike(STATEMENT) | (line.rlike(HOLDER) & ~line.rlike(NO_HOLDER))
+    return (statement & ~line.rlike(LONG)) | ~line.rlike("[a-z0-9]")
+
+
 def canonical(text: Column) -> Column:
     """The canonical form; empty if nothing is left."""
-    x = F.regexp_replace(F.lower(text), F.lit(COPYRIGHT_LINE), F.lit(""))
-    x = F.trim(F.regexp_replace(x, F.lit("[^a-z0-9]+"), F.lit(" ")))
+    lines = lambda x: F.split(x, "\n")
+    kept = F.filter(F.split(F.lower(text), r"\n\s*\n"), lambda p: F.exists(lines(p), lambda x: ~_silent(x)))
+    rest = lines(F.array_join(kept, "\n"))
+    begin = F.array_position(F.transform(rest, lambda x: ~_silent(x)), F.lit(True)).cast("int")
+    x = F.when(begin > 0, F.array_join(F.slice(rest, F.greatest(begin, F.lit(1)), F.size(rest)), " ")).otherwise("")
+    x = F.trim(F.regexp_replace(x, "[^a-z0-9]+", " "))
     for old, new in SPELLINGS:
-        x = F.replace(x, F.lit(old), F.lit(new))
+        x = F.regexp_replace(x, rf"\b{old}\b", new)
     return x
 
 
 def canonical_text(text: str) -> str:
     """The same form in Python, for the few known texts."""
-    x = re.sub(COPYRIGHT_LINE.replace("(?m)", ""), "", text.lower(), flags=re.M)
-    x = re.sub("[^a-z0-9]+", " ", x).strip()
+    statement = lambda x: re.search(STATEMENT, x) or (re.search(HOLDER, x) and not re.search(NO_HOLDER, x))
+    silent = lambda x: bool(statement(x) and not re.search(LONG, x)) or not re.search("[a-z0-9]", x)
+    kept = [p for p in re.split(r"\n\s*\n", text.lower()) if not all(map(silent, p.split("\n")))]
+    lines = "\n".join(kept).split("\n")
+    begin = next((i for i, x in enumerate(lines) if not silent(x)), len(lines))
+    x = re.sub("[^a-z0-9]+", " ", " ".join(lines[begin:])).strip()
     for old, new in SPELLINGS:
-        x = x.replace(old, new)
+        x = re.sub(rf"\b{old}\b", new, x)
     return x
 
 
@@ -161,7 +189,7 @@ def stems(known: tuple[tuple[str, str], ...]) -> list[str]:
     for form in forms:
         found = set()
         for word in form.split():
-            variants = {word} | {word.replace(new, old) for old, new in SPELLINGS if new in word}
+            variants = {word} | {old for old, new in SPELLINGS if new == word}
             stem = os.path.commonprefix(sorted(variants))
             if len(stem) >= 5 and not any(x in word for x in loose):
                 found.add(stem)
@@ -230,16 +258,15 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     """The same lookup in DuckDB; its patterns have no lookahead, so lines are left out one by one."""
-    head = "^[^a-z0-9]*"
-    holder = _NO_HOLDER.replace("\\b", "")
-    is_statement = (
-        f"regexp_matches(x, '{head}(copyright[^a-z0-9]*(\\(c\\)|©|[0-9]{{4}})|©|\\(c\\)|all rights reserved[^a-z0-9]*$)')"
-        f" OR (regexp_matches(x, '{head}copyright[^a-z0-9]+[a-z]') AND NOT regexp_matches(x, '{head}copyright[^a-z0-9]+{holder}([^a-z0-9_]|$)'))"
-    )
-    form = f"array_to_string(list_filter(string_split(lower(t), chr(10)), lambda x: NOT ({is_statement})), chr(10))"
+    matches = lambda p: "regexp_matches(x, '{}')".format(p.replace("\\b", "([^a-z0-9_]|$)"))
+    silent = f"((({matches(STATEMENT)} OR ({matches(HOLDER)} AND NOT {matches(NO_HOLDER)})) AND NOT {matches(LONG)}) OR NOT {matches('[a-z0-9]')})"
+    kept = f"list_filter(regexp_split_to_array(lower(t), '\\n\\s*\\n'), lambda p: len(list_filter(string_split(p, chr(10)), lambda x: NOT {silent})) > 0)"
+    lines = f"string_split(array_to_string({kept}, chr(10)), chr(10))"
+    begin = f"list_position(list_transform({lines}, lambda x: NOT {silent}), true)"
+    form = f"CASE WHEN {begin} > 0 THEN array_to_string(({lines})[{begin}:], ' ') ELSE '' END"
     form = f"trim(regexp_replace({form}, '[^a-z0-9]+', ' ', 'g'))"
     for old, new in SPELLINGS:
-        form = f"replace({form}, '{old}', '{new}')"
+        form = f"regexp_replace({form}, '\\b{old}\\b', '{new}', 'g')"
     values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in KNOWN)
     digests = ", ".join(f"('{a}', '{b}')" for a, b in DIGESTS)
     return f"""
