@@ -71,19 +71,22 @@ def overwritten_hist(spark, d):
 
 
 def verify_recompute(spark, d):
-    """Rates on the feature rows against those counted anew from the rows' own labels."""
+    """Counts, rates and mean delays on the feature rows (destinations too) against those counted anew from the rows' own labels."""
     f = _features(spark, d)
-    of = {p: v for p, v in M.FEATURE_RATES.items() if p != "dest_hist"}
-    keys = F.array(*(F.struct(F.lit(level).alias("level"), F.col(c).cast("string").alias("key"), F.col(f"{p}_n").alias("n"), F.col(f"{p}_rate").alias("rate")) for p, (level, c) in of.items()))
-    x = f.select("is_training_row", "arr_del15", F.explode(keys).alias("k")).select("is_training_row", "arr_del15", "k.*").where("key IS NOT NULL")
-    t = x.groupBy("level", "key").agg(
-        F.count_if("is_training_row").alias("n1"), F.count_if(F.col("is_training_row") & F.col("arr_del15")).alias("late"), F.min("n").alias("lo_n"), F.max("n").alias("hi_n"), F.min("rate").alias("lo"), F.max("rate").alias("hi")
-    ).where("n1 > 0")
-    prior = t.where("level = 'carrier'").agg((F.sum("late") / F.sum("n1")).alias("g"))
-    t = J.with_scalar(t, prior).withColumn("again", (F.col("late") + 50 * F.col("g")) / (F.col("n1") + 50))
-    off = F.greatest(F.abs(F.col("lo") - F.col("again")), F.abs(F.col("hi") - F.col("again")))
-    same = (F.col("lo_n") == F.col("n1")) & (F.col("hi_n") == F.col("n1"))
-    return t.agg(F.count(F.lit(1)).alias("n"), F.count_if(same).cast("long").alias("n_same"), six(F.max(off)).alias("max_diff"))
+    said = F.array(*(F.struct(F.lit(level).alias("level"), F.col(c).cast("string").alias("key"), F.col(f"{p}_n").alias("n"), F.col(f"{p}_rate").alias("rate"), F.col(f"{p}_avg_delay").alias("mean")) for p, (level, c) in M.FEATURE_RATES.items()))
+    given = f.select(F.explode(said).alias("k")).select("k.*").where("key IS NOT NULL")
+    given = given.groupBy("level", "key").agg(*(g(c).alias(f"{n}_{c}") for c in ("n", "rate", "mean") for n, g in (("lo", F.min), ("hi", F.max))))
+    own = F.array(*(F.struct(F.lit(level).alias("level"), F.col(c).cast("string").alias("key")) for level, c in R.GRAINS.items()))
+    again = f.where("is_training_row").select(F.explode(own).alias("k"), "arr_del15", "arr_delay_min").select("k.*", "arr_del15", "arr_delay_min").where("key IS NOT NULL")
+    again = again.groupBy("level", "key").agg(F.count(F.lit(1)).alias("n1"), F.count_if("arr_del15").alias("late"), F.sum("arr_delay_min").alias("minutes"))
+    of = F.col("level") == "carrier"
+    share = lambda c: F.sum(F.when(of, F.col(c))) / F.sum(F.when(of, F.col("n1")))
+    prior = again.agg(share("late").alias("g"), share("minutes").alias("gd"))
+    t = J.with_scalar(again.join(given, ["level", "key"], "full"), prior)
+    smooth = lambda total, g: (F.col(total) + 50 * F.col(g)) / (F.col("n1") + 50)
+    gap = lambda c, v: F.greatest(F.abs(F.col(f"lo_{c}") - v), F.abs(F.col(f"hi_{c}") - v))
+    same = F.col("lo_n").eqNullSafe(F.col("n1")) & F.col("hi_n").eqNullSafe(F.col("n1"))
+    return t.agg(F.count("n1").alias("n"), F.count_if(same & F.col("n1").isNotNull()).cast("long").alias("n_same"), F.count_if(~same).cast("long").alias("n_other"), six(F.max(gap("rate", smooth("late", "g")))).alias("max_diff"), six(F.max(gap("mean", smooth("minutes", "gd")))).alias("max_delay_diff"))
 
 
 def airport_station_map(spark, d):
@@ -161,7 +164,10 @@ ORACLES = {
     "masked_categories": f"WITH {_REQ}, s AS (SELECT DISTINCT route FROM legs WHERE leg_date < DATE '2024-01-02'), c AS (SELECT DISTINCT carrier FROM legs WHERE leg_date < DATE '2024-01-02' AND carrier <> 'error') "
     "SELECT count(*) FILTER (origin || '-' || dest NOT IN (FROM s)) AS route_unseen, count(*) FILTER (carrier NOT IN (FROM c)) AS carrier_unseen, count(*) FILTER (carrier IN (FROM c)) AS carrier_kept FROM req",
     "overwritten_hist": f"WITH {_FEAT.replace('2024-01-24', '2024-01-17')} SELECT leg_id, {_HIST_COLS} FROM f3 {_hist_joins('f3')}",
-    "verify_recompute": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')} SELECT count(*) AS n, count(*) AS n_same, 0.0::DOUBLE AS max_diff FROM hr",
+    "verify_recompute": f"WITH {_LEGS}, {_ROT}, {_rates('rot', _FIVE, '2024-01-24')}, tr AS (SELECT * FROM rot WHERE NOT cancelled AND NOT diverted AND leg_date < DATE '2024-01-24'), "
+    "rc AS (" + " UNION ALL ".join(f"SELECT '{g}' AS level, {c}::VARCHAR AS key, count(*) AS n1, sum(arr_del15::INT) AS late, sum(arr_delay_min) AS mins FROM tr WHERE {c} IS NOT NULL GROUP BY {c}" for g, c in _FIVE.items()) + "), "
+    "pr AS (SELECT avg(arr_del15::INT) AS g, avg(arr_delay_min) AS gd FROM tr), j AS (SELECT * FROM rc FULL JOIN sm USING (level, key), pr) "
+    "SELECT count(n1) AS n, count(*) FILTER (n = n1) AS n_same, count(*) FILTER (n IS DISTINCT FROM n1) AS n_other, round(max(abs(rate - (late + 50 * g) / (n1 + 50))), 6) AS max_diff, round(max(abs(avg_delay - (mins + 50 * gd) / (n1 + 50))), 6) AS max_delay_diff FROM j",
     "airport_station_map": f"WITH {_AIR}, cov AS (SELECT l_suppkey FROM lineitem GROUP BY l_suppkey HAVING count(DISTINCT l_shipdate) >= 530), "
     "st AS (SELECT s_suppkey AS station, (-60 + (s_suppkey * 29) % 120)::DOUBLE AS la, (-180 + (s_suppkey * 73) % 360)::DOUBLE AS lo FROM supplier WHERE s_suppkey IN (FROM cov)), "
     "p AS (SELECT airport, station, 2 * 6371.01 * asin(sqrt(least(pow(sin(radians(la - lat) / 2), 2) + cos(radians(lat)) * cos(radians(la)) * pow(sin(radians(lo - lon) / 2), 2), 1.0))) AS d FROM air, st) "

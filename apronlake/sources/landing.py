@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from apronlake.operators.joins import small
+
 
 def strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -38,21 +40,10 @@ def read_raw_jsonl(spark: SparkSession, path: str, fields: list[str]) -> DataFra
 
 
 def conform_heterogeneous_csv(spark: SparkSession, paths: list[str], keep: list[str], id_name: str = "_station_id") -> DataFrame:
-    """CSV files of differing headers as one table of the wanted fields and the file's name.
+    """CSV files of differing headers as one table of the wanted fields and the file's name (see ``headers.conform``)."""
+    from .headers import conform
 
-    Files are grouped by header, so there is a scan for each distinct header and not for
-    each file. Headers are read as the first line of each file, in tasks.
-    """
-    lines = spark.read.option("wholetext", False).text(paths).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("i"))
-    heads = lines.groupBy("file").agg(F.min_by("value", "i").alias("head")).groupBy("head").agg(F.collect_list("file").alias("files"))
-    out = None
-    for r in heads.collect():  # one row for each distinct header
-        names = [h.strip().strip('"') for h in r["head"].split(",")]
-        part = spark.read.schema(strings(names)).option("header", True).csv(r["files"])
-        cells = [F.col(f"`{k}`") if k in names else F.lit(None).cast("string").alias(k) for k in keep]
-        part = part.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.[^./]*$", 1).alias(id_name), *cells)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], strings([id_name, *keep]))
+    return conform(spark, paths, keep, id_name)
 
 
 def check_row_parity(df: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
@@ -110,8 +101,9 @@ def missing_months(manifest_: DataFrame, start: str, end: str, month: str = "mon
 def land_partitions(df: DataFrame, path: str, keys: list[str], force: bool = False) -> DataFrame:
     """Land the partitions of ``df`` in ``path``; (keys, status) with landed or skipped.
 
-    Partitions already there in the same version are skipped; others, and all with
-    ``force``, are replaced whole. The manifest lies beside the data and is partitioned
+    For files that other tools read as a plain folder; ``commits.land`` is the form that
+    readers see whole or not at all. Partitions already there in the same version are
+    skipped; others, and all with ``force``, are replaced whole. The manifest lies beside the data and is partitioned
     alike, so a lost manifest is healed by landing again.
     """
     spark = df.sparkSession
@@ -124,10 +116,10 @@ def land_partitions(df: DataFrame, path: str, keys: list[str], force: bool = Fal
             raise
         stale = want
     stale = spark.createDataFrame(stale.select(*keys).collect(), want.select(*keys).schema)  # one row a partition
-    fresh = df.join(F.broadcast(stale), keys, "left_semi")
+    fresh = df.join(small(stale), keys, "left_semi")
     write = {"partitionOverwriteMode": "dynamic"}
     fresh.write.mode("overwrite").options(**write).partitionBy(*keys).parquet(f"{path}/data")
-    want.join(F.broadcast(stale), keys, "left_semi").write.mode("overwrite").options(**write).partitionBy(*keys).parquet(f"{path}/_manifest")
+    want.join(small(stale), keys, "left_semi").write.mode("overwrite").options(**write).partitionBy(*keys).parquet(f"{path}/_manifest")
     landed = stale.withColumn("_landed", F.lit(True))
     return want.select(*keys).join(landed, keys, "left").select(*keys, F.when(F.col("_landed"), "landed").otherwise("skipped").alias("status"))
 
