@@ -1,17 +1,21 @@
 """Main text of web pages by wrapper induction.
 
-1. Every page becomes a skeleton: its DOM tree without text, runs of like leaf siblings
-   folded to one node, each node with hashes and lengths of its own texts. Nodes more than
-   ``DEEP`` levels down belong to their ancestor there.
+1. Every page becomes a skeleton: its DOM tree without text, runs of siblings of one shape
+   folded to one node, each node with hashes and lengths of its own texts. Of more than
+   ``WIDE`` siblings that are left, those of one label are folded wherever they stand (paths
+   do not tell them apart). Nodes more than ``DEEP`` levels down belong to their ancestor there.
 2. A host's pivot is a page of its most common outline (labels of the upper levels), the
    smallest one. Each distinct skeleton of the host is aligned with it by simple tree
-   matching (order-preserving, same labels, most nodes).
+   matching (order-preserving, same labels, most nodes). Only siblings of one label are paired,
+   and the best order-preserving choice among pairs is found by a chain with prefix maxima,
+   so a long table costs little more than its rows.
 3. Texts of aligned nodes are counted per host and pivot node. A text on half of the host's
    distinct pages at one node is constant, others fill slots. The wrapper is the path of the
    deepest container that holds nine tenths of the slots' text outside menus, adverts, forms
    and the like, or of the article (else main) around it, and its template: the texts below
-   that path which nine tenths of at least ``template_pages`` distinct pages have at one
-   node. A host whose template would be over a third of its content holds copies of one
+   that path which nine tenths of the host's distinct pages have at one node, if that is
+   evidence that most of its pages do: share - sqrt(ln(1000) / (2 pages)) >= 1/2 (Hoeffding's
+   bound, one in a thousand), the same test for every number of pages. A host whose template would be over a third of its content holds copies of one
    page; it gets none. Hosts of too few pages to tell take the wrapper that holds the most
    slot text over all hosts that can tell.
 4. A page's text is what lies below the wrapper's path, without the template's texts and
@@ -65,8 +69,8 @@ ASIDE_WORDS = set(
     "subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist reply replies disqus social share sharing "
     "related popup modal widget login signup search toolbar pagination pager contentinfo complementary dialog".split()
 )
-#: Levels of a page that wrappers tell apart.
-DEEP = 40
+#: Levels of a page that wrappers tell apart, and siblings whose places are told apart.
+DEEP, WIDE = 40, 32
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -98,6 +102,7 @@ def parse(page: str) -> Node:
     """A tolerant DOM tree; character references are decoded."""
     root = Node("#", "")
     stack, at, n = [root], 0, len(page)
+    opened: Counter = Counter()  # tags on the stack
     while at < n:
         m = TAG.search(page, at)
         text = page[at : m.start() if m else n]
@@ -111,13 +116,16 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if close:
-            if any(x.tag == tag for x in stack[1:]):
-                while stack.pop().tag != tag:
-                    pass
+            while opened[tag] > 0:
+                last = stack.pop().tag
+                opened[last] -= 1
+                if last == tag:
+                    break
             continue
         if tag in ENDS:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in ENDS[tag]:
+                    opened.subtract(x.tag for x in stack[k:])
                     del stack[k:]
                     break
                 if stack[k].tag in SCOPE:
@@ -131,6 +139,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     return root
 
 
@@ -190,6 +199,62 @@ def text_hash(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass")) << 16 | len(text) & 0xFFFF
 
 
+def _folded(nodes: list[list]) -> None:
+    """Fold siblings, in place: runs of one shape, and of many siblings all of one label."""
+    shape: list[int] = [0] * len(nodes)
+    kinds: dict[tuple, int] = {}
+
+    def named(i: int) -> int:
+        """The number of a node's shape: its label and the shapes below."""
+        return kinds.setdefault((*nodes[i][:2], *(shape[k] for k in nodes[i][3])), len(kinds) + 1)
+
+    def absorb(into: int, other: int) -> None:
+        """Give the texts of a subtree to one of the same shape."""
+        todo = [(into, other)]
+        while todo:
+            x, y = todo.pop()
+            nodes[x][2] += nodes[y][2]
+            todo += zip(nodes[x][3], nodes[y][3])
+
+    def unite(into: int, other: int) -> None:
+        """Give a subtree to one of the same label: children of one label are one."""
+        todo, changed = [(into, other)], []
+        while todo:
+            x, y = todo.pop()
+            changed.append(x)
+            nodes[x][2] += nodes[y][2]
+            at = {}
+            for k in [*nodes[x][3], *nodes[y][3]]:
+                own = tuple(nodes[k][:2])
+                if own in at:
+                    todo.append((at[own], k))
+                else:
+                    at[own] = k
+            nodes[x][3] = list(at.values())
+        for x in reversed(changed):
+            shape[x] = named(x)
+
+    for i in range(len(nodes) - 1, -1, -1):  # children come after their parents
+        node = nodes[i]
+        kids: list[int] = []
+        for k in node[3]:
+            if kids and shape[kids[-1]] == shape[k]:
+                absorb(kids[-1], k)
+            else:
+                kids.append(k)
+        if len(kids) > WIDE:
+            at: dict[tuple, int] = {}
+            for k in kids:
+                own = tuple(nodes[k][:2])
+                if own in at:
+                    unite(at[own], k)
+                else:
+                    at[own] = k
+            kids = list(at.values())
+        node[3] = kids
+        shape[i] = named(i)
+
+
 def skeleton(root: Node) -> list[list]:
     """Nodes in page order: [label, aside, [[hash, length] of own texts], places of children]."""
     nodes: list[list] = []
@@ -206,15 +271,7 @@ def skeleton(root: Node) -> list[list]:
             parent = len(nodes)
             nodes.append([x.label, int(x.aside), own, []])
         todo += [(k, parent, depth + 1) for k in reversed(kids)]
-    for node in nodes:  # like leaf siblings in a row are one node
-        kids: list[int] = []
-        for k in node[3]:
-            last = nodes[kids[-1]] if kids else None
-            if last and not last[3] and not nodes[k][3] and last[:2] == nodes[k][:2]:
-                last[2] += nodes[k][2]
-            else:
-                kids.append(k)
-        node[3] = kids
+    _folded(nodes)
     order, todo = [], [0]
     while todo:
         order.append(todo.pop())
@@ -232,14 +289,41 @@ def outline(tree: list[list], levels: int = 3) -> int:
     return zlib.crc32(json.dumps(labels).encode())
 
 
-def _grid(xs: list[int], ys: list[int], score: dict[tuple[int, int], int]) -> list[list[int]]:
-    grid = [[0] * (len(ys) + 1)]
+def _chain(xs: list[int], ys: list[int], score: dict[tuple[int, int], int], a: list[list], b: list[list]) -> tuple[int, list[tuple[int, int]]]:
+    """(score, pairs) of the best order-preserving choice of pairs of one label."""
+    where: dict[str, list[int]] = {}
+    for m, y in enumerate(ys):
+        where.setdefault(b[y][0], []).append(m)
+    best = [(0, -1)] * (len(ys) + 1)  # greatest score of chains that end before a place, as prefix maxima
+    chains: list[tuple[int, int, int]] = []  # x, y, chain before
     for x in xs:
-        above, row = grid[-1], [0]
-        for j, y in enumerate(ys):
-            row.append(max(above[j + 1], row[j], above[j] + score.get((x, y), 0)))
-        grid.append(row)
-    return grid
+        for m in reversed(where.get(a[x][0], ())):
+            s = score.get((x, ys[m]), 0)
+            total, before = (0, -1)
+            k = m
+            while k:
+                if best[k][0] > total:
+                    total, before = best[k]
+                k &= k - 1
+            if s:
+                chains.append((x, ys[m], before))
+                new = total + s, len(chains) - 1
+                k = m + 1
+                while k <= len(ys):
+                    if best[k][0] < new[0]:
+                        best[k] = new
+                    k += k & -k
+    total, last = 0, -1
+    k = len(ys)
+    while k:
+        if best[k][0] > total:
+            total, last = best[k]
+        k &= k - 1
+    pairs = []
+    while last >= 0:
+        x, y, last = chains[last]
+        pairs.append((x, y))
+    return total, pairs
 
 
 def match_scores(a: list[list], b: list[list]) -> dict[tuple[int, int], int]:
@@ -247,11 +331,14 @@ def match_scores(a: list[list], b: list[list]) -> dict[tuple[int, int], int]:
     order-preserving match of equal labels below them, root on root."""
     pairs = [(0, 0)] if a[0][0] == b[0][0] else []
     for i, j in pairs:  # grows: pairs of children come after their parents
+        of: dict[str, list[int]] = {}
+        for y in b[j][3]:
+            of.setdefault(b[y][0], []).append(y)
         for x in a[i][3]:
-            pairs += [(x, y) for y in b[j][3] if a[x][0] == b[y][0]]
+            pairs += [(x, y) for y in of.get(a[x][0], ())]
     score: dict[tuple[int, int], int] = {}
     for i, j in reversed(pairs):
-        score[i, j] = 1 + _grid(a[i][3], b[j][3], score)[-1][-1]
+        score[i, j] = 1 + _chain(a[i][3], b[j][3], score, a, b)[0]
     return score
 
 
@@ -279,17 +366,7 @@ def align(pivot: list[list], page: list[list]) -> list[tuple[int, str, int, int,
         for h, n in page[j][2]:
             found[i, path, aside, h] += n
         xs, ys = pivot[i][3] if i >= 0 else [], page[j][3]
-        partner: dict[int, int] = {}
-        if xs and ys:
-            grid, k, m = _grid(xs, ys, score), len(xs), len(ys)
-            while k and m:
-                if grid[k][m] == grid[k - 1][m]:
-                    k -= 1
-                elif grid[k][m] == grid[k][m - 1]:
-                    m -= 1
-                else:
-                    k, m = k - 1, m - 1
-                    partner[ys[m]] = xs[k]
+        partner = {y: x for x, y in _chain(xs, ys, score, pivot, page)[1]} if xs and ys else {}
         todo += [(partner.get(y, -1), y, f"{path}/{page[y][0]}", aside) for y in ys]
     return [(*key, n) for key, n in found.items()]
 
@@ -324,7 +401,7 @@ def _within(path: str, wrapper: str) -> Column:
     return (F.col(path) == F.col(wrapper)) | F.startswith(F.col(path), F.concat(wrapper, F.lit("/")))
 
 
-def induce(pages: DataFrame, least_pages: int = 3, template_pages: int = 10, broadcast_hosts: int = 1000) -> tuple[DataFrame, str]:
+def induce(pages: DataFrame, least_pages: int = 3, broadcast_hosts: int = 1000) -> tuple[DataFrame, str]:
     """((host, wrapper, template) of hosts that can tell, wrapper of all other hosts)."""
     pages = pages.select("page_id", host_of(F.col("url")).alias("host"), "html")
     trees = settle(pages.mapInArrow(_skeletons, "page_id long, host string, outline long, tree string"), "skeletons")
@@ -352,7 +429,8 @@ def induce(pages: DataFrame, least_pages: int = 3, template_pages: int = 10, bro
     wrappers = held.join(few(most), "host").where("held * 10 >= whole * 9").groupBy("host").agg(deepest).withColumn("wrapper", around)
 
     below = texts.join(few(wrappers), "host").where(_within("path", "wrapper"))
-    same = (F.col("n") * 10 >= F.col("kinds") * 9) & (F.col("kinds") >= template_pages) & (F.col("node") >= 0)
+    share = F.col("n") / F.col("kinds")
+    same = (share >= 0.9) & (share - F.sqrt(F.log(F.lit(1000.0)) / (2 * F.col("kinds"))) >= 0.5) & (F.col("node") >= 0)
     known = F.concat_ws(":", "hash", "path")
     template = below.groupBy("host").agg(F.sum("length").alias("whole"), F.sum(F.when(same, F.col("length"))).alias("fixed"), F.collect_set(F.when(same, known)).alias("template"))
     template = template.where("fixed * 3 <= whole").select("host", "template")
