@@ -47,15 +47,19 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settle_by(df: DataFrame, key: str, name: str, extra: DataFrame) -> DataFrame:
+#: Bytes of a bucket of settle_by(), where there are more than a bucket a shuffle partition.
+BUCKET_BYTES = 256 << 20
+
+
+def settle_by(df: DataFrame, key: str, name: str, extra: DataFrame, title: str, size: int) -> DataFrame:
     """``df``, joined with ``extra`` on ``key`` (left), as a bucketed table in the shared folder.
 
-    Its rows move once, here; later joins on ``key`` leave them where they are.
+    Its rows, of about ``size`` bytes, move once, here; later joins on ``key`` leave them where they
+    are. The catalog knows the table as ``title`` until the caller drops it.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    title = f"scratch_{uuid.uuid4().hex}"
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     dealt = df.repartition(n, key).join(extra.hint("merge"), key, "left")
     dealt.write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(title, format="parquet")
     if _OPEN:

@@ -38,6 +38,7 @@ ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -270,12 +271,13 @@ def _finish(window: int):
     return finish
 
 
-def _texts(named: DataFrame) -> DataFrame:
+def _texts(named: DataFrame, title: str) -> DataFrame:
     """(doc_id, digest, text, first: smaller doc_id of an equal text), bucketed by doc_id: here texts move."""
+    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ids = named.select("doc_id", F.md5("text").alias("digest"))
     copies = ids.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     firsts = ids.join(copies, "digest").where("first < doc_id").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "first"))).alias("firsts"))
-    texts = settle_by(named.withColumn("digest", F.md5("text")), "doc_id", "texts", firsts)
+    texts = settle_by(named.withColumn("digest", F.md5("text")), "doc_id", "texts", firsts, title, size)
     return texts.withColumn("first", F.col("firsts")[F.col("digest")]).drop("firsts")
 
 
@@ -315,19 +317,29 @@ def _removed_spans(spans: DataFrame, window: int, query_words: int) -> DataFrame
 
 
 def drop_repeats(docs: DataFrame, window: int = 13, shard_words: int = 20_000, query_words: int = 200_000, piece_words: int = 2_000) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs``."""
+    """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs``.
+
+    The result is written and what it took to get there removed: the folders, and the
+    catalog's entry of the text table.
+    """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     nameless, named = docs.where("doc_id IS NULL"), docs.where("doc_id IS NOT NULL")
-    texts = _texts(named)
+    title = f"scratch_{uuid.uuid4().hex}"
 
-    def removed() -> DataFrame:
+    def finished() -> DataFrame:
+        texts = _texts(named, title)
         open_ = texts.where("first IS NULL").join(_shared_anchors(texts, window).hint("merge"), "doc_id")
-        return _removed_spans(_span_table(open_, _owned_windows(open_, window, piece_words), window, shard_words), window, query_words)
-
-    gone = distil(removed, docs.sparkSession, "removed-spans")
-    whole = texts.join(gone.hint("merge"), "doc_id", "left").select("doc_id", "digest", "text", "first", "gone")
-    alone = nameless.select("doc_id", F.lit("").alias("digest"), "text", F.lit(None).cast("long").alias("first"), F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"))
-    return whole.mapInArrow(_finish(window), RESULT).unionByName(alone.mapInArrow(_finish(window), RESULT))
+        removed = lambda: _removed_spans(_span_table(open_, _owned_windows(open_, window, piece_words), window, shard_words), window, query_words)
+        gone = distil(removed, spark, "removed-spans")
+        whole = texts.join(gone.hint("merge"), "doc_id", "left").select("doc_id", "digest", "text", "first", "gone")
+        alone = nameless.select("doc_id", F.lit("").alias("digest"), "text", F.lit(None).cast("long").alias("first"), F.lit(None).cast(gone.schema["gone"].dataType).alias("gone"))
+        return whole.mapInArrow(_finish(window), RESULT).unionByName(alone.mapInArrow(_finish(window), RESULT))
+
+    try:
+        return distil(finished, spark, "substring-result")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {title}")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
