@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 from apronlake.functions import cleaning as C
 from apronlake.operators.windows import dedup, prefer
 
-#: Kind of each raw flight column: d date, i whole number, f number, s text, u upper-case text, b flag, t hhmm.
+#: Kind of each raw flight column (year and month are partitions as well): d date, i whole number, f number, s text, u upper-case text, b flag, t hhmm.
 FLIGHT_COLUMNS = {
-    "Year": "i", "Quarter": "i", "Month": "i", "DayofMonth": "i", "DayOfWeek": "i", "FlightDate": "d", "Reporting_Airline": "u", "Tail_Number": "u",
-    "Flight_Number_Reporting_Airline": "i", "Origin": "u", "OriginAirportID": "i", "OriginCityName": "s", "OriginState": "u", "Dest": "u", "DestAirportID": "i", "DestCityName": "s", "DestState": "u",
-    "CRSDepTime": "t", "DepTime": "t", "DepDelay": "f", "DepDelayMinutes": "f", "DepDel15": "b", "TaxiOut": "f", "WheelsOff": "t", "WheelsOn": "t", "TaxiIn": "f",
-    "CRSArrTime": "t", "ArrTime": "t", "ArrDelay": "f", "ArrDelayMinutes": "f", "ArrDel15": "b", "Cancelled": "b", "CancellationCode": "u", "Diverted": "b",
-    "CRSElapsedTime": "f", "ActualElapsedTime": "f", "AirTime": "f", "Distance": "f", "CarrierDelay": "f", "WeatherDelay": "f", "NASDelay": "f", "SecurityDelay": "f", "LateAircraftDelay": "f",
-    "DivReachedDest": "b", "DivArrDelay": "f",
+    "Year": "i", "Quarter": "i", "Month": "i", "DayofMonth": "i", "DayOfWeek": "i", "FlightDate": "d",
+    "Reporting_Airline": "u", "DOT_ID_Reporting_Airline": "i", "IATA_CODE_Reporting_Airline": "s", "Tail_Number": "s", "Flight_Number_Reporting_Airline": "i",
+    "OriginAirportID": "i", "OriginAirportSeqID": "i", "OriginCityMarketID": "i", "Origin": "u", "OriginCityName": "s", "OriginState": "s", "OriginStateFips": "s", "OriginStateName": "s", "OriginWac": "i",
+    "DestAirportID": "i", "DestAirportSeqID": "i", "DestCityMarketID": "i", "Dest": "u", "DestCityName": "s", "DestState": "s", "DestStateFips": "s", "DestStateName": "s", "DestWac": "i",
+    "CRSDepTime": "t", "DepTime": "t", "DepDelay": "f", "DepDelayMinutes": "f", "DepDel15": "b", "DepartureDelayGroups": "i", "DepTimeBlk": "s", "TaxiOut": "f", "WheelsOff": "t", "WheelsOn": "t", "TaxiIn": "f",
+    "CRSArrTime": "t", "ArrTime": "t", "ArrDelay": "f", "ArrDelayMinutes": "f", "ArrDel15": "b", "ArrivalDelayGroups": "i", "ArrTimeBlk": "s",
+    "Cancelled": "b", "CancellationCode": "s", "Diverted": "b", "CRSElapsedTime": "f", "ActualElapsedTime": "f", "AirTime": "f", "Flights": "i", "Distance": "f", "DistanceGroup": "i",
+    "CarrierDelay": "f", "WeatherDelay": "f", "NASDelay": "f", "SecurityDelay": "f", "LateAircraftDelay": "f", "FirstDepTime": "t", "TotalAddGTime": "f", "LongestAddGTime": "f",
+    "DivAirportLandings": "i", "DivReachedDest": "b", "DivActualElapsedTime": "f", "DivArrDelay": "f", "DivDistance": "f",
 }
 #: The same kinds for each of five diversion blocks.
-DIVERSION = {"Airport": "u", "AirportID": "i", "WheelsOn": "t", "TotalGTime": "f", "LongestGTime": "f", "WheelsOff": "t", "TailNum": "u"}
+DIVERSION = {"Airport": "s", "AirportID": "i", "AirportSeqID": "i", "WheelsOn": "t", "TotalGTime": "f", "LongestGTime": "f", "WheelsOff": "t", "TailNum": "s"}
 
 KINDS = {
     "d": C.safe_date,
@@ -33,13 +36,14 @@ NATURAL_KEY = ["FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airli
 
 
 def type_flights(raw: DataFrame) -> DataFrame:
-    """Typed flights, one row for a natural key: the row with an actual departure first, then by content."""
+    """Typed flights, one row for a natural key: rows that arrived first, the earliest, then by tail, departure and content."""
     spec = dict(FLIGHT_COLUMNS)
     for n in range(1, 6):
         spec |= {f"Div{n}{k}": v for k, v in DIVERSION.items()}
     cells = [KINDS[kind](F.col(c)).alias(c) for c, kind in spec.items() if c in raw.columns]
     typed = raw.select(*cells, C.row_hash(*raw.columns).alias("row_hash"))
-    order = [F.col("DepTime").isNull(), F.col("ArrTime").isNull()] if "DepTime" in raw.columns and "ArrTime" in raw.columns else []
+    wanted = {"ArrTime": [F.col("ArrTime").isNull(), F.col("ArrTime")], "Tail_Number": [F.col("Tail_Number")], "DepTime": [F.col("DepTime").isNull()]}
+    order = [c for name, of in wanted.items() if name in raw.columns for c in of]
     return dedup(typed, [k for k in NATURAL_KEY if k in raw.columns], [*order, F.col("row_hash")])
 
 
