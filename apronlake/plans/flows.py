@@ -14,6 +14,7 @@ from apronlake.sources import commits as Co
 from apronlake.sources import headers as H
 from apronlake.sources import ordered as O
 from apronlake.streaming import rolling as Ro
+from apronlake.streaming import streams as St
 
 from . import fixtures as X
 from .oracles import _LEGS
@@ -77,6 +78,24 @@ def rolling_best(spark, d):
     return table.read(spark).select("user_id", F.col("window_start").alias("hour"), "event_id", "event_type")
 
 
+def scored_stream(spark, d):
+    """Events landed as they came and scored with rates that change halfway; an unknown type gets no rate."""
+    events = X.read(spark, d, "events").select("event_id", "event_type").withColumnRenamed("event_type", "kind")
+    source, landed, lookup, out = (scratch_path(spark, n) for n in ("arrived", "stream-landed", "lookup", "scored"))
+    kinds = events.select("kind").distinct()
+    for i in range(SLICES):
+        if i % 2 == 0:  # a new version before the first and the third slice
+            rate = F.length("kind") / 10 + i
+            Co.land(kinds.where("kind <> 'error'" if i == 0 else "true").withColumn("rate", rate), lookup, ["kind"])
+        events.where(F.col("event_id") % SLICES == i).write.mode("append").parquet(source)
+        St.land_incremental(spark, source, landed, f"{landed}-checkpoint", events.schema).awaitTermination()
+        stream = spark.readStream.schema(events.schema).parquet(landed)
+        Ro.score_stream(stream, lookup, "kind", out, f"{out}-checkpoint").awaitTermination()
+    for path in (source, landed, lookup, out, f"{landed}-checkpoint", f"{out}-checkpoint"):
+        until_end(spark, path)
+    return spark.read.parquet(out).select("event_id", "kind", F.round("rate", 6).alias("rate"), F.col("lookup_version").cast("long").alias("lookup_version"))
+
+
 def canonical_positions(spark, d):
     """The place of each leg in the order of its natural key, from files in that order and their manifest."""
     path = scratch_path(spark, "ordered")
@@ -98,7 +117,7 @@ def canonical_manifest(spark, d):
     return ends.crossJoin(F.broadcast(bad)).crossJoin(F.broadcast(O.disorder(spark, path).agg(F.count(F.lit(1)).alias("n_out_of_order"))))
 
 
-QUERIES = {f.__name__: f for f in (landing_statuses, conformed_csv, rolling_mart, rolling_best, canonical_positions, canonical_manifest)}
+QUERIES = {f.__name__: f for f in (landing_statuses, conformed_csv, rolling_mart, rolling_best, scored_stream, canonical_positions, canonical_manifest)}
 
 _ARRIVED = """e AS (SELECT *, event_id % 4 AS s FROM events), w AS (SELECT s, max(ts) AS m FROM e GROUP BY s),
 mark AS (SELECT a.s, max(b.m) - INTERVAL 12 DAY AS mark FROM w a JOIN w b ON b.s < a.s GROUP BY a.s),
@@ -111,6 +130,7 @@ ORACLES = {
     "conformed_csv": "SELECT c_custkey::BIGINT AS key, CASE WHEN c_custkey % 3 <> 1 THEN 'Say \"' || c_name || '\", twice' END AS name, CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS segment FROM customer",
     "rolling_mart": f"WITH {_ARRIVED} SELECT ts::DATE AS day, event_type, count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS n_late, round(sum(value) FILTER (NOT late), 4) AS sum_value FROM f GROUP BY ALL",
     "rolling_best": "SELECT user_id, hour, event_id, event_type FROM (SELECT *, date_trunc('hour', ts) AS hour, row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, ts, event_id) AS rn FROM events) WHERE rn = 1",
+    "scored_stream": "SELECT event_id, event_type AS kind, CASE WHEN event_id % 4 >= 2 THEN round(length(event_type) / 10 + 2, 6) WHEN event_type <> 'error' THEN round(length(event_type) / 10, 6) END AS rate, CASE WHEN event_id % 4 >= 2 THEN 2 ELSE 1 END::BIGINT AS lookup_version FROM events",
     "canonical_positions": f"WITH {_LEGS} SELECT leg_id, row_number() OVER (ORDER BY leg_date, carrier, flight_number NULLS FIRST, origin, dest, dep_min, leg_id) AS position FROM legs",
     "canonical_manifest": f"WITH {_LEGS}, s AS (SELECT leg_date, leg_id, row_number() OVER (ORDER BY leg_date, dep_min, leg_id) AS i, count(*) OVER () AS n FROM legs) "
     "SELECT max(n) AS n, max(leg_date) FILTER (i = 1) AS first_day, max(leg_id) FILTER (i = 1) AS first_id, max(leg_date) FILTER (i = n) AS last_day, max(leg_id) FILTER (i = n) AS last_id, 0::BIGINT AS n_overlaps, 0::BIGINT AS n_out_of_order FROM s",
