@@ -48,20 +48,28 @@ def join_levels(df: DataFrame, rates: DataFrame, levels: dict[str, tuple[str, st
 def asof_backward(left: DataFrame, right: DataFrame, by: tuple[str, str], lts: str, rts: str, hours: int) -> DataFrame:
     """Latest right row of the key in (lts - hours, lts]; left rows without one are kept.
 
-    The range becomes an equi-join: distinct (key, time) pairs of the left are listed under
-    the one or two dates of their range and meet the right rows of that key and date. Only
-    the greatest right time is aggregated (a hash aggregate); the payload is joined after.
-    ``right`` has one row for a key and time.
+    ``right`` has one row for a key and time. Distinct (key, time) pairs of the left meet the
+    last right time of each earlier hour of their range, then of each earlier minute of their
+    own hour, then the right times of their own minute: equi-joins of a bounded number of rows
+    a pair, however many rows a key has an hour. Only times are joined and aggregated; the
+    payload is joined after.
     """
     lby, rby = by
+    cut = lambda unit, c: F.date_trunc(unit, c).cast("timestamp_ntz")
+    at, last = F.col("_at"), F.col("_seen")
+    back = at - F.expr(f"INTERVAL {hours} HOURS")
     times = left.select(F.col(lby).alias("_by"), F.col(lts).alias("_at")).where("_by IS NOT NULL AND _at IS NOT NULL").distinct()
-    back = F.col("_at") - F.expr(f"INTERVAL {hours} HOURS")
-    days = times.withColumn("_day", F.explode(F.sequence(back.cast("date"), F.col("_at").cast("date"))))
-    seen = right.select(F.col(rby).alias("_by"), F.col(rts).alias("_seen"), F.col(rts).cast("date").alias("_day"))
-    met = days.join(seen, ["_by", "_day"]).where((F.col("_seen") > back) & (F.col("_seen") <= F.col("_at")))
-    last = met.groupBy("_by", "_at").agg(F.max("_seen").alias("_seen"))
+    times = times.withColumns({"_hour": cut("hour", at), "_minute": cut("minute", at)})
+    seen = right.select(F.col(rby).alias("_by"), F.col(rts).alias("_seen")).where("_by IS NOT NULL AND _seen IS NOT NULL")
+    minutes = seen.groupBy("_by", cut("minute", last).alias("_of")).agg(F.max("_seen").alias("_seen")).withColumn("_hour", cut("hour", F.col("_of")))
+    ends = minutes.groupBy("_by", "_hour").agg(F.max("_seen").alias("_seen"))
+    earlier = times.withColumn("_hour", F.explode(F.sequence(cut("hour", back), F.col("_hour") - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR")))).join(ends, ["_by", "_hour"])
+    own_hour = times.join(minutes, ["_by", "_hour"]).where("_of < _minute")
+    own_minute = times.join(seen.withColumn("_minute", cut("minute", last)), ["_by", "_minute"])
+    met = reduce(DataFrame.unionByName, (x.select("_by", "_at", "_seen") for x in (earlier, own_hour, own_minute)))
+    found = met.where((last > back) & (last <= at)).groupBy("_by", "_at").agg(F.max("_seen").alias("_seen"))
     payload = right.select(F.col(rby).alias("_by"), F.col(rts).alias("_seen"), *(c for c in right.columns if c != rby))
-    of = last.join(payload, ["_by", "_seen"]).drop("_seen").withColumnsRenamed({"_by": "_rby", "_at": "_rat"})
+    of = found.join(payload, ["_by", "_seen"]).drop("_seen").withColumnsRenamed({"_by": "_rby", "_at": "_rat"})
     return left.join(of, (left[lby] == F.col("_rby")) & (left[lts] == F.col("_rat")), "left").drop("_rby", "_rat")
 
 
