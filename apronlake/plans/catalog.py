@@ -45,17 +45,17 @@ def six(c) -> object:
 
 @query
 def delay_rate_by_hour(spark, d):
-    return R.rollup(M.schedule_mart(X.legs_big(spark, d)), ["dep_hour"])
+    return R.rollup(M.schedule_mart(Z.spine(spark, d)), ["dep_hour"])
 
 
 @query
 def additive_schedule(spark, d):
-    return M.schedule_mart(X.legs_big(spark, d))
+    return M.schedule_mart(Z.spine(spark, d))
 
 
 @query
 def additive_monthly(spark, d):
-    return M.monthly_mart(X.legs_big(spark, d))
+    return M.monthly_mart(Z.spine(spark, d))
 
 
 @query
@@ -66,31 +66,31 @@ def time_slice_filtered(spark, d):
 
 @query
 def route_carrier(spark, d):
-    return M.route_carrier_mart(X.legs_big(spark, d))
+    return M.route_carrier_mart(Z.spine(spark, d))
 
 
 @query
 def airport_hour_training(spark, d):
-    return M.airport_hour_mart(X.legs_big(spark, d), X.BIG_CUTOFF)
+    return M.airport_hour_mart(Z.spine(spark, d), X.BIG_CUTOFF)
 
 
 def _hist_big(spark, d) -> DataFrame:
-    return R.historical_rates(X.legs_big(spark, d), {"route": "route", "carrier": "carrier", "airport": "origin"}, X.BIG_CUTOFF)
+    return R.historical_rates(Z.spine(spark, d), {"route": "route", "carrier": "carrier", "airport": "origin"}, X.BIG_CUTOFF)
 
 
 @query
 def mart_airport_p90(spark, d):
-    return M.entity_mart(X.legs_big(spark, d), "origin", _hist_big(spark, d), "airport")
+    return M.entity_mart(Z.spine(spark, d), "origin", _hist_big(spark, d), "airport")
 
 
 @query
 def mart_carrier(spark, d):
-    return M.entity_mart(X.legs_big(spark, d), "carrier", _hist_big(spark, d), "carrier")
+    return M.entity_mart(Z.spine(spark, d), "carrier", _hist_big(spark, d), "carrier")
 
 
 @query
 def mart_route(spark, d):
-    return M.entity_mart(X.legs_big(spark, d), "route", _hist_big(spark, d), "route")
+    return M.entity_mart(Z.spine(spark, d), "route", _hist_big(spark, d), "route")
 
 
 @query
@@ -125,24 +125,24 @@ def fact(spark, d):
 def enrich_legs(spark, d):
     """Origin and destination attributes, the same dimension in two roles."""
     dim = X.airports(spark, d).select("airport", "tz")
-    legs = X.legs_big(spark, d).select("order_key", "line", "leg_date", "origin", "dest")
+    legs = Z.spine(spark, d).select("order_key", "line", "leg_date", "origin", "dest")
     return J.enrich(J.enrich(legs, dim, "origin", "origin"), dim, "dest", "dest").groupBy("origin_tz", "dest_tz").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def rollup_totals(spark, d):
-    mart = R.rollup(M.route_carrier_mart(X.legs_big(spark, d)), ["carrier"])
+    mart = R.rollup(M.route_carrier_mart(Z.spine(spark, d)), ["carrier"])
     return mart.select("carrier", "n_flights", "delay_rate", "cancel_rate", "avg_delay", six(R.share_of(mart, "n_flights")).alias("share"))
 
 
 @query
 def mix_adjusted(spark, d):
-    return R.mix_adjusted(M.route_carrier_mart(X.legs_big(spark, d)), "carrier", "route")
+    return R.mix_adjusted(M.route_carrier_mart(Z.spine(spark, d)), "carrier", "route")
 
 
 @query
 def yoy(spark, d):
-    mart = M.monthly_mart(X.legs_big(spark, d)).withColumn("year_no", F.year("month_start"))
+    mart = M.monthly_mart(Z.spine(spark, d)).withColumn("year_no", F.year("month_start"))
     x = R.rollup(mart, ["year_no"])
     return x.select("year_no", "delay_rate", six(F.col("delay_rate") - F.lag("delay_rate").over(W.orderBy("year_no"))).alias("delta"))
 
