@@ -314,7 +314,7 @@ def nearest_station(spark, d):
 
 
 def _asof(spark, d) -> DataFrame:
-    obs = M.decoded_observations(X.observations(spark, d)).select("station", "obs_ts", "obs_id", "temp_f")
+    obs = Z.observations(spark, d).select("station", "obs_ts", "obs_id", "temp_f")
     return J.asof_backward(X.legs(spark, d), obs, ("origin", "station"), "dep_ts", "obs_ts", 3)
 
 
@@ -430,9 +430,9 @@ def fit_window_hist(spark, d):
 
 
 def _features(spark, d) -> DataFrame:
-    obs = M.decoded_observations(X.observations(spark, d)).select("station", "obs_ts", "temp_f", "precip_in")
+    obs = Z.observations(spark, d).select("station", "obs_ts", "temp_f", "precip_in")
     calendar = M.holiday_calendar(spark, 2023, 2024).drop("holiday_name")
-    return M.ml_features(Z.rotation(spark, d), obs, X.CUTOFF, calendar, X.request_zones(spark, d))
+    return M.ml_features(Z.rotation(spark, d), obs, X.CUTOFF, calendar, X.request_zones(spark, d), hist=Z.rates(spark, d))
 
 
 @query
@@ -479,8 +479,7 @@ def entity_constancy_guard(spark, d):
 
 @query
 def batch_features(spark, d):
-    rot = Z.rotation(spark, d)
-    hist = R.smoothed_rates(rot, R.GRAINS, X.CUTOFF)
+    rot, hist = Z.rotation(spark, d), Z.rates(spark, d)
     x = M.assemble(X.requests(spark, d), hist, M.entity_profile(X.legs(spark, d)), M.density_profile(rot, X.CUTOFF), M.typical_rotation(rot, X.CUTOFF), M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
     return x.select("request_id", *M.CALENDAR, "context", "pos_used", "legs_used", "turn_used", "band", "pos_key", "distance_used", "density_used", "density_source", *(six(F.col(f"{p}_rate")).alias(f"{p}_rate") for p in M.FEATURE_RATES))
 

@@ -63,7 +63,7 @@ def feature_rows(spark, d) -> DataFrame:
     obs = views.hourly_observations(spark, d).drop("report")
     calendar = M.holiday_calendar(spark, 2023, 2024).drop("holiday_name")
     rot = Z.rotation(spark, d).withColumn("_is_tight", F.col("is_tight"))
-    wide = M.ml_features(rot, obs, X.CUTOFF, calendar, X.request_zones(spark, d))
+    wide = M.ml_features(rot, obs, X.CUTOFF, calendar, X.request_zones(spark, d), hist=Z.rates(spark, d))
     return wide.select(*(F.expr(c.of).alias(c.name) for c in REGISTRY))
 
 
@@ -147,8 +147,7 @@ _BUNDLES: dict[tuple[str, str], str] = {}
 
 def request_features(spark, d, requests: DataFrame) -> DataFrame:
     """Requests with the served feature columns under their registered names; types come as the lookups have them."""
-    rot = Z.rotation(spark, d)
-    hist = R.smoothed_rates(rot, R.GRAINS, X.CUTOFF)
+    rot, hist = Z.rotation(spark, d), Z.rates(spark, d)
     x = M.assemble(requests, hist, M.entity_profile(X.legs(spark, d)), M.density_profile(rot, X.CUTOFF), M.typical_rotation(rot, X.CUTOFF), M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
     used = {"distance": "distance_used", "density": "density_used", "position": "pos_used", "legs_today": "legs_used"}
     return x.drop(*used).withColumnsRenamed({v: k for k, v in used.items()})

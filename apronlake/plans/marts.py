@@ -161,9 +161,12 @@ def with_utc_hour(df: DataFrame, zones: DataFrame) -> DataFrame:
     return x.withColumn("utc_hour", F.when(F.col("_tz").isNotNull(), F.hour(utc).cast("bigint"))).drop("_airport", "_tz")
 
 
-def ml_features(rot: DataFrame, obs: DataFrame, cutoff: str, holidays: DataFrame, zones: DataFrame, hours: int = 3, m: float = 50.0) -> DataFrame:
-    """Wide feature rows of completed legs; all that is learned from outcomes is from before the cutoff."""
-    hist = R.smoothed_rates(rot, R.GRAINS, cutoff, m)
+def ml_features(rot: DataFrame, obs: DataFrame, cutoff: str, holidays: DataFrame, zones: DataFrame, hours: int = 3, m: float = 50.0, hist: DataFrame | None = None) -> DataFrame:
+    """Wide feature rows of completed legs; all that is learned from outcomes is from before the cutoff.
+
+    ``hist``: smoothed rates of ``rot`` as of the cutoff, where they are stored already.
+    """
+    hist = R.smoothed_rates(rot, R.GRAINS, cutoff, m) if hist is None else hist
     x = with_utc_hour(with_calendar(R.completed(rot), "leg_date", holidays), zones)
     x = J.asof_backward(x, obs, ("origin", "station"), "dep_ts", "obs_ts", hours)
     x = J.join_levels(x, hist, FEATURE_RATES, ["n", "rate", "avg_delay"])

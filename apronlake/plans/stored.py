@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from apronlake.operators import rates as R
 from apronlake.operators.scratch import scratch_path, until_end
 from apronlake.sources.commits import file_system
 from apronlake.sources.tables import read_clustered, write_clustered
@@ -48,6 +49,16 @@ def time_slices(spark: SparkSession, d: str, origin: str | None = None, carrier:
     return x
 
 
+def observations(spark: SparkSession, d: str) -> DataFrame:
+    """Decoded observations, one for a station and time."""
+    return spark.read.parquet(_once(spark, d, "observations", lambda p: M.decoded_observations(X.observations(spark, d)).write.parquet(p)))
+
+
+def rates(spark: SparkSession, d: str) -> DataFrame:
+    """Smoothed rates of the rotation's grains as of the cutoff."""
+    return spark.read.parquet(_once(spark, d, "rates", lambda p: R.smoothed_rates(rotation(spark, d), R.GRAINS, X.CUTOFF).coalesce(1).write.parquet(p)))
+
+
 def rotation(spark: SparkSession, d: str) -> DataFrame:
     """Legs with their chain."""
     return spark.read.parquet(_once(spark, d, "rotation", lambda p: M.rotation_mart(spark, d).write.parquet(p)))
