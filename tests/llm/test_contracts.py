@@ -289,4 +289,4 @@ def test_tree_match():
 
 
 def test_queries_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
