@@ -290,7 +290,8 @@ def _shared_anchors(texts: DataFrame, window: int) -> DataFrame:
 
 def _owned_windows(open_: DataFrame, window: int, piece_words: int) -> DataFrame:
     """(doc_id, of: list of (w, owner, piece)) of documents with repeated windows."""
-    windows = open_.select("doc_id", "text", "anchors").mapInArrow(_windows(window, piece_words), "w long, doc_id long, piece long")
+    # Written, as both uses below would else make the windows from the texts.
+    windows = settle(open_.select("doc_id", "text", "anchors").mapInArrow(_windows(window, piece_words), "w long, doc_id long, piece long"), "windows")
     owners = windows.groupBy("w").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.max("piece").alias("piece")).where("owner < last").drop("last")
     return settle(windows.select("w", "doc_id").join(owners, "w").groupBy("doc_id").agg(F.collect_list(F.struct("w", "owner", "piece")).alias("of")), "owned-windows")
 
