@@ -5,7 +5,6 @@ Each derives its files or streams from the given tables, whole, in the shared sc
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apronlake.operators import windows as Wn

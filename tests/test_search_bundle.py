@@ -7,7 +7,6 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
 from apronlake.operators import bundle as B
-from apronlake.operators import rates as R
 from apronlake.operators import search as Se
 from apronlake.operators.sampling import det_fraction
 from apronlake.plans import features as Fe
