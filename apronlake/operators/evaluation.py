@@ -48,8 +48,12 @@ def slice_metrics(df: DataFrame, slices: dict[str, Column], score: str = "score"
     """Base rate, AUC and average precision of overlapping slices; the ranking is done within each slice, by ranges of scores."""
     names = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in slices.items())), lambda x: x.isNotNull())
     y = F.col(label).cast("int")
-    x = df.where(F.col(label).isNotNull()).select(F.explode(names).alias("slice"), F.col(score).alias("s"), y.alias("y"))
-    x = x.groupBy("slice", "s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    return metrics_by_slice(df.where(F.col(label).isNotNull()).select(F.explode(names).alias("slice"), F.col(score).alias("s"), y.alias("y")))
+
+
+def metrics_by_slice(rows: DataFrame) -> DataFrame:
+    """The same of rows (slice, s, y) that name their slice: one ranking for all slices, whatever they are."""
+    x = rows.groupBy("slice", "s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     x = running_totals(x, "s", ["pos", "neg"], by=("slice",))
     whole = x.groupBy("slice").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     x = x.join(F.broadcast(whole), "slice").withColumns({"below": F.col("before_neg"), "tp": F.col("_pos") - F.col("before_pos"), "fp": F.col("_neg") - F.col("before_neg")})

@@ -19,8 +19,9 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,14 +88,26 @@ def _parts(base: DataFrame, space: Space, window: Window, cutoff: str) -> tuple[
     if not fit.limit(1).count():
         raise ValueError(f"no row before {window.start}")
     stages = Pipeline(stages=Mo.feature_stages(fit, space.columns, None, True)).fit(fit)
-    made = written(stages.transform(rows).select(*space.keys, space.day, "y", "features"), "search-vectors")
+    # As many files as cores: learners pass over these rows dozens of times, and small rows lie in few files.
+    dealt = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *space.keys).sortWithinPartitions(*space.keys)
+    made = written(stages.transform(dealt).select(*space.keys, space.day, "y", "features"), "search-vectors")
     return Mo.with_weight(made.where(F.col(space.day) < day(window.start)), "y"), made.where(F.col(space.day) >= day(window.start))
 
 
-def _measure(model: PipelineModel, val: DataFrame) -> tuple[float, float]:
-    scored = written(Mo.probability(model, val).select("p", "y"), "search-scores")
-    ap, auc = E.average_precision(scored, "p", "y").first()[0], E.roc_auc(scored, "p", "y").first()[0]
-    return float(ap or 0.0), float(auc if auc is not None else 0.5)
+def _scores(c: Candidate, fit: DataFrame, val: DataFrame) -> DataFrame:
+    model = Pipeline(stages=[c.make(featuresCol="features", labelCol="y", weightCol="weight", **c.params)]).fit(fit)
+    return Mo.probability(model, val).select("p", "y")
+
+
+def _measure(scored: dict[tuple[str, int], DataFrame]) -> dict[tuple[str, int], tuple[float, float]]:
+    """(average precision, AUC) of validation rows scored by each candidate in each window, by one ranking of them all."""
+    if not scored:
+        return {}
+    named = {json.dumps(k): k for k in scored}
+    rows = reduce(DataFrame.unionByName, (scored[k].select(F.lit(n).alias("slice"), F.col("p").alias("s"), F.col("y").cast("int").alias("y")) for n, k in named.items()))
+    got = {named[x["slice"]]: x for x in E.metrics_by_slice(rows).collect()}
+    auc = lambda x: 0.5 if x["roc_auc"] is None else float(x["roc_auc"])
+    return {k: (float(got[k]["average_precision"] or 0.0), auc(got[k])) if k in got else (0.0, 0.5) for k in scored}
 
 
 def _rows(df: DataFrame) -> int:
@@ -118,17 +131,20 @@ def family_search(base: DataFrame, space: Space, candidates: list[Candidate], wi
     for r, fraction in enumerate(fractions):
         drawn = [(det_fraction(fit, space.keys, fraction) if fraction < 1 else fit, val) for fit, val in parts]
         sizes = [_rows(fit) for fit, _ in drawn]
-        found, line = {}, {}
+        scored, at, line = {}, {}, {}
         for c in left:
             cost = sum(sizes)
             if budget is not None and spent + cost > budget:
                 line[c.name] = ("over budget", None, None)
                 continue
             spent += cost
-            got = [_measure(Pipeline(stages=[c.make(featuresCol="features", labelCol="y", weightCol="weight", **c.params)]).fit(fit), val) for fit, val in drawn]
-            weight = sum(n_val)
+            at[c.name] = spent
+            scored |= {(c.name, i): _scores(c, fit, val) for i, (fit, val) in enumerate(drawn)}
+        measured, found, weight = _measure(scored), {}, sum(n_val)
+        for name, so_far in at.items():
+            got = [measured[name, i] for i in range(len(drawn))]
             ap, auc = (sum(g[i] * n for g, n in zip(got, n_val)) / weight if weight else 0.0 for i in (0, 1))
-            found[c.name] = round(ap, 6), round(auc, 6), got[-1][0], spent
+            found[name] = round(ap, 6), round(auc, 6), got[-1][0], so_far
         order = sorted(found, key=lambda n: (-found[n][0], n))
         n_kept = max(1, -(-len(order) * keep // 1)) if r + 1 < len(fractions) else 1
         kept = set(order[: int(n_kept)])
@@ -137,17 +153,18 @@ def family_search(base: DataFrame, space: Space, candidates: list[Candidate], wi
             if c.name in line:
                 report.append((*head, "over budget", "fit window", sum(sizes), sum(n_val), None, None, spent, None))
                 continue
-            ap, auc, at_last, at = found[c.name]
+            ap, auc, _, so_far = found[c.name]
             status = ("best" if r + 1 == len(fractions) else "kept") if c.name in kept else "dropped"
-            report.append((*head, status, "fit window", sum(sizes), sum(n_val), ap, auc, at, order.index(c.name) + 1))
+            report.append((*head, status, "fit window", sum(sizes), sum(n_val), ap, auc, so_far, order.index(c.name) + 1))
         left = [c for c in left if c.name in (kept if r + 1 < len(fractions) else found)]
         last = found
     if left and windows:
         fit, val = _parts(base, space, windows[-1], windows[-1].end)  # rates that hold outcomes of validation rows
         n, m = _rows(fit), _rows(val)
         clean = {c.name: last[c.name][2] for c in left}
+        leaky = _measure({(c.name, 0): _scores(c, fit, val) for c in left})
         for c in left:
-            ap, auc = _measure(Pipeline(stages=[c.make(featuresCol="features", labelCol="y", weightCol="weight", **c.params)]).fit(fit), val)
+            ap, auc = leaky[c.name, 0]
             report.append((len(fractions), 1.0, c.name, c.family, json.dumps(c.params, sort_keys=True), "leak", "whole window", n, m, round(ap, 6), round(auc, 6), spent, None))
             report.append((len(fractions), 1.0, c.name, c.family, json.dumps(c.params, sort_keys=True), "clean", "fit window", n, m, round(clean[c.name], 6), None, spent, None))
     return spark.createDataFrame(report, REPORT)
