@@ -132,13 +132,16 @@ def interval_lookup(points: DataFrame, intervals: DataFrame, by: str, at: str, s
     """The value of the interval [start, start + minutes) of the key that holds each point.
 
     Intervals are listed under the hours they touch; of several, the one that starts first
-    (then the smallest value) counts. Points without one are kept.
+    (then the smallest value) counts. Points without one are kept. Intervals of one start and
+    end are one before they meet points, and the aggregates keep no structs, so they need no sort.
     """
+    least = F.when(~F.bool_or(F.col("_value").isNull()), F.min("_value")).alias("_value")  # NULL is the smallest value
     i = intervals.select(F.col(by).alias("_by"), F.col(start).alias("_start"), F.timestamp_add("MINUTE", F.col(minutes).cast("int"), F.col(start)).alias("_end"), F.col(value).alias("_value"))
+    i = i.groupBy("_by", "_start", "_end").agg(least)
     i = i.withColumn("_hour", F.explode(F.transform(F.sequence(F.lit(0), F.timestamp_diff("HOUR", F.date_trunc("hour", F.col("_start")), F.col("_end").cast("timestamp")).cast("int")), lambda h: F.timestamp_add("HOUR", h, F.date_trunc("hour", F.col("_start")).cast("timestamp_ntz")))))
     p = points.select(F.col(by).alias("_pby"), F.col(at).alias("_at")).distinct().withColumn("_phour", F.date_trunc("hour", F.col("_at")).cast("timestamp_ntz"))
     met = p.join(i, (F.col("_pby") == F.col("_by")) & (F.col("_phour") == F.col("_hour"))).where("_start <= _at AND _at < _end")
-    first = met.groupBy("_pby", "_at").agg(F.min(F.struct("_start", "_value")).alias("_f")).select("_pby", "_at", F.col("_f._value").alias(value))
+    first = met.groupBy("_pby", "_at", "_start").agg(least).groupBy("_pby", "_at").agg(F.min_by("_value", "_start").alias(value))
     return points.join(first, (points[by] == F.col("_pby")) & (points[at] == F.col("_at")), "left").drop("_pby", "_at")
 
 

@@ -21,3 +21,39 @@ def test_connections_are_dealt_to_all_tasks_and_carry_columns(spark):
     got = [tuple(x) for x in out.collect()]
     assert len(want) > 500 and set(got) == want and len(got) == len(want)
     assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_interval_lookup_meets_points_once_for_each_start_and_end(spark):
+    """Copies of an interval do not multiply the points, and the first start, then the smallest value (NULL first) counts."""
+    r, t0 = random.Random(5), dt.datetime(2024, 1, 1)
+    at = lambda m: t0 + dt.timedelta(minutes=m)
+    kinds = [(r.choice("ab"), 60 * r.randrange(5), r.choice((30, 45, 90))) for _ in range(12)]
+    spans = [(k, at(m), n, None if r.random() < 0.01 else r.randrange(1000)) for k, m, n in kinds for _ in range(40)]
+    points = [(i, r.choice("abc"), at(r.randrange(480))) for i in range(200)]
+    want = {}
+    for i, k, t in points:
+        found = [(s, -1 if v is None else v) for b, s, n, v in spans if b == k and s <= t < s + dt.timedelta(minutes=n)]
+        want[i] = min(found)[1] if found else None
+    x = J.interval_lookup(spark.createDataFrame(points, "i long, k string, t timestamp_ntz"), spark.createDataFrame(spans, "k string, s timestamp_ntz, n int, v long"), "k", "t", "s", "n", "v")
+    assert {y.i: y.v for y in x.collect()} == {i: None if v == -1 else v for i, v in want.items()}
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(struct" not in plan and "_start" in plan
+
+
+def test_whole_marts_store_no_table_on_the_way(spark, sf_dir, monkeypatch):
+    """Marts of all legs read them as they are made, without writing the long table, and move lines once."""
+    from apronlake.plans import catalog, stored
+
+    def fail(*a, **k):
+        raise AssertionError("wrote a table")
+
+    monkeypatch.setattr(stored, "_once", fail)
+    for name in ("additive_schedule", "mart_route", "additive_monthly", "route_carrier"):
+        assert catalog.QUERIES[name](spark, sf_dir).limit(1).count() == 1
+
+
+def test_flown_places_pass_over_the_legs_once(spark, sf_dir):
+    from apronlake.plans import catalog
+
+    plan = catalog.QUERIES["flown_places"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and plan.count("Union") == 0
