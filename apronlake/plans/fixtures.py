@@ -61,15 +61,25 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Where lines and orders are too many to broadcast, so many lines go to a task, however many there are.
+LINES_A_TASK = 100_000
+
+
 def legs_big(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One leg for each line item, with its supplier's and customer's nations."""
+    """One leg for each line item, with its supplier's and customer's nations.
+
+    Lines move once, with keys only: orders have met their customers before, and names come last.
+    """
     li, o, s, c = (read(spark, sf_dir, t) for t in ("lineitem", "orders", "supplier", "customer"))
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    tasks = li.count() // LINES_A_TASK  # from the files' footers
+    o = o.join(c.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey", "c_mktsegment")
+    li = li.join(s.select("s_suppkey", "s_nationkey"), li.l_suppkey == F.col("s_suppkey"))
+    if tasks >= 100:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     df = (
-        li.join(s.select("s_suppkey", "s_nationkey"), li.l_suppkey == F.col("s_suppkey"))
+        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin")), "s_nationkey")
-        .join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == F.col("o_orderkey"))
-        .join(c.select("c_custkey", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .join(n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest")), "c_nationkey")
     )
     number = F.col("l_linenumber").cast("bigint")
