@@ -34,9 +34,15 @@ def flight_spec() -> dict[str, str]:
 _KEY = {"FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest", "CRSDepTime"}
 
 
+#: Raw flights are made of so many events in a task.
+EVENTS_A_TASK = 50_000
+
+
 def raw_flights(spark, d) -> DataFrame:
     """Every event as a raw flight: all text, with blanks, odd numbers and times; each tenth came twice, once before it had left."""
     e = X.read(spark, d, "events")
+    # Making and typing 109 columns is the work, and a small file of narrow rows would be one task.
+    e = e.repartition(max(spark.sparkContext.defaultParallelism, e.count() // EVENTS_A_TASK), "event_id")
     i = F.col("event_id")
     text = lambda c: c.cast("string")
     minute = lambda j: F.concat(text((i * j) % 24), F.lpad(text((i + j) % 60), 2, "0"))

@@ -57,3 +57,10 @@ def test_flown_places_pass_over_the_legs_once(spark, sf_dir):
 
     plan = catalog.QUERIES["flown_places"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey") and plan.count("Union") == 0
+
+
+def test_raw_flights_are_made_by_all_cores(spark, sf_dir):
+    from apronlake.plans import checks
+
+    cores = spark.sparkContext.defaultParallelism
+    assert checks.raw_flights(spark, sf_dir).rdd.getNumPartitions() >= 2 * cores  # rows and their earlier copies
