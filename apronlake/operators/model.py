@@ -24,12 +24,15 @@ def prepare(df: DataFrame, numeric: list[str]) -> DataFrame:
     return out.withColumns({f"{c}_missing": F.col(c).isNull().cast("double") for c in numeric})
 
 
-def feature_stages(df: DataFrame, numeric: list[str], category: str | None, scale: bool) -> list:
-    """Median imputation (an all-missing column is 0), category code, and one vector; fitted on training rows only."""
-    known = df.agg(*(F.count(c).alias(c) for c in numeric)).first()
+def feature_stages(df: DataFrame, numeric: list[str], category: str | None, scale: bool, varying: bool = False) -> list:
+    """Median imputation (an all-missing column is 0), category code, and one vector; fitted on training rows only.
+
+    ``varying``: leave out indicators that are the same in all rows, on which no tree splits and which no linear model weighs.
+    """
+    known = df.agg(F.count(F.lit(1)).alias("_n"), *(F.count(c).alias(c) for c in numeric)).first()
     full = [c for c in numeric if known[c]]
     stages: list = [Imputer(inputCols=full, outputCols=[f"{c}_f" for c in full], strategy="median")]
-    inputs = [f"{c}_f" for c in full] + [f"{c}_missing" for c in numeric]
+    inputs = [f"{c}_f" for c in full] + [f"{c}_missing" for c in numeric if not varying or 0 < known[c] < known["_n"]]
     if category:
         stages.append(StringIndexer(inputCol=category, outputCol="_cat", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCol="_cat", outputCol="_hot", handleInvalid="keep"))
@@ -51,16 +54,40 @@ def _fit(df: DataFrame, numeric: list[str], category: str | None, estimator, sca
     return Pipeline(stages=[*feature_stages(df, numeric, category, scale), estimator]).fit(df)
 
 
+def logistic(label: str, **params) -> LogisticRegression:
+    return LogisticRegression(labelCol=label, weightCol="weight", **{"maxIter": 50, **params})
+
+
+def gbt_classifier(label: str, **params) -> GBTClassifier:
+    return GBTClassifier(labelCol=label, weightCol="weight", seed=7, **{"maxIter": 20, "maxDepth": 4, **params})
+
+
+def gbt_regressor(label: str, **params) -> GBTRegressor:
+    return GBTRegressor(labelCol=label, seed=7, **{"maxIter": 20, "maxDepth": 4, "subsamplingRate": 0.8, **params})
+
+
 def fit_logistic(df: DataFrame, numeric: list[str], category: str | None, label: str, **params) -> PipelineModel:
-    return _fit(with_weight(df, label), numeric, category, LogisticRegression(labelCol=label, weightCol="weight", **{"maxIter": 50, **params}), True)
+    return _fit(with_weight(df, label), numeric, category, logistic(label, **params), True)
 
 
 def fit_gbt_classifier(df: DataFrame, numeric: list[str], category: str | None, label: str, **params) -> PipelineModel:
-    return _fit(with_weight(df, label), numeric, category, GBTClassifier(labelCol=label, weightCol="weight", seed=7, **{"maxIter": 20, "maxDepth": 4, **params}), False)
+    return _fit(with_weight(df, label), numeric, category, gbt_classifier(label, **params), False)
 
 
 def fit_gbt_regressor(df: DataFrame, numeric: list[str], category: str | None, label: str, **params) -> PipelineModel:
-    return _fit(df, numeric, category, GBTRegressor(labelCol=label, seed=7, **{"maxIter": 20, "maxDepth": 4, "subsamplingRate": 0.8, **params}), False)
+    return _fit(df, numeric, category, gbt_regressor(label, **params), False)
+
+
+def fit_features(df: DataFrame, numeric: list[str], category: str | None) -> PipelineModel:
+    """What makes the column ``features``, for several models of the same rows."""
+    return Pipeline(stages=feature_stages(df, numeric, category, False, varying=True)).fit(df)
+
+
+def fit_on_features(df: DataFrame, estimator, scale: bool = False) -> PipelineModel:
+    """A model of rows that have ``features`` already."""
+    if not scale:
+        return Pipeline(stages=[estimator]).fit(df)
+    return Pipeline(stages=[StandardScaler(inputCol="features", outputCol="_scaled", withMean=True, withStd=True), estimator.setFeaturesCol("_scaled")]).fit(df)
 
 
 def probability(model: PipelineModel, df: DataFrame, name: str = "p") -> DataFrame:

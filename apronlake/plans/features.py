@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apronlake.operators import bundle as B
+from apronlake.operators import joins as J
 from apronlake.operators import quality as Q
 from apronlake.operators import rates as R
 from apronlake.operators import search as Se
@@ -123,15 +124,25 @@ def family_report(spark, d):
 SERVED = {c.name: c.type for c in REGISTRY if c.role == "feature" and c.name in {"distance", "dep_hour", "density", "weekday", "month_no", "is_holiday", "is_day_before", "is_day_after", "legs_today", "position", *(f"{p}_rate" for p in M.FEATURE_RATES)}}
 SERVED_REGISTRY = {"carrier": "string", **SERVED}
 CALIBRATED_FROM = "2024-01-19"
+#: Scoring is the work, and a small file of narrow rows would be few tasks: so many requests go to one.
+REQUESTS_A_TASK = 100_000
+
+
+def served_rows(spark, d) -> DataFrame:
+    """Day, served columns and labels of the training rows of ``feature_rows``; the weather is not served and not looked up."""
+    before = R.completed(Z.rotation(spark, d)).where(F.col("leg_date") < F.lit(X.CUTOFF).cast("date"))
+    x = M.with_calendar(before, "leg_date", M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
+    x = J.join_levels(x, Z.rates(spark, d), M.FEATURE_RATES, ["rate"])
+    of = {c.name: F.expr(c.of).alias(c.name) for c in REGISTRY}
+    return x.select(*(of[c] for c in ("leg_date", *SERVED_REGISTRY, "label_arr_del15", "label_arr_delay_min")))
 
 
 def fitted_bundle(spark, d) -> B.Bundle:
     """Fit on days before the calibration window, calibrate on it, save, and load what was saved."""
 
     def fit(path: str) -> None:
-        rows = feature_rows(spark, d).where("is_training_row")
         day = F.lit(CALIBRATED_FROM).cast("date")
-        rows = written(rows.select("leg_date", *SERVED_REGISTRY, "label_arr_del15", "label_arr_delay_min"), "bundle-rows")
+        rows = written(served_rows(spark, d), "bundle-rows")
         B.fit_bundle(rows.where(F.col("leg_date") < day), rows.where(F.col("leg_date") >= day), SERVED_REGISTRY, "carrier", "label_arr_del15", "label_arr_delay_min", path, maxIter=5, maxDepth=3)
 
     key = spark.sparkContext.applicationId, d
@@ -147,15 +158,17 @@ _BUNDLES: dict[tuple[str, str], str] = {}
 
 def request_features(spark, d, requests: DataFrame) -> DataFrame:
     """Requests with the served feature columns under their registered names; types come as the lookups have them."""
-    rot, hist = Z.rotation(spark, d), Z.rates(spark, d)
-    x = M.assemble(requests, hist, M.entity_profile(X.legs(spark, d)), M.density_profile(rot, X.CUTOFF), M.typical_rotation(rot, X.CUTOFF), M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
+    lookups = (of(spark, d) for of in (Z.rates, Z.entity_profile, Z.density_profile, Z.typical_rotation))
+    x = M.assemble(requests, *lookups, M.holiday_calendar(spark, 2023, 2024).drop("holiday_name"))
     used = {"distance": "distance_used", "density": "density_used", "position": "pos_used", "legs_today": "legs_used"}
     return x.drop(*used).withColumnsRenamed({v: k for k, v in used.items()})
 
 
 def bundle_scores(spark, d):
     """All requests through the loaded bundle: gate, three models, calibration."""
-    out = B.score(request_features(spark, d, X.requests(spark, d)), fitted_bundle(spark, d), ["request_id"])
+    requests = X.requests(spark, d)
+    tasks = max(spark.sparkContext.defaultParallelism, X.read(spark, d, "events").count() // REQUESTS_A_TASK)
+    out = B.score(request_features(spark, d, requests.repartition(tasks, "request_id")), fitted_bundle(spark, d), ["request_id"])
     return out.select("request_id", *(F.round(c, 6).alias(c) for c in ("raw_score", "delay_probability", "expected_minutes", "baseline_probability")), "category_unseen")
 
 

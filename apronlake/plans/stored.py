@@ -59,6 +59,21 @@ def rates(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_once(spark, d, "rates", lambda p: R.smoothed_rates(rotation(spark, d), R.GRAINS, X.CUTOFF).coalesce(1).write.parquet(p)))
 
 
+def entity_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Constants of entities."""
+    return spark.read.parquet(_once(spark, d, "profile", lambda p: M.entity_profile(X.legs(spark, d)).coalesce(1).write.parquet(p)))
+
+
+def density_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Median density of schedule hours before the cutoff."""
+    return spark.read.parquet(_once(spark, d, "density", lambda p: M.density_profile(rotation(spark, d), X.CUTOFF).coalesce(1).write.parquet(p)))
+
+
+def typical_rotation(spark: SparkSession, d: str) -> DataFrame:
+    """One row of medians before the cutoff."""
+    return spark.read.parquet(_once(spark, d, "typical", lambda p: M.typical_rotation(rotation(spark, d), X.CUTOFF).write.parquet(p)))
+
+
 def rotation(spark: SparkSession, d: str) -> DataFrame:
     """Legs with their chain."""
     return spark.read.parquet(_once(spark, d, "rotation", lambda p: M.rotation_mart(spark, d).write.parquet(p)))

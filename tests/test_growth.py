@@ -64,3 +64,54 @@ def test_raw_flights_are_made_by_all_cores(spark, sf_dir):
 
     cores = spark.sparkContext.defaultParallelism
     assert checks.raw_flights(spark, sf_dir).rdd.getNumPartitions() >= 2 * cores  # rows and their earlier copies
+
+
+def test_a_bundle_is_fitted_without_weather_and_its_vectors_are_made_once(spark, sf_dir, monkeypatch):
+    """No as-of join for columns that are not served, one fit of the features for three models, scoring by all cores."""
+    from pyspark.ml.feature import Imputer
+
+    from apronlake.plans import features as Fe
+    from apronlake.plans import views
+
+    want = Fe.feature_rows(spark, sf_dir).where("is_training_row").select("leg_date", *Fe.SERVED_REGISTRY, "label_arr_del15", "label_arr_delay_min").collect()
+
+    def fail(*a, **k):
+        raise AssertionError("looked up the weather")
+
+    fits, fit = [], Imputer._fit
+    monkeypatch.setattr(views, "hourly_observations", fail)
+    monkeypatch.setattr(Imputer, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    monkeypatch.setattr(Fe, "_BUNDLES", {})
+    scored = Fe.bundle_scores(spark, sf_dir)
+    assert len(fits) == 1
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert scored.count() == scored.select("request_id").distinct().count() == Fe.X.requests(spark, sf_dir).count()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(Fe.served_rows(spark, sf_dir).collect(), key=key) == sorted(want, key=key)
+
+
+def test_models_of_shared_vectors_are_those_fitted_apart(spark, tmp_path):
+    """Indicators that never vary may go, the rest is as if each model had made its own vectors."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from apronlake.operators import bundle as B
+    from apronlake.operators import model as Mo
+
+    i = F.col("id")
+    x = spark.range(0, 1200, 1, 1).select(i.alias("k"), F.concat(F.lit("c"), i % 3).alias("carrier"), F.when(i % 9 != 0, (i * 37 % 100).cast("double")).alias("a"), (i % 24).alias("hour"), F.lit(None).cast("double").alias("empty"))
+    x = x.withColumn("late", F.coalesce(F.col("a") > 60, F.lit(False)) | (F.col("k") % 17 == 0)).withColumn("minutes", F.when(F.col("late"), 40).otherwise(2))
+    registry, numeric = {"carrier": "string", "a": "double", "hour": "bigint", "empty": "double"}, ["a", "hour", "empty"]
+    B.fit_bundle(x.where("k % 4 <> 0"), x.where("k % 4 = 0"), registry, "carrier", "late", "minutes", str(tmp_path / "b"), maxIter=4, maxDepth=3)
+    odd = x.withColumns({"hour": F.when(F.col("k") % 5 != 0, F.col("hour")), "empty": F.when(F.col("k") % 7 == 0, 3.0)})
+    got = {r.k: r for r in B.score(odd, B.load_bundle(spark, str(tmp_path / "b")), ["k"]).collect()}
+    rows = Mo.prepare(x.where("k % 4 <> 0").select("carrier", *numeric, F.col("late").cast("double").alias("_late"), F.col("minutes").cast("double").alias("_minutes")), numeric)
+    p = {"maxIter": 4, "maxDepth": 3}
+    apart = Mo.prepare(odd, numeric)
+    apart = Mo.probability(Mo.fit_gbt_classifier(rows, numeric, "carrier", "_late", **p), apart, "raw_score")
+    apart = Mo.probability(Mo.fit_logistic(rows, numeric, "carrier", "_late"), apart, "baseline_probability")
+    apart = Mo.fit_gbt_regressor(rows, numeric, "carrier", "_minutes", **p).transform(apart).select("k", "raw_score", "baseline_probability", "prediction").collect()
+    assert len(apart) == len(got) == 1200
+    for r in apart:
+        s = got[r.k]
+        assert (s.raw_score, s.baseline_probability, s.expected_minutes) == pytest.approx((r.raw_score, r.baseline_probability, r.prediction), abs=1e-9)
