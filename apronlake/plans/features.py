@@ -166,9 +166,10 @@ def request_features(spark, d, requests: DataFrame) -> DataFrame:
 
 def bundle_scores(spark, d):
     """All requests through the loaded bundle: gate, three models, calibration."""
-    requests = X.requests(spark, d)
+    rows = request_features(spark, d, X.requests(spark, d)).select("request_id", *SERVED_REGISTRY)
     tasks = max(spark.sparkContext.defaultParallelism, X.read(spark, d, "events").count() // REQUESTS_A_TASK)
-    out = B.score(request_features(spark, d, requests.repartition(tasks, "request_id")), fitted_bundle(spark, d), ["request_id"])
+    # Dealt after the lookups: lookups and models in one stage are a generated method that the JVM does not compile.
+    out = B.score(rows.repartition(tasks, "request_id"), fitted_bundle(spark, d), ["request_id"])
     return out.select("request_id", *(F.round(c, 6).alias(c) for c in ("raw_score", "delay_probability", "expected_minutes", "baseline_probability")), "category_unseen")
 
 
