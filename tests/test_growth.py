@@ -85,6 +85,8 @@ def test_a_bundle_is_fitted_without_weather_and_its_vectors_are_made_once(spark,
     scored = Fe.bundle_scores(spark, sf_dir)
     assert len(fits) == 1
     assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("UDF") < plan.find("RepartitionByExpression") < plan.find("Join")  # models, deal, lookups: stages of their own
     assert scored.count() == scored.select("request_id").distinct().count() == Fe.X.requests(spark, sf_dir).count()
     key = lambda r: tuple((x is not None, x) for x in r)
     assert sorted(Fe.served_rows(spark, sf_dir).collect(), key=key) == sorted(want, key=key)
