@@ -23,6 +23,31 @@ def test_connections_are_dealt_to_all_tasks_and_carry_columns(spark):
     assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _busy_board(spark, n=3000):
+    """Two hours of departures in which runs are full, with copies of a leg and legs that lack a place or time."""
+    r, day = random.Random(8), dt.date(2024, 1, 1)
+    legs = [(i, day, r.choice("ABC"), r.choice("ABC"), r.randrange(600, 720), r.randrange(10, 60), None if i % 40 == 0 else i % 100 / 100) for i in range(n)]
+    legs += legs[:20] + [(n, day, None, "A", 660, 50, 0.5), (n + 1, day, "A", None, 660, 50, 0.5), (n + 2, day, "A", "B", None, 50, 0.5), (n + 3, None, "A", "B", 660, 50, 0.5)]
+    legs += [(n + 4, day, "A", "B", 1400, 39, 0.1), (n + 5, day, "A", "B", 1400, 40, 0.1), (n + 6, day, "C", "A", 1439, 20, 0.1)]
+    return spark.createDataFrame(legs, "leg_id long, leg_date date, origin string, dest string, dep_min long, elapsed_min long, score double").coalesce(1)
+
+
+def test_connections_of_a_busy_airport_take_few_bytes_a_pair(spark, tmp_path):
+    """All pairs, in an order that Parquet writes in few bytes; runs longer than one array, NULLs and copies count as in SQL."""
+    board = _busy_board(spark)
+    board.createOrReplaceTempView("busy_board")
+    want = spark.sql("""SELECT a.leg_id AS first_id, b.leg_id AS second_id, a.leg_date, a.dest AS airport, b.dep_min - (a.dep_min + a.elapsed_min) AS layover
+        FROM busy_board a JOIN busy_board b ON a.leg_date = b.leg_date AND a.dest = b.origin AND a.origin <> b.dest
+        WHERE a.dep_min + a.elapsed_min <= 1439 AND b.dep_min - (a.dep_min + a.elapsed_min) BETWEEN 30 AND 240""")
+    path = str(tmp_path / "pairs")
+    J.connections(board).write.parquet(path)
+    got = spark.read.parquet(path)
+    n = got.count()
+    assert n == want.count() > 100_000
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 1.2 * n
+
+
 def test_interval_lookup_meets_points_once_for_each_start_and_end(spark):
     """Copies of an interval do not multiply the points, and the first start, then the smallest value (NULL first) counts."""
     r, t0 = random.Random(5), dt.datetime(2024, 1, 1)
