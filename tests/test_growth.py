@@ -48,6 +48,30 @@ def test_connections_of_a_busy_airport_take_few_bytes_a_pair(spark, tmp_path):
     assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 1.2 * n
 
 
+def test_exceedance_meets_first_legs_before_pairs_are_made(spark):
+    """The table is looked up for first legs, not for pairs, and gives the same as if joined with the pairs."""
+    from pyspark.sql import functions as F
+
+    from apronlake.operators import evaluation as E
+
+    board = _busy_board(spark, 600)
+    table = E.exceedance(board.withColumn("arr_delay_min", F.col("leg_id") % 300))
+    out = E.connection_risk(board, table)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Generate inline(_second") < plan.find("Join LeftOuter") < plan.find("Generate inline(_first")
+    rates = {r.bin: r for r in table.collect()}
+    legs = {r.leg_id: r for r in board.collect()}
+    pairs = {(r.first_id, r.second_id): r.layover - 30 for r in J.connections(board).collect()}
+    rows = out.collect()
+    assert len(pairs) > 1000 and {(r.first_id, r.second_id) for r in rows} == set(pairs)
+    for r in rows:
+        slack, score = pairs[r.first_id, r.second_id], legs[r.first_id].score
+        at = max([t for t in E.THRESHOLDS if t <= slack], default=15) if slack > 0 else None
+        p = None if at is None or score is None else rates[sum(score >= i / 10 for i in range(1, 10))][f"p_ge_{at}"]
+        bound = "inside connection time" if slack <= 0 else "lower" if slack < 15 else "measured"
+        assert (r.slack, r.threshold, r.p_miss, r.bound) == (slack, at, p, bound)
+
+
 def test_interval_lookup_meets_points_once_for_each_start_and_end(spark):
     """Copies of an interval do not multiply the points, and the first start, then the smallest value (NULL first) counts."""
     r, t0 = random.Random(5), dt.datetime(2024, 1, 1)
